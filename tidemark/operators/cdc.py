@@ -7,6 +7,7 @@ is a projection or a filter, so a feed goes to bronze without a shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 from operator import and_
@@ -25,6 +26,7 @@ from tidemark.functions.payload import (
 )
 from tidemark.schemas import Feed
 
+INTAKE = "intake"
 UNSUPPORTED = "null or unsupported record"
 DELETE = "d"
 
@@ -53,6 +55,9 @@ def cdc_validate(changes: DataFrame, feed: Feed) -> DataFrame:
     The reason is the first rule that fails: an unusable envelope, then each
     column in bronze order. Text amounts that are not numbers read as null;
     numbers that decimal(38,18) cannot hold exactly reject the row.
+
+    Rows in and rejected are observed on the way. The observation also keeps a
+    later filter on the reason above the parse, so that no field is read twice.
     """
     fields = changes.schema["envelope"].dataType
     payload_types = {f.name: f.dataType for f in fields["after"].dataType}
@@ -115,11 +120,16 @@ def cdc_validate(changes: DataFrame, feed: Feed) -> DataFrame:
     as_text = F.when(~blank, F.to_json(fields_of, {"ignoreNullFields": "false"}))
     record = F.coalesce(F.col("raw").cast("string"), as_text) if has_raw else as_text
     checked = typed.withColumn("reject_reason", reason)
-    return checked.select(
+    result = checked.select(
         *values,
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), record).alias("record"),
     )
+    return result.observe(
+        f"{INTAKE}_{feed.name}_{uuid.uuid4().hex}",
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count("reject_reason").alias("rejected"),
+    )
 
 
 def dlq_split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

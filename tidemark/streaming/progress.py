@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.cdc import INTAKE
+
 CHECKPOINT_METRIC = T.StructType(
     [
         T.StructField("ts", T.TimestampType()),
@@ -24,7 +26,8 @@ def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
     """One metric row per reported micro-batch (the query keeps the last 100)."""
     rows = []
     for p in progress:
-        intake = p.observedMetrics.get("intake") if p.observedMetrics else None
+        observed = p.observedMetrics or {}
+        intake = next((row for name, row in observed.items() if name.startswith(INTAKE)), None)
         rows.append(
             (
                 datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")),

@@ -73,6 +73,11 @@ P_BRONZE = f"WITH {P} SELECT {P_BARE}, {STAMP} FROM p"
 C_PARSED = f"WITH {C} SELECT {C_BARE} FROM c"
 C_BRONZE = f"WITH {C} SELECT {C_BARE}, {STAMP} FROM c"
 
+P_DAILY = f"""WITH {P} SELECT {P_BARE}, CAST(CAST(make_timestamp("eventTimeMs" * 1000) AS DATE) AS VARCHAR) AS ingestion_date,
+  '19' AS ingestion_hour FROM p"""
+BATCHED = """CASE WHEN op IN ('d', 'u') THEN '2024-02-01' ELSE '2024-01-31' END AS ingestion_date,
+  CASE WHEN op IN ('d', 'u') THEN '01' ELSE '22' END AS ingestion_hour"""
+
 # --- faults -----------------------------------------------------------------
 
 UNSUPPORTED = """k = 31 OR (event_type = 'signup' AND k < 5) OR (event_type = 'purchase' AND k BETWEEN 5 AND 9)
@@ -306,7 +311,7 @@ SELECT {minute_text("minute")} AS ts, rule_uid, CAST(value AS DOUBLE) AS value,
 RULES = ", ".join(f"('{uid}', {hold})" for uid, hold in RULE_HOLDS)
 
 SQL: dict[str, str] = {
-    "lz_scan": P_BRONZE,
+    "lz_scan": P_DAILY,
     "cdc_stream": P_BRONZE,
     "snapshot_then_stream": P_BRONZE,
     "cdc_route": f"""WITH {P}, {C} SELECT "sourceTable", op, count(*) AS n, CAST(sum(lsn) AS BIGINT) AS lsn_sum
@@ -323,8 +328,8 @@ SQL: dict[str, str] = {
         UNION ALL SELECT asset_id, symbol, coin_name, currency, NULL, CAST(market_cap AS VARCHAR), NULL, NULL, event_time,
                '2024-01-31 00:00:00', CAST(supply AS VARCHAR), 'cap' FROM a""",
     "bronze_scan": f"{P_BRONZE} WHERE p.ingestion_date >= DATE '2024-01-24'",
-    "lz_file_inventory": f"""WITH {P} SELECT DISTINCT CAST(ingestion_date AS VARCHAR) AS ingestion_date,
-        ingestion_hour AS hour, TRUE AS held, TRUE AS filled FROM p""",
+    "lz_file_inventory": f"""WITH {EV} SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date,
+        '19' AS hour, TRUE AS held, TRUE AS filled FROM ev""",
     "cdc_parse_prices": P_PARSED,
     "cdc_parse_caps": C_PARSED,
     "bronze_prices": P_BRONZE,
@@ -380,8 +385,8 @@ SQL: dict[str, str] = {
           SELECT 1 FROM lineitem t WHERE t.l_linestatus = 'F' AND t.l_orderkey = f.l_orderkey AND t.l_linenumber = f.l_linenumber)""",
     "anti_existing": f"""SELECT {L_OUT} FROM lineitem f WHERE l_linestatus = 'O' AND NOT EXISTS (
           SELECT 1 FROM lineitem t WHERE t.l_linestatus = 'F' AND t.l_orderkey = f.l_orderkey AND t.l_linenumber = f.l_linenumber)""",
-    "lz_sink": P_BRONZE,
-    "bronze_sink": C_BRONZE,
+    "lz_sink": f"WITH {P} SELECT {P_BARE}, {BATCHED} FROM p",
+    "bronze_sink": f"WITH {C} SELECT {C_BARE}, {BATCHED} FROM c",
     "kafka_sink": f"WITH {P} SELECT lsn, op, CAST(price AS VARCHAR) AS price FROM p",
     "fan_out": f"""WITH {FAULTY}, good AS (
           SELECT count(*) AS n, CAST(sum(CASE WHEN k = 30 THEN 0 ELSE lsn END) AS BIGINT) AS lsn_sum FROM f WHERE reason IS NULL)
@@ -394,7 +399,7 @@ SQL: dict[str, str] = {
                count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum FROM counted GROUP BY 1""",
     "retention": """SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day FROM lineitem
         WHERE NOT (CAST(l_shipdate AS DATE) + INTERVAL 12 MONTH <= DATE '2001-07-01')""",
-    "bronze_layout": C_BRONZE,
+    "bronze_layout": P_BRONZE,
     "latest_state_prices": P_STATE,
     "latest_state_caps": C_STATE,
     "silver_prices": f"""WITH {P}, {latest("p", P_AMOUNTS)} SELECT "assetId" AS asset_id, symbol, "coinName" AS coin_name, currency,

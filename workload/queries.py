@@ -72,7 +72,15 @@ def json_feed(spark: SparkSession, rows: DataFrame, feed: Feed, **options: str)
     return changes.cdc_stream(spark, feed, path, fmt="json", **options)
 
 
-BARE = ("ingestion_date", "ingestion_hour", "updatedAtMs")
+def restamped(rows: DataFrame, at: Column) -> DataFrame:
+    """Rows with another ingestion clock."""
+    return rows.drop("ingestion_date", "ingestion_hour").select("*", *clock.ingest_stamp(at))
+
+
+def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices ingested once a day, at midday."""
+    midday = F.date_trunc("day", event_clock()) + F.expr("INTERVAL 12 HOURS")
+    return restamped(feeds.bronze_prices(spark, sf_dir), midday)
 
 
 def without(df: DataFrame, *columns: str) -> DataFrame:
@@ -85,7 +93,7 @@ def without(df: DataFrame, *columns: str) -> DataFrame:
 @query
 def lz_scan(spark, sf_dir):
     base = work_dir(spark, "landing")
-    sinks.lz_sink(feeds.bronze_prices(spark, sf_dir), base, PRICES, 0)
+    sinks.lz_sink(daily_prices(spark, sf_dir), base, PRICES, 0)
     return without(landing.lz_scan(spark, base, PRICES), "updatedAtMs")
 
 
@@ -179,7 +187,7 @@ def bronze_scan(spark, sf_dir):
 @query
 def lz_file_inventory(spark, sf_dir):
     base = work_dir(spark, "landing")
-    sinks.lz_sink(feeds.bronze_prices(spark, sf_dir), base, PRICES, 0)
+    sinks.lz_sink(daily_prices(spark, sf_dir), base, PRICES, 0)
     files = landing.lz_file_inventory(spark, base, PRICES)
     return plain(files.select("ingestion_date", "hour", (F.col("objects") > 0).alias("held"), (F.col("bytes") > 0).alias("filled")))
 
@@ -422,12 +430,19 @@ def anti_existing(spark, sf_dir):
     return plain(ingest.anti_existing(batch, target, LINE_KEY))
 
 
+BATCH_TIMES = (datetime(2024, 1, 31, 15), datetime(2024, 1, 31, 18))
+
+
 def _in_two_batches(rows: DataFrame, write) -> None:
-    """Deletes and updates as batch 1, the rest as batch 0, and batch 1 once more."""
+    """Deletes and updates as batch 1, the rest as batch 0, and batch 1 once more.
+
+    Each batch has its own ingestion time, on either side of local midnight.
+    """
     changed = F.col("op").isin("d", "u")
-    write(rows.filter(~changed), 0)
-    write(rows.filter(changed), 1)
-    write(rows.filter(changed), 1)
+    first, second = (clock.as_instant(at) for at in BATCH_TIMES)
+    write(restamped(rows.filter(~changed), first), 0)
+    write(restamped(rows.filter(changed), second), 1)
+    write(restamped(rows.filter(changed), second), 1)
 
 
 @query
@@ -507,8 +522,8 @@ def retention(spark, sf_dir):
 @query
 def bronze_layout(spark, sf_dir):
     path = work_dir(spark, "bronze")
-    layout.bronze_layout(feeds.bronze_caps(spark, sf_dir), path)
-    return without(landing.bronze_scan(spark, path, CAPS), "updatedAtMs")
+    layout.bronze_layout(feeds.bronze_prices(spark, sf_dir), path)
+    return without(landing.bronze_scan(spark, path, PRICES), "updatedAtMs")
 
 
 # --- aggregations and state -------------------------------------------------
