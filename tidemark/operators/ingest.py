@@ -106,7 +106,8 @@ def constraint_check(df: DataFrame, rules: TableRules) -> DataFrame:
     for column, precision, scale in rules.numeric:
         if column in df.columns:
             value = F.round(F.abs(F.col(column)), scale)
-            limit = F.lit("1" + "0" * (precision - scale)).cast("decimal(38,0)")
+            # as narrow as it can be: a wider type would round the value it meets
+            limit = F.lit("1" + "0" * (precision - scale)).cast(f"decimal({precision - scale + 1},0)")
             broken.append(F.when(value >= limit, F.lit(f"{column} exceeds numeric({precision},{scale})")))
     keys = list(rules.key)
     repeated = df.groupBy(*keys).count().filter("count > 1").select(*keys, F.lit(True).alias("_repeated"))

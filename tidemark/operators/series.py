@@ -18,7 +18,7 @@ HOUR = 3600
 DAY = 24 * HOUR
 
 
-def _seconds(ts: str) -> Column:
+def _seconds(ts: str | Column) -> Column:
     return F.unix_seconds(ts)
 
 
@@ -102,7 +102,7 @@ def counter_increase(
         .groupBy(*by, minute.alias("_minute"))
         .agg(F.sum("delta").alias("delta"))
     )
-    last = per_minute.agg(F.max("_minute").alias("_last"))
+    last = chosen.agg(F.max(minute).alias("_last"))
     spread = F.explode(F.sequence(F.col("_minute"), F.col("_minute") + F.lit(window_minutes - 1)))
     return (
         per_minute.select(*by, "delta", spread.alias("_eval"))
@@ -147,14 +147,52 @@ def alert_hold(
     ``since`` is when the present run of breaches began.
     """
     breach = F.coalesce(F.col(value) > F.col(threshold), F.lit(False))
-    marked = evaluations.withColumn("_breach", breach)
+    group = [*keys, "_chunk"]
+    rows = chunked(evaluations.withColumn("_breach", breach), ts, chunk_seconds)
     minute = lambda c: F.floor(_seconds(c) / F.lit(60)).cast("bigint")
-    marked = chunked(marked, ts, chunk_seconds)
-    linked = carry_forward(marked, keys, ts, {"_before": F.when(F.col("_breach"), F.col(ts)), "_last": F.col(ts)})
-    continues = (F.col("_before") == F.col("_last")) & (minute(ts) - minute("_last") <= every_minutes)
-    starts = F.when(F.col("_breach") & ~F.coalesce(continues, F.lit(False)), F.col(ts))
-    runs = carry_forward(linked, keys, ts, {"_since": starts}, inclusive=True)
-    since = F.when(F.col("_breach"), F.col("_since"))
-    held = _seconds(ts) - _seconds("_since") >= F.col(hold_minutes) * 60
-    state = F.when(~F.col("_breach"), "normal").when(held, "firing").otherwise("pending")
-    return runs.select(*evaluations.columns, since.alias("since"), state.alias("state"))
+
+    # runs as seen within a chunk, whose first row counts as a new run
+    local = W.partitionBy(*group).orderBy(ts)
+    previous = F.lag(ts).over(local)
+    continues = F.coalesce(F.lag("_breach").over(local) & (minute(ts) - minute(previous) <= every_minutes), F.lit(False))
+    rows = rows.withColumn("_start", F.when(F.col("_breach") & ~continues, F.col(ts)))
+    rows = rows.withColumns(
+        {
+            "_run": F.last("_start", True).over(local.rowsBetween(W.unboundedPreceding, 0)),
+            "_first": F.first(ts).over(local.rowsBetween(W.unboundedPreceding, 0)),
+        }
+    )
+
+    # one row per chunk: does its first run continue the last one of the chunk before,
+    # and if so, when did that run begin
+    ends = rows.groupBy(*group).agg(
+        F.min(ts).alias("_opens"),
+        F.max(ts).alias("_closes"),
+        F.min_by("_breach", ts).alias("_opens_over"),
+        F.max_by("_breach", ts).alias("_closes_over"),
+        F.max("_start").alias("_last_run"),
+    )
+    chunks = W.partitionBy(*keys).orderBy("_chunk")
+    joined = F.coalesce(
+        F.col("_opens_over")
+        & F.lag("_closes_over").over(chunks)
+        & (minute("_opens") - minute(F.lag("_closes").over(chunks)) <= every_minutes),
+        F.lit(False),
+    )
+    own = F.col("_closes_over") & ~(F.col("_joined") & (F.col("_last_run") == F.col("_opens")))
+    before = chunks.rowsBetween(W.unboundedPreceding, -1)
+    carried = (
+        ends.withColumn("_joined", joined)
+        .withColumn("_own", F.when(own, F.col("_last_run")))
+        .select(*group, F.when(F.col("_joined"), F.last("_own", True).over(before)).alias("_from"))
+    )
+
+    began = F.when(F.col("_run") == F.col("_first"), F.coalesce("_from", "_run")).otherwise(F.col("_run"))
+    since = F.when(F.col("_breach"), began)
+    held = _seconds(ts) - _seconds("since") >= F.col(hold_minutes) * 60
+    state = F.when(F.col("since").isNull(), "normal").when(held, "firing").otherwise("pending")
+    return (
+        rows.join(carried, group, "left")
+        .select(*evaluations.columns, since.alias("since"))
+        .withColumn("state", state)
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.series import alert_hold, counter_increase
 from tidemark.plans.activity import GROUP_PATTERN, consumer_lag
+from tidemark.session import stage
 
 DLQ_PATTERN = r"bronze\..*\.dlq"
 
@@ -65,5 +66,9 @@ def rule_evaluations(
 
 
 def alerts(**histories: DataFrame) -> DataFrame:
-    """State of every rule at every evaluation."""
-    return alert_hold(rule_evaluations(**histories))
+    """State of every rule at every evaluation.
+
+    The evaluations are staged: measuring them is the costly part, and the hold
+    rule reads them more than once.
+    """
+    return alert_hold(stage(rule_evaluations(**histories), "evaluations"))
