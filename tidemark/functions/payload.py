@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 WHOLE_NUMBER = r"^[+-]?[0-9]+\z"
 PLAIN_DECIMAL = r"^[+-]?[0-9]{1,20}([.][0-9]{0,18})?\z"
 DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
-USUAL_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})\z"
 OFFSET_TIME = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{0,9})?)?"
     r"([Zz]|[+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?)?)\z"
@@ -116,11 +115,9 @@ def decimal_unfit(value: Column) -> Column:
 
 def iso_to_millis(value: Column) -> Column:
     """ISO-8601 text with an offset to epoch milliseconds, else null."""
-    unusual = F.regexp_replace(F.upper(value), NO_SECONDS, "$1:00$2")
-    moment = F.when(value.rlike(USUAL_TIME), value.try_cast("timestamp")).when(
-        value.rlike(OFFSET_TIME), unusual.try_cast("timestamp")
-    )
-    return F.unix_millis(moment)
+    padded = F.regexp_replace(F.upper(value), NO_SECONDS, "$1:00$2")
+    moment = F.coalesce(value.try_cast("timestamp"), padded.try_cast("timestamp"))
+    return F.when(value.rlike(OFFSET_TIME), F.unix_millis(moment))
 
 
 def micros_to_millis(value: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.payload import iso_to_millis
 from tidemark.operators.state import first_by
 from tidemark.schemas import API_ASSET
+from tidemark.session import stage
 
 CURRENCY = "usd"
 
@@ -98,7 +99,8 @@ def constraint_check(df: DataFrame, rules: TableRules) -> DataFrame:
 
     A numeric limit is broken when the value, rounded to the column's scale,
     has too many integer digits. Repeated keys are counted by a grouped count
-    and joined back, never by a window over one key's rows.
+    and joined back, never by a window over one key's rows. They are staged, so
+    that Spark knows their size: where they are few the rows need no shuffle.
     """
     broken: list[Column] = [
         F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in rules.required if c in df.columns
@@ -110,7 +112,7 @@ def constraint_check(df: DataFrame, rules: TableRules) -> DataFrame:
             limit = F.lit("1" + "0" * (precision - scale)).cast(f"decimal({precision - scale + 1},0)")
             broken.append(F.when(value >= limit, F.lit(f"{column} exceeds numeric({precision},{scale})")))
     keys = list(rules.key)
-    repeated = df.groupBy(*keys).count().filter("count > 1").select(*keys, F.lit(True).alias("_repeated"))
-    marked = df.join(repeated, keys, "left")
+    repeated = stage(df.groupBy(*keys).count().filter("count > 1").select(*keys), "repeated-keys")
+    marked = df.join(repeated.withColumn("_repeated", F.lit(True)), keys, "left")
     duplicate = F.when(F.col("_repeated"), F.lit(f"duplicate key ({', '.join(keys)})"))
     return marked.select(*df.columns, F.coalesce(*broken, duplicate).alias("violation"))

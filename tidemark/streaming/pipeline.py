@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,10 +77,12 @@ def start_bronze(
     return writer.trigger(processingTime=CHECKPOINT_EVERY).start()
 
 
-def _done(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    marker = hadoop.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def _done(spark: SparkSession, marker: str) -> bool:
+    """Whether the marker table was written to its end."""
+    try:
+        return spark.read.schema("id bigint").parquet(marker).count() > 0
+    except AnalysisException:
+        return False
 
 
 def snapshot_then_stream(
