@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.functions.clock import as_instant
-from tidemark.functions.wire import confluent_header
+from tidemark.functions.wire import confluent_header, frame
 from tidemark.operators import ingest, layout, subjects
 
 
@@ -82,3 +82,9 @@ def test_expired_folders_are_deleted(spark, folder):
     table = spark.read.schema("n int, ingestion_date date").parquet(path)
     assert layout.drop_expired(table, path, datetime(2024, 7, 1)) == [f"{path}/ingestion_date=2023-01-01"]
     assert spark.read.parquet(path).count() == 1
+
+
+def test_a_framed_body_reads_back(spark):
+    df = spark.createDataFrame([(b"body",)], "b binary").select(frame(F.col("b"), 70000).alias("value"))
+    [(magic, schema_id, body)] = df.select(*confluent_header(F.col("value"))).collect()
+    assert (magic, schema_id, bytes(body)) == (0, 70000, b"body")

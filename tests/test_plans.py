@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from tidemark.operators import layout, ranking
+from tidemark.operators import ingest, layout, ranking, series
 from tidemark.plans import gold, overview, reconcile, silver
 from tidemark.schemas import PRICES
 from tidemark.session import configure, work_dir
@@ -80,3 +80,24 @@ def test_a_large_rank_has_no_single_task_window_over_rows(spark):
     over_all = [line for line in text.splitlines() if "Exchange SinglePartition" in line]
     # the one-row total and the one-row-per-range offsets
     assert len(over_all) == 2
+
+
+def test_deltas_scan_staged_samples(spark):
+    samples = feeds.topic_offsets(spark, SF)
+    text = plan(series.counter_delta(samples))
+    # chunks, summaries of chunks, and the order of chunks within a series
+    assert text.count("Exchange hashpartitioning") <= 3 and "events.parquet" not in text
+
+
+def test_holds_window_within_chunks(spark):
+    text = plan(series.alert_hold(feeds.error_evaluations(spark, SF)))
+    assert "Exchange SinglePartition" not in text
+    for window in re.findall(r"Window \[.*?\], \[(.*?)\], \[", text):
+        assert "_chunk" in window or "rule_uid" in window
+
+
+def test_few_repeated_keys_move_no_rows(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    rules = ingest.TableRules(required=("l_orderkey",), numeric=(), key=("l_orderkey", "l_linenumber"))
+    text = plan(ingest.constraint_check(lines, rules))
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text

@@ -21,7 +21,7 @@ from tidemark.functions.payload import (
     text_or_null,
     ts_to_millis,
 )
-from tidemark.functions.wire import confluent_header
+from tidemark.functions.wire import confluent_header, frame
 
 __all__ = [
     "as_instant",
@@ -32,6 +32,7 @@ __all__ = [
     "decimal_unfit",
     "epoch_to_local_time",
     "event_month",
+    "frame",
     "ingest_stamp",
     "iso_to_millis",
     "judge_decimal",

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 MAGIC = 0
 
 
+def frame(body: Column, schema_id: int | Column) -> Column:
+    """A binary message body behind the header: magic byte, four-byte schema id."""
+    number = schema_id if isinstance(schema_id, Column) else F.lit(schema_id)
+    return F.concat(F.unhex(F.lpad(F.lit(format(MAGIC, "x")), 2, "0")), F.unhex(F.lpad(F.hex(number), 8, "0")), body)
+
+
 def confluent_header(value: Column) -> list[Column]:
     """``magic``, ``schema_id`` and ``body`` of a framed binary message.
 

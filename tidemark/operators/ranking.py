@@ -14,12 +14,13 @@ from tidemark.session import stage
 SINGLE_TASK_ROWS = 1_000_000
 
 
-def global_total(df: DataFrame, totals: dict[str, str]) -> DataFrame:
+def global_total(df: DataFrame, totals: dict[str, str], over: DataFrame | None = None) -> DataFrame:
     """Attach whole-table double sums: ``totals`` maps output name to column.
 
-    The same as ``sum(x) over ()``, but only the one-row total is moved.
+    The same as ``sum(x) over ()``, but only the one-row total is moved. Pass as
+    ``over`` the table ``df`` was made from, when that is cheaper to add up.
     """
-    one_row = df.agg(*[F.sum(F.col(c).cast("double")).alias(name) for name, c in totals.items()])
+    one_row = (df if over is None else over).agg(*[F.sum(F.col(c).cast("double")).alias(name) for name, c in totals.items()])
     return df.crossJoin(F.broadcast(one_row))
 
 

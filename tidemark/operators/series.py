@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 HOUR = 3600
 DAY = 24 * HOUR
 
@@ -72,9 +74,10 @@ def counter_delta(
     """Growth since the previous sample of the series, as ``delta``.
 
     A counter that fell was reset, so its growth is its new value. The first
-    sample of a series has no growth.
+    sample of a series has no growth. One sample per series and time is kept, and
+    staged, since the chunks and their summaries both read it.
     """
-    unique = samples.groupBy(*keys, ts).agg(F.max(value).alias(value))
+    unique = stage(samples.groupBy(*keys, ts).agg(F.max(value).alias(value)), "samples")
     before = carry_forward(chunked(unique, ts, chunk_seconds), keys, ts, {"_before": F.col(value)})
     now, was = F.col(value), F.col("_before")
     delta = F.when(was.isNull(), F.lit(0)).when(now < was, now).otherwise(now - was)

@@ -42,9 +42,8 @@ def market_overview(
     rank and shares then work on that much smaller table."""
     merged = stage(left_equi(latest_prices(price_facts), latest_caps(cap_facts)), "overview")
     ranked = market_cap_rank(merged, single_task_rows=single_task_rows)
-    totalled = global_total(
-        ranked, {"whole_market_cap": "market_cap", "whole_circulating_supply": "circulating_supply"}
-    )
+    wholes = {"whole_market_cap": "market_cap", "whole_circulating_supply": "circulating_supply"}
+    totalled = global_total(ranked, wholes, over=merged)
     shared = share_of_total(totalled, "volume_24h", "market_cap", "liquid_indicator_24h")
     shared = share_of_total(shared, "market_cap", "whole_market_cap", "market_dominance")
     shared = share_of_total(shared, "circulating_supply", "whole_circulating_supply", "supply_dominance")

@@ -28,6 +28,7 @@ class Targets:
     topic: dict[str, str] = field(default_factory=dict)
     dead_letters: dict[str, str] = field(default_factory=dict)
     avro_schema: str | None = None
+    schema_id: int | None = None
 
 
 def checked_rows(changes: DataFrame, feed: Feed, at: Column | None = None) -> DataFrame:
@@ -50,7 +51,7 @@ def fan_out(checked: DataFrame, batch_id: int, feed: Feed, targets: Targets) ->
         if targets.bronze:
             bronze_sink(accepted, targets.bronze, batch_id)
         if targets.topic:
-            kafka_sink(accepted, targets.topic, batch_id, targets.avro_schema)
+            kafka_sink(accepted, targets.topic, batch_id, targets.avro_schema, targets.schema_id)
         if targets.dead_letters:
             dead_letter_sink(rejected, targets.dead_letters, batch_id)
     finally:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.wire import frame
 from tidemark.operators.cdc import dlq_format, row_to_json
 from tidemark.schemas import Feed
 from tidemark.sources.landing import landing_path
@@ -51,12 +52,18 @@ def message_sink(messages: DataFrame, target: dict[str, str], batch_id: int) ->
         messages.write.format("kafka").options(**target).save()
 
 
-def kafka_sink(rows: DataFrame, target: dict[str, str], batch_id: int, avro_schema: str | None = None) -> None:
-    """Bronze rows as messages: JSON, or Avro where a schema is given."""
+def kafka_sink(
+    rows: DataFrame, target: dict[str, str], batch_id: int, avro_schema: str | None = None, schema_id: int | None = None
+) -> None:
+    """Bronze rows as messages: JSON, or Avro where a schema is given.
+
+    With the id that the registry gave the schema, Avro values carry its header.
+    """
     if avro_schema:
         from pyspark.sql.avro.functions import to_avro
 
-        messages = rows.select(to_avro(F.struct("*"), avro_schema).alias("value"))
+        body = to_avro(F.struct("*"), avro_schema)
+        messages = rows.select((body if schema_id is None else frame(body, schema_id)).alias("value"))
     else:
         messages = row_to_json(rows)
     message_sink(messages, target, batch_id)

@@ -380,10 +380,9 @@ def star_except(spark, sf_dir):
 @query
 def confluent_header(spark, sf_dir):
     """Framed messages: the schema id is the event type's length, and errors have a bad magic byte."""
-    magic = F.when(F.col("event_type") == "error", F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
-    schema_id = F.unhex(F.lpad(F.hex(F.length("event_type") + 70000), 8, "0"))
-    body = F.when(F.col("k") == 7, F.lit(None)).otherwise(F.encode("event_type", "UTF-8"))
-    framed = F.when(body.isNull(), magic).otherwise(F.concat(magic, schema_id, body))
+    whole = wire.frame(F.encode("event_type", "UTF-8"), F.length("event_type") + 70000)
+    damaged = F.when(F.col("event_type") == "error", F.overlay(whole, F.unhex(F.lit("01")), F.lit(1))).otherwise(whole)
+    framed = F.when(F.col("k") == 7, F.substring(damaged, 1, 1)).otherwise(damaged)
     messages = feeds.events(spark, sf_dir).select(framed.alias("value"))
     return (
         messages.select(*wire.confluent_header(F.col("value")))
