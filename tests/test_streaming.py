@@ -2,13 +2,14 @@
 
 import json
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators import cdc, state
-from tidemark.plans import silver
+from tidemark.plans import activity, gold, silver
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import CAPS, PRICES
 from tidemark.sources import changes, landing
@@ -138,6 +139,31 @@ def test_streamed_state_is_the_batch_state(spark, folder):
     assert spark.read.parquet(f"{folder}/compact").count() == 5
 
 
+def test_streamed_gold_is_the_batch_gold(spark, folder):
+    """Versions of one fact and one asset arrive in different batches."""
+    lines = spark.createDataFrame([(json.dumps(e),) for e in EVENTS], "value string")
+    good, _ = cdc.bronze(changes.envelope_from_json(lines, PRICES), PRICES, F.lit("2024-01-02").cast("timestamp"))
+    again = good.withColumns({"lsn": F.col("lsn") + 100, "marketCap": F.lit(7).cast("decimal(38,18)")}).filter("eventTimeMs % 120000 = 0")
+    good.unionByName(again).repartition(5).write.parquet(f"{folder}/bronze")
+    whole = spark.read.parquet(f"{folder}/bronze")
+    stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/bronze")
+    incremental.fact_stream(stream, PRICES, f"{folder}/fct", f"{folder}/c1", available_now=True).awaitTermination()
+    incremental.dim_asset_stream(stream, f"{folder}/dim", f"{folder}/c2", available_now=True).awaitTermination()
+    streamed = incremental.read_facts(spark, f"{folder}/fct", PRICES)
+    assert rows(streamed.drop("loaded_at")) == rows(gold.fct_market_prices(whole).drop("loaded_at"))
+    assert streamed.count() == 20 and spark.read.parquet(f"{folder}/fct").count() > 20
+    dim = gold.dim_asset(whole).drop("updated_at")
+    assert rows(incremental.read_dim_asset(spark, f"{folder}/dim")) == rows(dim)
+
+
+def test_broker_offsets_from_progress(spark):
+    source = SimpleNamespace(endOffset='{"t":{"0":5,"1":7}}', latestOffset='{"t":{"0":9,"1":7,"2":1}}')
+    files = SimpleNamespace(endOffset='{"logOffset":3}', latestOffset=None)
+    report = SimpleNamespace(timestamp="2024-01-01T00:00:00.000Z", name="flink-bronze-x", sources=[source, files])
+    offsets = progress.offset_rows(spark, [report])
+    assert offsets.count() == 3 and activity.consumer_lag(offsets).first().lag == 5
+
+
 def test_the_job_and_the_warehouse_end_to_end(spark, folder):
     """Both feeds through the command line job, then every view by SQL."""
     caps = [
@@ -152,6 +178,7 @@ def test_the_job_and_the_warehouse_end_to_end(spark, folder):
     lake = Warehouse(spark, f"{folder}/lake")
     lake.build_gold()
     assert lake.built_facts(PRICES).count() == 20 and lake.built_facts(CAPS).count() == 3
+    assert rows(lake.market_overview(built=True)) == rows(lake.market_overview())
     views = lake.register()
     assert len(views) == 13
     for view in views:

@@ -27,6 +27,7 @@ from tidemark.functions.payload import (
 from tidemark.schemas import Feed
 
 INTAKE = "intake"
+# The reason given for an unusable envelope, and the delete code.
 UNSUPPORTED = "null or unsupported record"
 DELETE = "d"
 

@@ -14,6 +14,7 @@ from tidemark.operators.state import first_by
 from tidemark.schemas import API_ASSET
 from tidemark.session import stage
 
+# Fixed value: the currency pages are asked in.
 CURRENCY = "usd"
 
 
@@ -74,6 +75,7 @@ class TableRules:
     key: tuple[str, ...]
 
 
+# The key, NOT NULL columns and numeric limits of both source tables.
 MARKET_KEY = ("asset_id", "currency", "event_time")
 PRICE_RULES = TableRules(
     required=(

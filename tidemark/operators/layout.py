@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import as_instant, local_date
 
+# Fixed value: months that bronze is kept.
 KEEP_MONTHS = 12
 
 

@@ -12,6 +12,7 @@ from tidemark.operators.series import alert_hold, counter_increase
 from tidemark.plans.activity import GROUP_PATTERN, consumer_lag
 from tidemark.session import stage
 
+# Fixed value: the dead-letter topics.
 DLQ_PATTERN = r"bronze\..*\.dlq"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import as_instant, local_date, minutes_between
 
+# Minutes behind, and the status names below.
 HEALTHY_MINUTES = 10
 DELAYED_MINUTES = 30
 

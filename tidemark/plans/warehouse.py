@@ -62,8 +62,10 @@ class Warehouse:
         """Facts as last written, by month."""
         return self.spark.read.schema(self.facts(feed).schema).parquet(f"{self.root}/gold/fct_{feed.name}")
 
-    def market_overview(self) -> DataFrame:
-        return overview.market_overview(self.facts(PRICES), self.facts(CAPS))
+    def market_overview(self, built: bool = False) -> DataFrame:
+        """From bronze as it is now, or from the fact tables as last built."""
+        facts = self.built_facts if built else self.facts
+        return overview.market_overview(facts(PRICES), facts(CAPS))
 
     def pipeline_health(self) -> DataFrame:
         rows = {name: gold.fact_rows(self.bronze(feed), feed) for name, feed in FEEDS.items()}

@@ -11,6 +11,7 @@ from tidemark.functions.clock import as_instant, local_date
 from tidemark.operators.layout import file_inventory
 from tidemark.schemas import Feed, bronze_schema, landing_schema
 
+# Fixed value: days that reconciliation looks back.
 CHECK_DAYS = 7
 
 

@@ -7,36 +7,87 @@ in place, and compaction only bounds how much there is to merge.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.state import STATE_KEYS, STATE_VERSION, partial_state, state_merge
+from tidemark.operators.state import STATE_KEYS, STATE_VERSION, partial_state, replacing_dedup, state_merge
+from tidemark.plans import gold
+from tidemark.schemas import PRICES, Feed, bronze_schema
 from tidemark.streaming.sinks import write_batch
 
 
-def latest_state_stream(
+def append_parts(
     events: DataFrame,
-    payload: Sequence[str],
+    part: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
-    keys: Sequence[str] = STATE_KEYS,
-    version: Sequence[str] = STATE_VERSION,
+    partition_by: Sequence[str] = (),
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append each micro-batch's newest event per key to the state table."""
+    """Append what each micro-batch contributes to a table, under its batch id."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        write_batch(partial_state(batch, payload, keys, version), path, batch_id)
+        write_batch(part(batch), path, batch_id, partition_by)
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
     return writer.trigger(**trigger).start()
 
 
+def latest_state_stream(
+    events: DataFrame,
+    payload: Sequence[str],
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str] = STATE_KEYS,
+    version: Sequence[str] = STATE_VERSION,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep each micro-batch's newest event per key as partial state."""
+    return append_parts(
+        events, lambda batch: partial_state(batch, payload, keys, version), path, checkpoint, available_now=available_now
+    )
+
+
+def fact_stream(
+    bronze: DataFrame, feed: Feed, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Keep each micro-batch's facts, by event month."""
+
+    def part(batch: DataFrame) -> DataFrame:
+        facts = replacing_dedup(gold.fact_rows(batch, feed), gold.FACT_KEY, "lsn")
+        return facts.withColumn("event_month", gold.event_month(F.col("event_time_ms")))
+
+    return append_parts(bronze, part, path, checkpoint, ["event_month"], available_now)
+
+
+def read_facts(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+    """The fact table: the highest version over all batches."""
+    shape = gold.fact_rows(spark.createDataFrame([], bronze_schema(feed)), feed).schema
+    return gold.fact_table(spark.read.schema(shape).parquet(path).select(*shape.names))
+
+
+def dim_asset_stream(prices: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Keep each micro-batch's newest attributes per asset."""
+    return append_parts(
+        prices,
+        lambda batch: replacing_dedup(gold.dim_asset_rows(batch), gold.DIM_KEY, "last_lsn"),
+        path,
+        checkpoint,
+        available_now=available_now,
+    )
+
+
+def read_dim_asset(spark: SparkSession, path: str) -> DataFrame:
+    shape = gold.dim_asset_rows(spark.createDataFrame([], bronze_schema(PRICES))).schema
+    parts = spark.read.schema(shape).parquet(path).select(*shape.names)
+    return replacing_dedup(parts, gold.DIM_KEY, "last_lsn")
+
+
 def read_state(
     spark: SparkSession,
     path: str,

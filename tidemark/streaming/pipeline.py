@@ -15,6 +15,7 @@ from tidemark.operators.cdc import cdc_validate, dlq_split, stamp
 from tidemark.schemas import Feed
 from tidemark.streaming.sinks import bronze_sink, dead_letter_sink, kafka_sink, lz_sink
 
+# Fixed value: time between checkpoints.
 CHECKPOINT_EVERY = "30 seconds"
 SNAPSHOT_BATCH = -1
 
@@ -65,11 +66,12 @@ def start_bronze(
     checkpoint: str,
     available_now: bool = False,
     at: Column | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Run a change stream into its targets until stopped, or until caught up."""
     writer = (
         checked_rows(changes, feed, at)
-        .writeStream.queryName(f"bronze_{feed.name}_{abs(hash(checkpoint))}")
+        .writeStream.queryName(name or f"bronze-{feed.name}")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: fan_out(batch, batch_id, feed, targets))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -22,6 +23,43 @@ CHECKPOINT_METRIC = T.StructType(
 )
 
 
+CONSUMER_OFFSETS = T.StructType(
+    [
+        T.StructField("ts", T.TimestampType()),
+        T.StructField("consumergroup", T.StringType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("end_offset", T.LongType()),
+        T.StructField("committed_offset", T.LongType()),
+    ]
+)
+
+
+def _moment(progress) -> datetime:
+    return datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+
+
+def offset_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
+    """Latest and read offsets per topic partition of queries that read a broker.
+
+    The query's name stands for the consumer group. Other sources report
+    offsets of another shape and are left out.
+    """
+    rows = []
+    for p in progress:
+        for source in p.sources:
+            read, latest = (json.loads(text) if text else None for text in (source.endOffset, source.latestOffset))
+            if not (isinstance(read, dict) and isinstance(latest, dict)):
+                continue
+            for topic, partitions in latest.items():
+                if isinstance(partitions, dict):
+                    known = read.get(topic, {})
+                    rows += [
+                        (_moment(p), p.name, topic, int(n), int(end), int(known.get(n, 0))) for n, end in partitions.items()
+                    ]
+    return spark.createDataFrame(rows, CONSUMER_OFFSETS)
+
+
 def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
     """One metric row per reported micro-batch (the query keeps the last 100)."""
     rows = []
@@ -30,7 +68,7 @@ def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
         intake = next((row for name, row in observed.items() if name.startswith(INTAKE)), None)
         rows.append(
             (
-                datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")),
+                _moment(p),
                 p.name,
                 p.batchId,
                 int((p.durationMs or {}).get("triggerExecution", 0)),

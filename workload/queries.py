@@ -58,17 +58,20 @@ def event_clock() -> Column:
     return F.timestamp_millis("eventTimeMs")
 
 
+FEED_FILE_ROWS = 16384
+
+
 def staged_feed(spark: SparkSession, rows: DataFrame, feed: Feed) -> DataFrame:
     """Change events written as files and scanned back as a bounded feed."""
     path = work_dir(spark, f"{feed.name}-changes")
-    rows.select("envelope.*").write.parquet(path)
+    rows.select("envelope.*").write.option("maxRecordsPerFile", FEED_FILE_ROWS).parquet(path)
     return changes.cdc_stream(spark, feed, path, fmt="parquet", streaming=False)
 
 
 def json_feed(spark: SparkSession, rows: DataFrame, feed: Feed, **options: str) -> DataFrame:
     """Change events written as JSON lines and read back as a stream."""
     path = work_dir(spark, f"{feed.name}-json")
-    rows.select(F.to_json("envelope").alias("value")).write.text(path)
+    rows.select(F.to_json("envelope").alias("value")).write.option("maxRecordsPerFile", FEED_FILE_ROWS).text(path)
     return changes.cdc_stream(spark, feed, path, fmt="json", **options)
 
 
