@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, token_counts
+from tidemark.llm import byte_bpe, exact_dedup, mixing, oracle, token_counts
 from tidemark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.members(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model, limit=1024)
@@ -23,8 +27,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share_percent=150, max_epochs=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 REGISTRY: dict[str, Query] = {
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_mixing": op9_mixing,
+}
+SQL: dict[str, str] = {
+    "op5_exact_dedup": oracle.OP5,
+    "op9_mixing": oracle.OP9,
 }
-SQL: dict[str, str] = {}
