@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, exact_dedup, mixing, oracle, token_counts
+from tidemark.llm import byte_bpe, exact_dedup, mixing, near_dedup, oracle, token_counts
 from tidemark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.links(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_mixing": op9_mixing,
+    "op10_near_dedup": op10_near_dedup,
 }
 SQL: dict[str, str] = {
     "op5_exact_dedup": oracle.OP5,
