@@ -8,16 +8,42 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe
+from tidemark.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
 from tidemark.session import stage as staged
 
 
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without a letter, or whose languages are so many that none has a quarter of it, go."""
+    return language_id.accepted(docs, least=0.25)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Exact dedup: of equal texts the longest original stays."""
+    return exact_dedup.keep_one(docs)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of linked documents one stays."""
+    return near_dedup.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: each document stands as often as the mix takes it, up to twice."""
+    return mixing.mixed(docs, weights=(3, 1, 2), share_percent=150, max_epochs=2)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: a row of digests and counts for each document of the mix."""
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("byte_bpe", encode)]
+STAGES = [
+    ("language_id", identify),
+    ("exact_dedup", dedup),
+    ("near_dedup", dedup_near),
+    ("mixing", mix),
+    ("byte_bpe", encode),
+]
 
 # Language inference by expectation-maximisation and BPE are beyond SQL.
 ORACLE_SQL = None

@@ -330,3 +330,24 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         (F.col("winner") & (F.col("nth") == 1)).alias("kept"),
         F.hex("class").alias("class"),
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of linked documents the row marked kept, with all its columns."""
+    kept = links(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"), F.col("class").alias("__class"))
+    found = docs.join(kept, docs[id_col].eqNullSafe(kept["__id"]))
+    # Where an id names several rows, the kept class tells them apart; alike rows are taken once.
+    several = Window.partitionBy(id_col)
+    marked = found.withColumn("__rows", F.count("*").over(several))
+    single = marked.where("__rows = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = marked.where("__rows > 1")
+
+    @F.pandas_udf("string")
+    def class_of(texts: pd.Series) -> pd.Series:
+        parts = [shingle_sets(part, WORDS) for part in buffers(((t or "").encode() for t in texts), BUFFER)]
+        return pd.Series([digest_of(s).hex().upper() for part in parts for s in part], dtype="object")
+
+    same = repeated.where(class_of(F.col(text_col)) == F.col("__class"))
+    order = Window.partitionBy(id_col, "__class").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    one = same.withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
+    return single.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))

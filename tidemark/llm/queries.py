@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, exact_dedup, mixing, near_dedup, oracle, token_counts
+from tidemark.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup, oracle, secrets, token_counts
 from tidemark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.members(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_predictions(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share_percent=150, max_epochs=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -37,9 +45,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op3_secrets": op3_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
 }
