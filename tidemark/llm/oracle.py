@@ -45,3 +45,40 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
     (size * least(2, epochs + CASE WHEN size > 0 AND (2 * before + size)::DOUBLE <= 2 * (target - epochs * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM p
 """
+
+OP4 = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS name, replace(coalesce(text, ''), '<|', '< |') AS text,
+        CAST(floor(turn / 64) AS BIGINT) AS segment
+    FROM conversations
+), v AS (
+    SELECT DISTINCT s.conv_id, s.segment, p.name AS participant
+    FROM t s LEFT JOIN (SELECT DISTINCT conv_id, name FROM t WHERE name <> 'system') p ON s.conv_id = p.conv_id
+), r AS (
+    SELECT t.*, participant, coalesce(name = participant, false) AS own,
+        '<|im_start|>' || CASE WHEN name = participant THEN 'assistant' WHEN name = 'system' THEN 'system'
+            ELSE 'user name=' || regexp_replace(name, '[\x00-\x20<>|]+', '_', 'g') END || chr(10) AS head,
+        text || '<|im_end|>' || chr(10) AS body
+    FROM t JOIN v ON t.conv_id = v.conv_id AND t.segment = v.segment
+), o AS (
+    SELECT *, sum(length(head) + length(body)) OVER w AS upto, row_number() OVER w AS nth
+    FROM r WINDOW w AS (PARTITION BY conv_id, participant, segment ORDER BY turn, name, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, participant, segment, 0 AS part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+    string_agg(head || body, '' ORDER BY nth) AS text,
+    coalesce(string_agg((upto - length(body))::BIGINT || ':' || upto::BIGINT, ',' ORDER BY nth) FILTER (own), '') AS mask
+FROM o GROUP BY conv_id, participant, segment
+"""
+
+OP2 = r"""
+WITH v AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

@@ -6,17 +6,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup, oracle, secrets, token_counts
+from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, metric_search, mixing, near_dedup, oracle, secrets, token_counts
 from tidemark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return metric_search.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_views.views(table(spark, sf_dir, "conversations"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.members(table(spark, sf_dir, "documents"))
 
@@ -45,7 +55,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_metric_search": op2_metric_search,
     "op3_secrets": op3_secrets,
+    "op4_chat_views": op4_chat_views,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
@@ -54,6 +66,8 @@ REGISTRY: dict[str, Query] = {
     "op10_near_dedup": op10_near_dedup,
 }
 SQL: dict[str, str] = {
+    "op2_metric_search": oracle.OP2,
+    "op4_chat_views": oracle.OP4,
     "op5_exact_dedup": oracle.OP5,
     "op9_mixing": oracle.OP9,
 }
