@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, metric_search, mixing, near_dedup, oracle, secrets, token_counts
+from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, metric_search, mixing, near_dedup, oracle, secrets, suffix_dedup, token_counts
 from tidemark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return metric_search.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
@@ -55,6 +59,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_metric_search": op2_metric_search,
     "op3_secrets": op3_secrets,
     "op4_chat_views": op4_chat_views,
