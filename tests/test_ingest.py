@@ -4,6 +4,7 @@ import json
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -15,15 +16,40 @@ from tidemark.operators import ingest, layout, subjects
 def test_a_page_gives_a_price_and_a_cap_per_asset(spark):
     asset = {"id": "btc", "symbol": "b", "name": "B", "image": "i", "last_updated": "2024-01-02T03:04:05.123Z",
              "current_price": 0.1, "market_cap": 12345678901234.56, "total_supply": 21}
-    pages = spark.createDataFrame([(json.dumps([asset, {**asset, "id": "eth"}]),), ("[]",)], "body string")
-    prices, caps = ingest.api_page_explode(pages, loaded_at=as_instant(datetime(2024, 1, 3)))
-    assert prices.count() == caps.count() == 2
+    pages = spark.createDataFrame([(1, json.dumps([asset, {**asset, "id": "eth"}])), (2, "[]")], "page int, body string")
+    prices, caps, rejects = ingest.api_page_explode(pages, loaded_at=as_instant(datetime(2024, 1, 3)))
+    assert prices.count() == caps.count() == 2 and rejects.count() == 0
     price, cap = prices.filter("asset_id = 'btc'").first(), caps.filter("asset_id = 'eth'").first()
     assert (price.price, price.currency, price.volume_24h) == (Decimal("0.1"), "usd", None)
     assert price.event_time == datetime(2024, 1, 2, 3, 4, 5, 123000)
     assert (cap.market_cap, cap.total_supply, cap.max_supply) == (Decimal("12345678901234.56"), Decimal(21), None)
 
 
+def test_bad_pages_and_assets_are_rejected_not_lost(spark):
+    asset = {"id": "btc", "symbol": "b", "name": "B", "image": "i", "last_updated": "2024-01-02T03:04:05Z", "current_price": 1}
+    bodies = [json.dumps([asset])[:-4], '{"error": "limit"}', None, json.dumps([asset, {**asset, "current_price": "x"}, {**asset, "name": None}])]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "page int, body string")
+    assets, rejects = ingest.api_assets(pages)
+    whole = "page is not a JSON array"
+    assert rows(rejects.select("page", "reason")) == [(0, whole), (1, whole), (2, whole), (3, "current_price is no decimal(38,18)"), (3, "name is missing")]
+    assert assets.count() == 1
+
+
+def test_page_rows_meet_the_table_rules(spark):
+    asset = {"id": "btc", "symbol": "b", "name": "B", "image": "i", "last_updated": "2024-01-02T03:04:05Z", "current_price": 1}
+    page = json.dumps([asset, {**asset, "symbol": "late"}, {**asset, "id": "big", "current_price": 12345678901}, {**asset, "id": "old"}])
+    prices, _, _ = ingest.api_page_explode(spark.createDataFrame([(1, page)], "page int, body string"), loaded_at=as_instant(datetime(2024, 1, 3)))
+    held = prices.filter("asset_id = 'old'")
+    added, refused = ingest.page_inserts(prices, held, ingest.PRICE_RULES, as_instant(datetime(2024, 1, 3)))
+    assert [r.asset_id for r in added.collect()] == ["btc"]
+    assert rows(refused.select("asset_id", "violation")) == [("big", "price exceeds numeric(18,8)")]
+
+
+def test_absent_columns_are_an_error(spark):
+    with pytest.raises(ValueError, match="price"):
+        ingest.constraint_check(spark.range(1).withColumnRenamed("id", "asset_id"), ingest.PRICE_RULES)
+
+
 def test_the_first_write_wins(spark):
     target = spark.createDataFrame([("a", 1)], "k string, v int")
     batch = spark.createDataFrame([("a", 9, 0), ("b", 3, 2), ("b", 2, 1), ("b", 1, 1)], "k string, v int, n int")

@@ -76,7 +76,7 @@ def test_totals_move_one_row(spark):
 
 def test_a_large_rank_has_no_single_task_window_over_rows(spark):
     rows = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "value")
-    text = plan(ranking.market_cap_rank(rows, "value", "r", single_task_rows=0))
+    text = plan(ranking.market_cap_rank(rows, "value", "r"))
     over_all = [line for line in text.splitlines() if "Exchange SinglePartition" in line]
     # the one-row total and the one-row-per-range offsets
     assert len(over_all) == 2

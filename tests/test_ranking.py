@@ -17,13 +17,12 @@ def test_ranges_rank_like_one_window(spark, seed):
     value = lambda: draw.choice([500, None, draw.randrange(1000), draw.randrange(1000)])
     df = spark.createDataFrame([(i, value()) for i in range(3000)], "asset_id int, market_cap int")
     want = df.withColumn("r", F.rank().over(W.orderBy(F.desc_nulls_last("market_cap"))).cast("bigint"))
-    for limit in (0, 10_000):
-        assert rows(ranking.market_cap_rank(df, out="r", single_task_rows=limit)) == rows(want)
+    assert rows(ranking.market_cap_rank(df, out="r")) == rows(want)
 
 
 def test_all_null_and_empty_tables(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "asset_id int, market_cap int")
-    assert rows(ranking.market_cap_rank(df, out="r", single_task_rows=0)) == [(1, None, 1), (2, None, 1)]
+    assert rows(ranking.market_cap_rank(df, out="r")) == [(1, None, 1), (2, None, 1)]
     assert ranking.market_cap_rank(df.limit(0), out="r").count() == 0
 
 

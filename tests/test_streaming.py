@@ -2,16 +2,15 @@
 
 import json
 from datetime import datetime
-from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators import cdc, state
-from tidemark.plans import activity, gold, silver
+from tidemark.plans import activity, alerts, gold, silver
 from tidemark.plans.warehouse import Warehouse
-from tidemark.schemas import CAPS, PRICES
+from tidemark.schemas import CAPS, PRICES, bronze_schema
 from tidemark.sources import changes, landing
 from tidemark.streaming import app, incremental, pipeline, progress, sinks
 from test_cdc import CAP_IMAGE, IMAGE, SOURCE, envelope
@@ -61,7 +60,8 @@ def test_one_file_or_many_give_the_batch_result(spark, folder):
     lines = changes.cdc_stream(spark, PRICES, f"{folder}/one/in", streaming=False)
     bare = [c for c in PRICES.bronze_columns if not c.startswith("ingestion")]
     assert rows(cdc.cdc_parse(lines, PRICES).select(*bare)) == first["bronze"]
-    metrics = progress.progress_rows(spark, query.recentProgress)
+    lines = spark.createDataFrame([(p.json,) for p in query.recentProgress], "value string")
+    metrics = progress.progress_rows(lines)
     total = metrics.agg(F.sum("rows_in").alias("n"), F.sum("rejected").alias("bad")).first()
     assert (total.n, total.bad) == (22, 2)
 
@@ -157,13 +157,65 @@ def test_streamed_gold_is_the_batch_gold(spark, folder):
 
 
 def test_broker_offsets_from_progress(spark):
-    source = SimpleNamespace(endOffset='{"t":{"0":5,"1":7}}', latestOffset='{"t":{"0":9,"1":7,"2":1}}')
-    files = SimpleNamespace(endOffset='{"logOffset":3}', latestOffset=None)
-    report = SimpleNamespace(timestamp="2024-01-01T00:00:00.000Z", name="flink-bronze-x", sources=[source, files])
-    offsets = progress.offset_rows(spark, [report])
+    offsets = progress.offset_rows(spark.createDataFrame([(broker_report("bronze-market_prices", 0, 5),)], "value string"))
     assert offsets.count() == 3 and activity.consumer_lag(offsets).first().lag == 5
 
 
+def broker_report(name, minute, behind, rejected=0):
+    """What a query that reads a broker reports of one batch."""
+    return json.dumps({
+        "name": name, "runId": "r", "batchId": minute, "timestamp": f"2024-01-01T00:{minute:02}:00.000Z",
+        "durationMs": {"triggerExecution": 10 + minute}, "observedMetrics": {"intake_x": {"rows_in": 9, "rejected": rejected}},
+        "sources": [
+            {"startOffset": None, "endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": {"t": {"0": 4 + behind, "1": 7, "2": 1}}},
+            {"startOffset": None, "endOffset": {"logOffset": 3}, "latestOffset": None},
+        ],
+    })
+
+
+def test_every_batch_is_kept_and_alerts_fire(spark, folder):
+    """More batches than a query remembers, under the name that the job itself gives its query."""
+    write_files(spark, f"{folder}/in", EVENTS, 1)
+    stream = changes.cdc_stream(spark, PRICES, f"{folder}/in")
+    job = pipeline.start_bronze(stream, PRICES, pipeline.Targets(bronze=f"{folder}/bronze"), f"{folder}/check", available_now=True)
+    job.awaitTermination()
+    lake = Warehouse(spark, f"{folder}/lake")
+    log = progress.ProgressLog(spark, f"{lake.monitoring}/progress")
+    for n in range(130):
+        report = json.loads(broker_report(job.name, n % 60, 5000 if n < 60 else 1, rejected=int(n == 30)))
+        log.keep("run", n, json.dumps({**report, "batchId": n, "timestamp": f"2024-01-01T{n // 60:02}:{n % 60:02}:00.000Z"}))
+        log.keep("run", n, json.dumps({**report, "batchId": n, "timestamp": f"2024-01-01T{n // 60:02}:{n % 60:02}:00.000Z"}))
+    assert progress.progress_rows(lake.progress()).count() == 130
+    assert lake.checkpoint_duration().first().max_ms == 69
+    states = alerts.alerts(
+        topic_offsets=progress.dead_letter_offsets(lake.progress()), consumer_offsets=progress.offset_rows(lake.progress())
+    )
+    fired = {(r.rule_uid, r.ts.hour * 60 + r.ts.minute) for r in states.filter("state = 'firing'").collect()}
+    assert {m for uid, m in fired if uid == alerts.CONSUMER_LAG.uid} == set(range(10, 60))
+    assert {m for uid, m in fired if uid == alerts.DEAD_LETTERS.uid} == set(range(30, 40))
+
+
+def test_a_new_checkpoint_leaves_earlier_rows(spark, folder):
+    """Ten rows through one checkpoint, three more through another, into the same targets."""
+    targets = pipeline.Targets(
+        landing=f"{folder}/lz", bronze=f"{folder}/bronze", topic={"path": f"{folder}/topic"}, dead_letters={"path": f"{folder}/dlq"}
+    )
+    for n, events in enumerate((EVENTS[:10] + EVENTS[20:21], EVENTS[10:13] + EVENTS[20:21])):
+        write_files(spark, f"{folder}/in{n}", events, 1)
+        stream = changes.cdc_stream(spark, PRICES, f"{folder}/in{n}")
+        pipeline.start_bronze(stream, PRICES, targets, f"{folder}/check{n}", available_now=True).awaitTermination()
+        bronze = spark.readStream.schema(bronze_schema(PRICES)).parquet(targets.bronze)
+        payload = silver.state_payload(PRICES)
+        incremental.latest_state_stream(bronze, payload, f"{folder}/state", f"{folder}/s{n}", available_now=True).awaitTermination()
+        incremental.fact_stream(bronze, PRICES, f"{folder}/fct", f"{folder}/f{n}", available_now=True).awaitTermination()
+    kept = stored(spark, targets)
+    assert len(kept["bronze"]) == len(kept["landing"]) == kept["topic"] == 13 and len(kept["dlq"]) == 2
+    whole = landing.bronze_scan(spark, targets.bronze, PRICES)
+    assert incremental.read_facts(spark, f"{folder}/fct", PRICES).count() == gold.fct_market_prices(whole).count() == 13
+    shape = whole.select(*state.STATE_KEYS, *state.STATE_VERSION, *payload).schema
+    assert rows(incremental.read_state(spark, f"{folder}/state", shape)) == rows(silver.latest_state(whole, PRICES))
+
+
 def test_the_job_and_the_warehouse_end_to_end(spark, folder):
     """Both feeds through the command line job, then every view by SQL."""
     caps = [
@@ -189,3 +241,6 @@ def test_the_job_and_the_warehouse_end_to_end(spark, folder):
     assert top.circulating_supply == 19 and top.max_supply is None
     assert {r.table_name: r["rows"] for r in lake.row_counts().collect()}["bronze.market_prices"] == 20
     assert lake.file_inventory(PRICES).first().objects >= 1
+    assert {r.job_name for r in lake.checkpoint_duration().collect()} == {"bronze-market_prices", "bronze-market_caps"}
+    lake.record_checks()
+    assert lake.alerts().filter("rule_uid = 'sink-validation-mismatch'").first().state == "normal"

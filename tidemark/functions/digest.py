@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_MARK = "~"
-FIELD_MARK = "|"
 
 
 def row_hash(columns: Sequence[str | Column]) -> Column:
@@ -23,11 +21,13 @@ def row_hash(columns: Sequence[str | Column]) -> Column:
 def portable_hash(columns: Sequence[str | Column]) -> Column:
     """60-bit row hash that any engine with md5 can recompute.
 
-    Slower than ``row_hash``; for comparing against a copy outside Spark.
+    Each field stands behind its length, a null as a bare sign, so different rows
+    have different texts. Slower than ``row_hash``; for comparing against a copy
+    outside Spark.
     """
     texts = []
     for column in columns:
-        value = F.col(column) if isinstance(column, str) else column
-        texts.append(F.coalesce(value.cast("string"), F.lit(NULL_MARK)))
-    digest = F.md5(F.concat_ws(FIELD_MARK, *texts))
+        text = (F.col(column) if isinstance(column, str) else column).cast("string")
+        texts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    digest = F.md5(F.concat(*texts))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")

@@ -126,9 +126,10 @@ def micros_to_millis(value: Column) -> Column:
 
 
 def ts_to_millis(value: Column, kind: T.DataType) -> Column:
-    """Time field of a payload, by the type it arrives in."""
+    """Time field of a payload, by the type it arrives in. In text, a whole number is microseconds."""
     if isinstance(kind, T.StringType):
-        return iso_to_millis(value)
+        number = F.when(value.rlike(WHOLE_NUMBER), value.try_cast("bigint"))
+        return F.coalesce(iso_to_millis(value), micros_to_millis(number))
     if isinstance(kind, T.LongType):
         return micros_to_millis(value)
     if isinstance(kind, T.TimestampType):

@@ -9,23 +9,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.payload import iso_to_millis
+from tidemark.functions.payload import decimal_or_null, iso_to_millis, text_or_null
 from tidemark.operators.state import first_by
-from tidemark.schemas import API_ASSET
+from tidemark.schemas import API_ASSET, MONEY
 from tidemark.session import stage
 
 # Fixed value: the currency pages are asked in.
 CURRENCY = "usd"
 
 
+# What an asset of a page must have, and its numbers.
+ASSET_REQUIRED = ("id", "symbol", "name", "image", "last_updated", "current_price")
+ASSET_NUMBERS = tuple(f.name for f in API_ASSET if f.dataType == MONEY)
+
+
+def api_assets(pages: DataFrame, body: str = "body", page: str = "page") -> tuple[DataFrame, DataFrame]:
+    """The assets of JSON array pages as struct ``a``, and the rejects: page, reason, body.
+
+    A page that is no whole JSON array is rejected as a whole. An asset is
+    rejected, with its own text, for the first required field it lacks, a time
+    without offset, or a number that is none. Every asset of a readable page comes
+    out on one side or the other.
+    """
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in API_ASSET])
+    items = F.from_json(F.col(body), T.ArrayType(T.StringType()))
+    is_array = F.coalesce(F.col(body).rlike(r"^\s*\[") & F.col(body).rlike(r"\]\s*\z") & items.isNotNull(), F.lit(False))
+    marked = pages.select(F.col(page).alias("page"), F.col(body).alias("body"), is_array.alias("ok"), items.alias("items"))
+    lost = marked.filter(~F.col("ok")).select("page", F.lit("page is not a JSON array").alias("reason"), "body")
+    texts = marked.filter("ok").select("page", F.explode("items").alias("body"))
+    read = texts.withColumn("t", F.from_json("body", as_text))
+    faults = [F.when(F.coalesce(text_or_null(F.col(f"t.{c}")), F.lit("")) == "", F.lit(f"{c} is missing")) for c in ASSET_REQUIRED]
+    faults.append(F.when(iso_to_millis(F.col("t.last_updated")).isNull(), F.lit("last_updated is no time with offset")))
+    faults += [
+        F.when(F.col(f"t.{c}").isNotNull() & decimal_or_null(F.col(f"t.{c}")).isNull(), F.lit(f"{c} is no decimal(38,18)"))
+        for c in ASSET_NUMBERS
+    ]
+    judged = read.withColumn("reason", F.coalesce(*faults))
+    typed = F.struct(*[(decimal_or_null(F.col(f"t.{f.name}")) if f.name in ASSET_NUMBERS else F.col(f"t.{f.name}")).alias(f.name) for f in API_ASSET])
+    rejected = judged.filter("reason is not null").select("page", "reason", F.coalesce("body", F.lit("null")).alias("body"))
+    return judged.filter("reason is null").select("page", typed.alias("a")), lost.unionByName(rejected)
+
+
 def api_page_explode(
-    pages: DataFrame, body: str = "body", loaded_at: Column | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Price rows and cap rows of JSON array pages, one of each per asset."""
+    pages: DataFrame, body: str = "body", loaded_at: Column | None = None, page: str = "page"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Price rows and cap rows of JSON array pages, one of each per asset, and the rejects."""
     clock = F.current_timestamp() if loaded_at is None else loaded_at
-    assets = pages.select(
-        F.explode(F.from_json(F.col(body), T.ArrayType(API_ASSET))).alias("a"), clock.alias("source_ts")
-    )
+    accepted, rejected = api_assets(pages, body, page)
+    assets = accepted.select("a", clock.alias("source_ts"))
     identity = [
         F.col("a.id").alias("asset_id"),
         F.col("a.symbol").alias("symbol"),
@@ -51,19 +82,40 @@ def api_page_explode(
         event_time,
         "source_ts",
     )
-    return prices, caps
+    return prices, caps, rejected
 
 
-def anti_existing(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows whose key is not in the target. Only the target's keys are read."""
+def page_inserts(rows: DataFrame, target: DataFrame, rules: TableRules, created_at: Column) -> tuple[DataFrame, DataFrame]:
+    """What rows of pages add to their table, and the rows its constraints refuse, with the violation.
+
+    Of rows that repeat a key the first by source time is inserted, as the table
+    would ignore the later ones; keys that the table holds already add nothing.
+    """
+    made = rows.withColumn("created_at", created_at)
+    first = first_by(made, list(rules.key), ["source_ts"])
+    checked = constraint_check(first, rules)
+    good = checked.filter("violation is null").drop("violation")
+    return anti_existing(good, target, list(rules.key)), checked.filter("violation is not null")
+
+
+def anti_existing(batch: DataFrame, target: DataFrame, keys: Sequence[str], within: str | None = None) -> DataFrame:
+    """Batch rows whose key is not in the target. Only the target's keys are read.
+
+    ``within`` names a key column, such as the time or day the target is laid out
+    by: only the target's part between the batch's least and greatest value of it
+    is read. Two values reach the driver.
+    """
+    if within is not None:
+        least, most = batch.agg(F.min(within), F.max(within)).first()
+        target = target.filter(F.col(within).between(F.lit(least), F.lit(most)))
     return batch.join(target.select(*keys), list(keys), "left_anti")
 
 
 def insert_ignore(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], arrival: Sequence[str]
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], arrival: Sequence[str], within: str | None = None
 ) -> DataFrame:
     """Rows a batch adds when existing keys are left alone: the first write wins."""
-    return anti_existing(first_by(batch, keys, arrival), target, keys)
+    return anti_existing(first_by(batch, keys, arrival), target, keys, within)
 
 
 @dataclass(frozen=True)
@@ -99,20 +151,22 @@ CAP_RULES = TableRules(
 def constraint_check(df: DataFrame, rules: TableRules) -> DataFrame:
     """Add ``violation``: the first broken rule of each row, or null.
 
+    A frame that lacks a column of the rules is an error, not a pass.
+
     A numeric limit is broken when the value, rounded to the column's scale,
     has too many integer digits. Repeated keys are counted by a grouped count
     and joined back, never by a window over one key's rows. They are staged, so
     that Spark knows their size: where they are few the rows need no shuffle.
     """
-    broken: list[Column] = [
-        F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in rules.required if c in df.columns
-    ]
+    absent = {*rules.required, *(c for c, _, _ in rules.numeric), *rules.key} - set(df.columns)
+    if absent:
+        raise ValueError(f"columns of the rules are absent: {', '.join(sorted(absent))}")
+    broken: list[Column] = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in rules.required]
     for column, precision, scale in rules.numeric:
-        if column in df.columns:
-            value = F.round(F.abs(F.col(column)), scale)
-            # as narrow as it can be: a wider type would round the value it meets
-            limit = F.lit("1" + "0" * (precision - scale)).cast(f"decimal({precision - scale + 1},0)")
-            broken.append(F.when(value >= limit, F.lit(f"{column} exceeds numeric({precision},{scale})")))
+        value = F.round(F.abs(F.col(column)), scale)
+        # as narrow as it can be: a wider type would round the value it meets
+        limit = F.lit("1" + "0" * (precision - scale)).cast(f"decimal({precision - scale + 1},0)")
+        broken.append(F.when(value >= limit, F.lit(f"{column} exceeds numeric({precision},{scale})")))
     keys = list(rules.key)
     repeated = stage(df.groupBy(*keys).count().filter("count > 1").select(*keys), "repeated-keys")
     marked = df.join(repeated.withColumn("_repeated", F.lit(True)), keys, "left")

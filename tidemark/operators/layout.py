@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import as_instant, local_date
@@ -76,8 +76,12 @@ def drop_expired(
     return sorted(names)
 
 
-def file_inventory(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Object count and total bytes of the files behind a DataFrame."""
-    listed = files.select(*by, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
-    per_file = listed.groupBy(*by, "path").agg(F.max("size").alias("size"))
-    return per_file.groupBy(*by).agg(F.count("*").alias("objects"), F.sum("size").alias("bytes"))
+def file_inventory(spark: SparkSession, path: str, by: Sequence[str] = (), pattern: str = "*.parquet") -> DataFrame:
+    """Object count and total bytes of the files under a folder, by directory values.
+
+    Spark lists the files; nothing in them is read, so empty ones count too.
+    ``by`` names the ``name=value`` directories to group by; values are text.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    values = [F.nullif(F.regexp_extract("path", rf"/{name}=([^/]*)/", 1), F.lit("")).alias(name) for name in by]
+    return files.select(*values, "length").groupBy(*by).agg(F.count("*").alias("objects"), F.sum("length").alias("bytes"))

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-# Up to this many rows one task ranks the table; beyond it the ranges are split.
-SINGLE_TASK_ROWS = 1_000_000
-
-
 def global_total(df: DataFrame, totals: dict[str, str], over: DataFrame | None = None) -> DataFrame:
     """Attach whole-table double sums: ``totals`` maps output name to column.
 
@@ -24,19 +20,14 @@ def global_total(df: DataFrame, totals: dict[str, str], over: DataFrame | None =
     return df.crossJoin(F.broadcast(one_row))
 
 
-def market_cap_rank(
-    df: DataFrame, by: str = "market_cap", out: str = "market_cap_rank", single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def market_cap_rank(df: DataFrame, by: str = "market_cap", out: str = "market_cap_rank") -> DataFrame:
     """``rank() over (order by <by> desc nulls last)`` for a table of any size.
 
-    ``df`` should be staged (cheap to count and to read twice). A small table is
-    ranked by one task. A larger one is ranked over its distinct values: these
-    are range-partitioned and staged with their range number, each range adds up
-    its own counts, and the counts of higher ranges (one row per range) are added.
+    ``df`` should be staged (cheap to read twice). It is ranked over its distinct
+    values: these are range-partitioned and staged with their range number, each
+    range adds up its own counts, and the counts of higher ranges (one row per
+    range) are added.
     """
-    if df.count() <= single_task_rows:
-        return df.withColumn(out, F.rank().over(W.orderBy(F.desc_nulls_last(by))).cast("bigint"))
-
     ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("_n"))
     ranged = stage(

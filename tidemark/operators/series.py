@@ -64,6 +64,22 @@ def carry_forward(
     )
 
 
+def running_total(df: DataFrame, keys: Sequence[str], order: str, values: dict[str, Column]) -> DataFrame:
+    """Add, per output name, the sum of a column up to and with each row of its series.
+
+    For rows that ``chunked`` has numbered: sums run within (series, chunk), and one
+    row per chunk brings what came before it.
+    """
+    group = [*keys, "_chunk"]
+    ends = df.groupBy(*group).agg(*[F.sum(v).alias(f"_end_{name}") for name, v in values.items()])
+    earlier = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    prior = ends.select(*group, *[F.coalesce(F.sum(f"_end_{n}").over(earlier), F.lit(0)).alias(f"_prior_{n}") for n in values])
+    local = W.partitionBy(*group).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    sums = {f"_sum_{name}": F.coalesce(F.sum(v).over(local), F.lit(0)) for name, v in values.items()}
+    joined = df.withColumns(sums).join(prior, group)
+    return joined.select(*df.columns, *[(F.col(f"_sum_{n}") + F.col(f"_prior_{n}")).alias(n) for n in values])
+
+
 def counter_delta(
     samples: DataFrame,
     keys: Sequence[str] = ("topic", "partition"),
@@ -78,6 +94,11 @@ def counter_delta(
     staged, since the chunks and their summaries both read it.
     """
     unique = stage(samples.groupBy(*keys, ts).agg(F.max(value).alias(value)), "samples")
+    return _deltas(unique, keys, ts, value, chunk_seconds)
+
+
+def _deltas(unique: DataFrame, keys: Sequence[str], ts: str, value: str, chunk_seconds: int) -> DataFrame:
+    """``counter_delta`` of samples that are staged, one per series and time."""
     before = carry_forward(chunked(unique, ts, chunk_seconds), keys, ts, {"_before": F.col(value)})
     now, was = F.col(value), F.col("_before")
     delta = F.when(was.isNull(), F.lit(0)).when(now < was, now).otherwise(now - was)
@@ -99,9 +120,11 @@ def counter_increase(
     samples in (m - window, m].
     """
     chosen = samples.filter(F.col("topic").rlike(whole(topic_pattern)))
+    keys, value = ("topic", "partition"), "current_offset"
+    chosen = stage(chosen.groupBy(*keys, ts).agg(F.max(value).alias(value)), "samples")
     minute = F.ceil(_seconds(ts) / F.lit(60)).cast("bigint")
     per_minute = (
-        counter_delta(chosen, ts=ts)
+        _deltas(chosen, keys, ts, value, HOUR)
         .groupBy(*by, minute.alias("_minute"))
         .agg(F.sum("delta").alias("delta"))
     )

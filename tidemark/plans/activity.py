@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import as_instant
 from tidemark.operators.series import whole
 
-# Fixed value: the consumer groups that count.
-GROUP_PATTERN = "flink-bronze-.*"
+# Fixed value: the consumer groups that count, whose names the streaming job's queries share.
+GROUP_PATTERN = "(flink-)?bronze-.*"
 
 
 def bronze_insert_rate(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import star_except
-from tidemark.operators.ranking import SINGLE_TASK_ROWS, global_total, market_cap_rank, share_of_total
+from tidemark.operators.ranking import global_total, market_cap_rank, share_of_total
 from tidemark.operators.state import latest_nonnull_by_time
 from tidemark.session import stage
 
@@ -35,16 +35,14 @@ def left_equi(prices: DataFrame, caps: DataFrame) -> DataFrame:
     )
 
 
-def market_overview(
-    price_facts: DataFrame, cap_facts: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def market_overview(price_facts: DataFrame, cap_facts: DataFrame) -> DataFrame:
     """Latest figures per asset. The per-asset rows are staged once; totals,
     rank and shares then work on that much smaller table."""
     merged = stage(left_equi(latest_prices(price_facts), latest_caps(cap_facts)), "overview")
-    ranked = market_cap_rank(merged, single_task_rows=single_task_rows)
-    wholes = {"whole_market_cap": "market_cap", "whole_circulating_supply": "circulating_supply"}
+    ranked = market_cap_rank(merged)
+    wholes = {"all_caps": "market_cap", "all_supply": "circulating_supply"}
     totalled = global_total(ranked, wholes, over=merged)
     shared = share_of_total(totalled, "volume_24h", "market_cap", "liquid_indicator_24h")
-    shared = share_of_total(shared, "market_cap", "whole_market_cap", "market_dominance")
-    shared = share_of_total(shared, "circulating_supply", "whole_circulating_supply", "supply_dominance")
-    return star_except(shared, "whole_market_cap", "whole_circulating_supply")
+    shared = share_of_total(shared, "market_cap", "all_caps", "market_dominance")
+    shared = share_of_total(shared, "circulating_supply", "all_supply", "supply_dominance")
+    return star_except(shared, "all_caps", "all_supply")

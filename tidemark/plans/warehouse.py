@@ -7,10 +7,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.layout import bronze_layout
-from tidemark.plans import activity, freshness, gold, overview, reconcile, silver
+from tidemark.operators.layout import bronze_layout, drop_expired
+from tidemark.plans import activity, alerts, freshness, gold, overview, reconcile, silver
 from tidemark.schemas import CAPS, FEEDS, PRICES, Feed
+from tidemark.session import stage
 from tidemark.sources.landing import bronze_scan, lz_file_inventory, lz_scan
+from tidemark.streaming import progress
 from tidemark.streaming.pipeline import Targets
 
 
@@ -68,7 +70,8 @@ class Warehouse:
         return overview.market_overview(facts(PRICES), facts(CAPS))
 
     def pipeline_health(self) -> DataFrame:
-        rows = {name: gold.fact_rows(self.bronze(feed), feed) for name, feed in FEEDS.items()}
+        """Of the facts as last built."""
+        rows = {name: self.built_facts(feed) for name, feed in FEEDS.items()}
         return freshness.pipeline_health(rows, self.as_of)
 
     def sink_validation(self) -> DataFrame:
@@ -83,12 +86,46 @@ class Warehouse:
             [reconcile.sink_validation_partition(self.bronze(f), self.landing(f), f, self.as_of) for f in FEEDS.values()],
         )
 
+    @property
+    def monitoring(self) -> str:
+        return f"{self.root}/monitoring"
+
+    def record_checks(self) -> None:
+        """Append what the freshness and reconciliation reports say now; run it each minute."""
+        for name, report in (("health", self.pipeline_health()), ("validation", self.sink_validation())):
+            report.coalesce(1).write.mode("append").parquet(f"{self.monitoring}/{name}")
+
+    def progress(self) -> DataFrame:
+        """Every progress report of the streaming jobs, as lines of JSON."""
+        return progress.reports(self.spark, f"{self.monitoring}/progress")
+
+    def consumer_lag(self) -> DataFrame:
+        return activity.consumer_lag(progress.offset_rows(self.progress()))
+
+    def checkpoint_duration(self) -> DataFrame:
+        return activity.checkpoint_duration(progress.progress_rows(self.progress()))
+
+    def alerts(self) -> DataFrame:
+        """State of the alert rules over all that has been recorded."""
+        history = {name: self.spark.read.parquet(f"{self.monitoring}/{name}") for name in ("health", "validation")}
+        lines = stage(self.progress(), "progress")
+        return alerts.alerts(
+            health_history=history["health"],
+            validation_history=history["validation"],
+            topic_offsets=progress.dead_letter_offsets(lines),
+            consumer_offsets=progress.offset_rows(lines),
+        )
+
+    def drop_expired(self, feed: Feed) -> list[str]:
+        """Delete the bronze days past their time."""
+        return drop_expired(self.bronze(feed), f"{self.root}/bronze/{feed.name}", self.as_of)
+
     def bronze_insert_rate(self, hours: int | None = 1) -> DataFrame:
         return activity.bronze_insert_rate({n: self.bronze(f) for n, f in FEEDS.items()}, self.as_of, hours)
 
     def row_counts(self) -> DataFrame:
         tables = {f"bronze.{n}": (self.bronze(f), ()) for n, f in FEEDS.items()}
-        facts = {f"gold.fct_{n}": (gold.fact_rows(self.bronze(f), f), gold.FACT_KEY) for n, f in FEEDS.items()}
+        facts = {f"gold.fct_{n}": (self.built_facts(f), ()) for n, f in FEEDS.items()}
         return activity.row_counts({**tables, **facts})
 
     def file_inventory(self, feed: Feed) -> DataFrame:

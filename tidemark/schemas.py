@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# Fixed values in this module: the zone, and every layer's column names and types.
 LOCAL_ZONE = "Asia/Jakarta"
 MONEY = T.DecimalType(38, 18)
 
@@ -79,10 +80,6 @@ SOURCE = T.StructType(
     ]
 )
 
-DEAD_LETTER = T.StructType(
-    [T.StructField("reason", T.StringType()), T.StructField("record", T.StringType())]
-)
-
 
 def payload_schema(feed: Feed) -> T.StructType:
     """Row image inside a change event. Amounts and times travel as text."""
@@ -109,6 +106,12 @@ def envelope_schema(feed: Feed) -> T.StructType:
     )
 
 
+def json_envelope_schema(feed: Feed) -> T.StructType:
+    """The envelope as JSON text is read: numbers of the source as text, so that bad ones are seen."""
+    source = T.StructType([T.StructField(f.name, T.StringType()) for f in SOURCE])
+    return T.StructType([T.StructField(f.name, source) if f.name == "source" else f for f in envelope_schema(feed)])
+
+
 def bronze_schema(feed: Feed) -> T.StructType:
     text = T.StringType()
     fields = [

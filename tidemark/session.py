@@ -40,19 +40,23 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return spark
 
 
+OWN_ROOT = "spark.tidemark.localRoot"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    A local session without one gets a temporary folder, since there the
-    driver and the executors are the same machine.
+    A local session that names none gets a temporary folder, since there the
+    driver and the executors are the same machine. The session's own setting is
+    read, never changed.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_ROOT, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set(OWN_ROOT, root)
     return root
 
 
@@ -64,11 +68,21 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Delete what this application staged. Call it when its results are read."""
+    _delete(spark, f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}")
+    folder = hadoop.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        _delete(df.sparkSession, folder)
+
+
 def stage(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,24 +10,40 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import as_instant
 from tidemark.functions.wire import confluent_header
-from tidemark.schemas import Feed, envelope_schema
+from tidemark.schemas import Feed, envelope_schema, json_envelope_schema
 
 
 def envelope_from_json(lines: DataFrame, feed: Feed, value: str = "value") -> DataFrame:
     """JSON text to envelopes. Text that is not JSON gives an empty envelope."""
     text = F.col(value).cast("string")
-    return lines.select(text.alias("raw"), F.from_json(text, envelope_schema(feed)).alias("envelope"))
+    return lines.select(text.alias("raw"), F.from_json(text, json_envelope_schema(feed)).alias("envelope"))
 
 
-def envelope_from_avro(messages: DataFrame, reader_schema: str, value: str = "value") -> DataFrame:
+def avro_decoder(body: Column, writer_schema: str, reader_schema: str) -> Column:
+    """One body written with one schema and read as another; null where it can't be decoded."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return from_avro(body, writer_schema, {"mode": "PERMISSIVE", "avroSchema": reader_schema})
+
+
+def envelope_from_avro(
+    messages: DataFrame,
+    writer_schemas: dict[int, str],
+    reader_schema: str,
+    value: str = "value",
+    decode: Callable[[Column, str, str], Column] = avro_decoder,
+) -> DataFrame:
     """Registry-framed Avro to envelopes (needs the spark-avro package).
 
-    A frame with a wrong magic byte or an undecodable body gives a null envelope.
+    Each message is decoded with the schema its header names. A wrong magic byte,
+    an unknown id or an undecodable body gives a null envelope, and ``raw`` then
+    holds the message's bytes in base64, for the dead letter.
     """
-    from pyspark.sql.avro.functions import from_avro
-
-    body = messages.select(confluent_header(F.col(value))[2])
-    return body.select(from_avro("body", reader_schema, {"mode": "PERMISSIVE"}).alias("envelope"))
+    _, schema_id, body = confluent_header(F.col(value))
+    framed = messages.select(F.col(value).alias("bytes"), schema_id, body)
+    known = [F.when(F.col("schema_id") == n, decode(F.col("body"), s, reader_schema)) for n, s in writer_schemas.items()]
+    decoded = framed.select("bytes", F.coalesce(*known).alias("envelope"))
+    return decoded.select(F.when(F.col("envelope").isNull(), F.base64("bytes")).alias("raw"), "envelope")
 
 
 def cdc_stream(
@@ -36,6 +53,7 @@ def cdc_stream(
     fmt: str = "json",
     topic: str | None = None,
     reader_schema: str | None = None,
+    writer_schemas: dict[int, str] | None = None,
     streaming: bool = True,
     **options: str,
 ) -> DataFrame:
@@ -43,7 +61,8 @@ def cdc_stream(
 
     ``fmt="kafka"`` reads ``topic`` from the brokers at ``location``: from the
     earliest offset on the first start, from the checkpoint afterwards. Values
-    are Avro when a ``reader_schema`` is given, else JSON. ``fmt="json"`` reads
+    are Avro when a ``reader_schema`` is given, with the registry's ``writer_schemas``
+    by id, else JSON. ``fmt="json"`` reads
     text files of one event per line, ``fmt="parquet"`` files of envelopes.
     """
     reader = spark.readStream if streaming else spark.read
@@ -57,7 +76,7 @@ def cdc_stream(
             .load()
         )
         if reader_schema:
-            return envelope_from_avro(messages, reader_schema)
+            return envelope_from_avro(messages, writer_schemas or {}, reader_schema)
         return envelope_from_json(messages, feed)
     if fmt == "json":
         return envelope_from_json(reader.format("text").load(location), feed)

@@ -41,6 +41,6 @@ def bronze_scan(
 
 
 def lz_file_inventory(spark: SparkSession, base: str, feed: Feed) -> DataFrame:
-    """Objects and bytes per ingestion day and hour. Reads file footers only."""
-    files = spark.read.schema(landing_schema(feed)).parquet(landing_path(base, feed))
-    return file_inventory(files, ["ingestion_date", "hour"])
+    """Objects and bytes per ingestion day and hour, from a listing of the files."""
+    found = file_inventory(spark, landing_path(base, feed), ["ingestion_date", "hour"])
+    return found.withColumn("ingestion_date", F.col("ingestion_date").cast("date"))

@@ -17,6 +17,9 @@ from tidemark.schemas import FEEDS  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 from tidemark.sources.changes import cdc_stream  # noqa: E402
 from tidemark.streaming.pipeline import start_bronze  # noqa: E402
+from tidemark.streaming.progress import ProgressLog  # noqa: E402
+
+LISTENER_WAIT_MS = 60_000
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -27,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--location", required=True, help="brokers, or the folder of event files")
     parser.add_argument("--topic")
     parser.add_argument("--reader-schema", help="file with the Avro schema of the message values")
+    parser.add_argument("--writer-schema", action="append", default=[], metavar="ID=FILE", help="a registered schema of the values, by its id")
     parser.add_argument("--max-per-batch", help="offsets or files per micro-batch")
     parser.add_argument("--out-topic", help="also publish bronze rows to this topic")
     parser.add_argument("--dead-letter-topic")
@@ -44,7 +48,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.reader_schema:
         with open(args.reader_schema, encoding="utf-8") as handle:
             schema = handle.read()
-    changes = cdc_stream(spark, feed, args.location, args.format, args.topic, schema, **options)
+    written = {}
+    for number, path in (item.split("=", 1) for item in args.writer_schema):
+        with open(path, encoding="utf-8") as handle:
+            written[int(number)] = handle.read()
+    changes = cdc_stream(spark, feed, args.location, args.format, args.topic, schema, written, **options)
 
     def broker(topic: str | None) -> dict[str, str] | None:
         return {"kafka.bootstrap.servers": args.location, "topic": topic} if topic else None
@@ -52,7 +60,13 @@ def main(argv: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, args.root)
     targets = warehouse.targets(feed, broker(args.out_topic), broker(args.dead_letter_topic))
     checkpoint = f"{warehouse.root}/checkpoints/{feed.name}"
-    start_bronze(changes, feed, targets, checkpoint, args.available_now).awaitTermination()
+    log = ProgressLog(spark, f"{warehouse.monitoring}/progress")
+    spark.streams.addListener(log)
+    try:
+        start_bronze(changes, feed, targets, checkpoint, args.available_now).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(LISTENER_WAIT_MS)
+    finally:
+        spark.streams.removeListener(log)
 
 
 if __name__ == "__main__":

@@ -113,4 +113,4 @@ def compact_state(
     The old folder is left alone: point readers at the new one, then drop it.
     """
     merged = read_state(spark, path, schema, keys, version)
-    merged.withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(target)
+    merged.withColumn("batch_id", F.lit("merged")).write.mode("overwrite").partitionBy("batch_id").parquet(target)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,11 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.clock import as_instant
 from tidemark.operators.cdc import cdc_validate, dlq_split, stamp
 from tidemark.schemas import Feed
+from tidemark.session import drop_staged, stage
 from tidemark.streaming.sinks import bronze_sink, dead_letter_sink, kafka_sink, lz_sink
 
 # Fixed value: time between checkpoints.
 CHECKPOINT_EVERY = "30 seconds"
-SNAPSHOT_BATCH = -1
+SNAPSHOT = "snapshot"
 
 
 @dataclass(frozen=True)
@@ -41,11 +42,15 @@ def checked_rows(changes: DataFrame, feed: Feed, at: Column | None = None) -> Da
     return stamp(cdc_validate(changes, feed), at)
 
 
-def fan_out(checked: DataFrame, batch_id: int, feed: Feed, targets: Targets) -> None:
-    """Write one checked batch to every target; safe to run again."""
-    checked.persist(StorageLevel.MEMORY_AND_DISK)
+def fan_out(checked: DataFrame, batch_id: int | str, feed: Feed, targets: Targets) -> None:
+    """Write one checked batch to every target; safe to run again.
+
+    The batch is parsed once into the shared folder, which every target reads; it
+    is deleted when all are written. A rate limit on the source bounds its size.
+    """
+    staged = stage(checked, "batch")
     try:
-        accepted, rejected = dlq_split(checked)
+        accepted, rejected = dlq_split(staged)
         accepted = accepted.select(*feed.bronze_columns)
         if targets.landing:
             lz_sink(accepted, targets.landing, feed, batch_id)
@@ -56,7 +61,7 @@ def fan_out(checked: DataFrame, batch_id: int, feed: Feed, targets: Targets) ->
         if targets.dead_letters:
             dead_letter_sink(rejected, targets.dead_letters, batch_id)
     finally:
-        checked.unpersist()
+        drop_staged(staged)
 
 
 def start_bronze(
@@ -88,6 +93,15 @@ def _done(spark: SparkSession, marker: str) -> bool:
         return False
 
 
+def _kept_id(spark: SparkSession, path: str) -> str:
+    """An id that is made once and kept under ``path``."""
+    try:
+        return spark.read.schema("id string").parquet(path).first().id
+    except (AnalysisException, AttributeError):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "id string").write.mode("overwrite").parquet(path)
+        return spark.read.schema("id string").parquet(path).first().id
+
+
 def snapshot_then_stream(
     snapshot: DataFrame,
     changes: DataFrame,
@@ -100,14 +114,14 @@ def snapshot_then_stream(
 ) -> StreamingQuery:
     """Load the snapshot events once, then follow the live changes.
 
-    Both pass through the same transform and writers. The snapshot is batch
-    ``SNAPSHOT_BATCH``, stamped with its own time, so a restart before its
-    marker exists repeats it without harm and a later one skips it.
+    Both pass through the same transform and writers. The snapshot is stamped with
+    its own time and named by an id kept beside the checkpoint, so a restart before
+    its marker exists repeats it without harm and a later one skips it.
     """
     spark = snapshot.sparkSession
     marker = f"{checkpoint}/snapshot"
     if not _done(spark, marker):
         stamped = checked_rows(snapshot, feed, at if at is not None else as_instant(taken_at))
-        fan_out(stamped, SNAPSHOT_BATCH, feed, targets)
+        fan_out(stamped, f"{SNAPSHOT}-{_kept_id(spark, f'{checkpoint}/snapshot-id')}", feed, targets)
         spark.range(1).write.mode("overwrite").parquet(marker)
     return start_bronze(changes, feed, targets, f"{checkpoint}/live", available_now, at)

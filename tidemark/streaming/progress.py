@@ -1,79 +1,109 @@
-"""Streaming progress as metric rows for the lag and checkpoint reports."""
+"""Streaming progress, kept for good, as metric rows for the lag and checkpoint reports.
 
-from __future__ import annotations
+A running query remembers its last hundred batches only. The listener here keeps
+every progress report as a small JSON file named by run and batch, written by
+Hadoop's file system, so no job runs for it and a repeated report replaces itself.
+"""
 
-import json
-from collections.abc import Iterable
-from datetime import datetime
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.operators.cdc import INTAKE
+from tidemark.operators.series import chunked, running_total
+
+REPORT = """
+    name string, id string, runId string, batchId bigint, timestamp string, durationMs map<string,bigint>,
+    observedMetrics map<string,struct<rows_in:bigint,rejected:bigint>>,
+    sources array<struct<startOffset:string,endOffset:string,latestOffset:string>>
+"""
+OFFSETS = "map<string,map<string,bigint>>"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes each progress report of the session's queries under a folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def keep(self, run: str, batch: int, report: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        target = hadoop.Path(f"{self.path}/{run}-{batch}.json")
+        out = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+        try:
+            out.write(bytearray(" ".join(report.split()).encode()))
+        finally:
+            out.close()
+
+    def onQueryStarted(self, event) -> None:
+        pass
 
-CHECKPOINT_METRIC = T.StructType(
-    [
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("job_name", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("duration_ms", T.LongType()),
-        T.StructField("rows_in", T.LongType()),
-        T.StructField("rejected", T.LongType()),
-    ]
-)
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.keep(str(progress.runId), progress.batchId, progress.json)
 
+    def onQueryIdle(self, event) -> None:
+        pass
 
-CONSUMER_OFFSETS = T.StructType(
-    [
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("consumergroup", T.StringType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("end_offset", T.LongType()),
-        T.StructField("committed_offset", T.LongType()),
-    ]
-)
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
-def _moment(progress) -> datetime:
-    return datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+def reports(spark: SparkSession, path: str) -> DataFrame:
+    """Kept reports as lines of JSON in ``value``."""
+    return spark.read.schema("value string").option("pathGlobFilter", "*.json").text(path)
 
 
-def offset_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
+def _parsed(lines: DataFrame) -> DataFrame:
+    report = lines.select(F.from_json("value", REPORT).alias("p")).select("p.*")
+    return report.withColumn("ts", F.col("timestamp").cast("timestamp"))
+
+
+def offset_rows(lines: DataFrame) -> DataFrame:
     """Latest and read offsets per topic partition of queries that read a broker.
 
-    The query's name stands for the consumer group. Other sources report
-    offsets of another shape and are left out.
+    The query's name stands for the consumer group. Other sources report offsets
+    of another shape and are left out.
+    """
+    offsets = lambda text: F.from_json(text, OFFSETS, {"mode": "PERMISSIVE"})
+    source = _parsed(lines).select("ts", "name", F.explode("sources").alias("s"))
+    both = source.select("ts", "name", offsets(F.col("s.endOffset")).alias("read"), offsets(F.col("s.latestOffset")).alias("latest"))
+    topics = both.select("ts", "name", "read", F.explode("latest").alias("topic", "ends"))
+    parts = topics.select("ts", "name", "topic", F.col("read")[F.col("topic")].alias("known"), F.explode("ends").alias("partition", "end_offset"))
+    return parts.select(
+        "ts",
+        F.col("name").alias("consumergroup"),
+        "topic",
+        F.col("partition").cast("int").alias("partition"),
+        "end_offset",
+        F.coalesce(F.col("known")[F.col("partition")], F.lit(0)).cast("bigint").alias("committed_offset"),
+    ).where("end_offset is not null")
+
+
+def progress_rows(lines: DataFrame) -> DataFrame:
+    """One metric row per reported micro-batch."""
+    intake = F.map_values(F.map_filter("observedMetrics", lambda name, _: F.startswith(name, F.lit(INTAKE))))
+    return _parsed(lines).select(
+        "ts",
+        F.col("name").alias("job_name"),
+        F.col("batchId").alias("batch_id"),
+        F.coalesce(F.col("durationMs")["triggerExecution"], F.lit(0)).cast("bigint").alias("duration_ms"),
+        F.get(intake, 0)["rows_in"].alias("rows_in"),
+        F.get(intake, 0)["rejected"].alias("rejected"),
+    )
+
+
+def dead_letter_offsets(lines: DataFrame) -> DataFrame:
+    """Rejected rows so far as offsets of ``bronze.<feed>.dlq``, one sample per batch.
+
+    The same counter a dead-letter topic's offsets would show, for jobs whose
+    dead letters go to files.
     """
-    rows = []
-    for p in progress:
-        for source in p.sources:
-            read, latest = (json.loads(text) if text else None for text in (source.endOffset, source.latestOffset))
-            if not (isinstance(read, dict) and isinstance(latest, dict)):
-                continue
-            for topic, partitions in latest.items():
-                if isinstance(partitions, dict):
-                    known = read.get(topic, {})
-                    rows += [
-                        (_moment(p), p.name, topic, int(n), int(end), int(known.get(n, 0))) for n, end in partitions.items()
-                    ]
-    return spark.createDataFrame(rows, CONSUMER_OFFSETS)
-
-
-def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
-    """One metric row per reported micro-batch (the query keeps the last 100)."""
-    rows = []
-    for p in progress:
-        observed = p.observedMetrics or {}
-        intake = next((row for name, row in observed.items() if name.startswith(INTAKE)), None)
-        rows.append(
-            (
-                _moment(p),
-                p.name,
-                p.batchId,
-                int((p.durationMs or {}).get("triggerExecution", 0)),
-                int(intake.rows_in) if intake else None,
-                int(intake.rejected) if intake else None,
-            )
-        )
-    return spark.createDataFrame(rows, CHECKPOINT_METRIC)
+    feed = F.regexp_extract("job_name", r"bronze-(.*)\z", 1)
+    batches = progress_rows(lines).where("rejected is not null")
+    timed = batches.select(F.concat(F.lit("bronze."), feed, F.lit(".dlq")).alias("topic"), "ts", "rejected")
+    per_time = timed.groupBy("topic", "ts").agg(F.sum("rejected").alias("rejected"))
+    total = running_total(chunked(per_time, "ts", 86400), ["topic"], "ts", {"current_offset": F.col("rejected")})
+    return total.select("topic", F.lit(0).alias("partition"), "ts", "current_offset")

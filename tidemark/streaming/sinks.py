@@ -1,7 +1,9 @@
 """Replay-safe batch writers for use inside ``foreachBatch``.
 
-Each write goes to directories named by the batch id and replaces only those,
-so a batch that runs again leaves one copy.
+Each write goes to directories named by the stream and the batch, and replaces
+only those, so a batch that runs again leaves one copy. The stream's id is kept
+in its checkpoint: a new checkpoint starts new directories, leaves the old ones
+alone and reads its source anew.
 """
 
 from __future__ import annotations
@@ -17,9 +19,19 @@ from tidemark.schemas import Feed
 from tidemark.sources.landing import landing_path
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+# Fixed value: where Spark keeps the id of the stream whose batch this thread runs.
+STREAM_ID = "sql.streaming.queryId"
+
+
+def batch_name(rows: DataFrame, batch_id: int | str) -> str:
+    """The directory name of a batch: the stream's id, if one runs, and the batch's number."""
+    stream = rows.sparkSession.sparkContext.getLocalProperty(STREAM_ID)
+    return f"{stream}-{batch_id}" if stream else str(batch_id)
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int | str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     (
-        rows.withColumn("batch_id", F.lit(batch_id))
+        rows.withColumn("batch_id", F.lit(batch_name(rows, batch_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by, "batch_id")
@@ -28,19 +40,19 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequenc
     )
 
 
-def lz_sink(rows: DataFrame, base: str, feed: Feed, batch_id: int) -> None:
+def lz_sink(rows: DataFrame, base: str, feed: Feed, batch_id: int | str) -> None:
     """Landing files under ``ingestion_date=yyyy-MM-dd/hour=HH``."""
     landed = rows.withColumnRenamed("ingestion_hour", "hour")
     write_batch(landed, landing_path(base, feed), batch_id, ["ingestion_date", "hour"])
 
 
-def bronze_sink(rows: DataFrame, path: str, batch_id: int) -> None:
+def bronze_sink(rows: DataFrame, path: str, batch_id: int | str) -> None:
     """Bronze table by day, sorted by (asset, version) within each file."""
     ordered = rows.sortWithinPartitions("ingestion_date", "assetId", "lsn")
     write_batch(ordered, path, batch_id, ["ingestion_date"])
 
 
-def message_sink(messages: DataFrame, target: dict[str, str], batch_id: int) -> None:
+def message_sink(messages: DataFrame, target: dict[str, str], batch_id: int | str) -> None:
     """Messages in ``value`` to a topic, or to text files by batch.
 
     A topic target holds ``kafka.bootstrap.servers`` and ``topic``; delivery is
@@ -53,7 +65,7 @@ def message_sink(messages: DataFrame, target: dict[str, str], batch_id: int) ->
 
 
 def kafka_sink(
-    rows: DataFrame, target: dict[str, str], batch_id: int, avro_schema: str | None = None, schema_id: int | None = None
+    rows: DataFrame, target: dict[str, str], batch_id: int | str, avro_schema: str | None = None, schema_id: int | None = None
 ) -> None:
     """Bronze rows as messages: JSON, or Avro where a schema is given.
 
@@ -69,5 +81,5 @@ def kafka_sink(
     message_sink(messages, target, batch_id)
 
 
-def dead_letter_sink(rejected: DataFrame, target: dict[str, str], batch_id: int) -> None:
+def dead_letter_sink(rejected: DataFrame, target: dict[str, str], batch_id: int | str) -> None:
     message_sink(dlq_format(rejected), target, batch_id)

@@ -9,11 +9,10 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import ingest_stamp
-from tidemark.operators.series import carry_forward, chunked
+from tidemark.operators.series import carry_forward, chunked, running_total
 from tidemark.schemas import CAPS, PRICES, bronze_schema, envelope_schema
 
 PRICES_AS_OF = datetime(2024, 1, 31)
@@ -186,7 +185,7 @@ def cap_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prices feed with faults, chosen by the event's own ``k``.
+    """The prices feed with faults, chosen by the event's own ``k``. The lsn is text here.
 
     The oracle restates each fault's outcome; see ``FAULT_REASON`` there.
     """
@@ -207,7 +206,7 @@ def faulty_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = (
         payload.withField("price", price)
         .withField("asset_id", F.when(k == 20, "").otherwise(payload["asset_id"]))
-        .withField("event_time", F.when(k == 25, F.substring(time, 1, 10)).otherwise(time))
+        .withField("event_time", F.when(k == 25, F.substring(time, 1, 10)).when(k == 34, F.unix_micros("at").cast("string")).otherwise(time))
     )
     keys_only = F.struct(
         *[
@@ -218,7 +217,7 @@ def faulty_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = F.when(k == 32, keys_only).otherwise(changed)
     op = F.when((kind == "signup") & (k < 5), F.lit(None)).when(k == 32, "d").otherwise(price_op())
     envelope = _price_envelope(image, op)
-    source = envelope["source"].withField("lsn", F.when(k == 30, F.lit(None)).otherwise(F.col("event_id")))
+    source = envelope["source"].withField("lsn", F.when(k == 33, F.lit("abc")).when(k != 30, F.col("event_id").cast("string")))
     source = F.when((kind == "purchase") & k.between(5, 9), F.lit(None)).otherwise(source)
     after = F.when((kind == "view") & k.between(10, 14), F.lit(None)).otherwise(envelope["after"])
     broken = F.struct(op.alias("op"), envelope["before"].alias("before"), after.alias("after"), source.alias("source"))
@@ -260,6 +259,15 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with faults: some cut off, some an error object, and bad prices and names by the event's ``k``."""
+    body = F.regexp_replace("body", r'"current_price":[0-9.]+,"market_cap":77000', '"current_price":"n/a","market_cap":77000')
+    body = F.regexp_replace(body, r'"name":"Coin \\\\"12\\\\"",', "")
+    kind = F.pmod(F.col("page"), F.lit(10))
+    body = F.when(kind == 3, F.expr("substring(body, 1, length(body) - 5)")).when(kind == 5, '{"error":"rate limit"}').otherwise(body)
+    return api_pages(spark, sf_dir).select("page", body.alias("body"))
+
+
 def landing_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices as a drifted second copy: rows lost, repeated and changed, and one hour missing."""
     rows = bronze_prices(spark, sf_dir)
@@ -300,13 +308,9 @@ def topic_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.count("*").alias("n"))
     )
-    running = W.partitionBy("topic", "partition", "era").orderBy("minute").rowsBetween(W.unboundedPreceding, 0)
-    return per_minute.select(
-        "topic",
-        "partition",
-        F.timestamp_seconds(F.col("minute") * 60).alias("ts"),
-        F.sum("n").over(running).alias("current_offset"),
-    )
+    timed = chunked(per_minute.withColumn("ts", F.timestamp_seconds(F.col("minute") * 60)), "ts", 86400)
+    running = running_total(timed, ["topic", "partition", "era"], "minute", {"current_offset": F.col("n")})
+    return running.select("topic", "partition", "ts", "current_offset")
 
 
 def minute_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,14 +337,10 @@ def consumer_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count("*").alias("n"), F.count_if(F.col("value") < 40).alias("read"))
     )
     every = per_minute.select(*key).distinct().crossJoin(minute_grid(spark, sf_dir))
-    running = W.partitionBy(*key).orderBy("minute").rowsBetween(W.unboundedPreceding, 0)
-    return every.join(per_minute, [*key, "minute"], "left").select(
-        F.timestamp_seconds(F.col("minute") * 60).alias("ts"),
-        *key,
-        F.lit(0).alias("partition"),
-        F.coalesce(F.sum("n").over(running), F.lit(0)).alias("end_offset"),
-        F.coalesce(F.sum("read").over(running), F.lit(0)).alias("committed_offset"),
-    )
+    timed = every.join(per_minute, [*key, "minute"], "left").withColumn("ts", F.timestamp_seconds(F.col("minute") * 60))
+    sums = {"end_offset": F.col("n"), "committed_offset": F.col("read")}
+    running = running_total(chunked(timed, "ts", 86400), key, "minute", sums)
+    return running.select("ts", *key, F.lit(0).alias("partition"), "end_offset", "committed_offset")
 
 
 def check_history(spark: SparkSession, sf_dir: str) -> DataFrame:

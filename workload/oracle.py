@@ -85,6 +85,7 @@ UNSUPPORTED = """k = 31 OR (event_type = 'signup' AND k < 5) OR (event_type = 'p
 FAULTY = P + f""", f AS (
   SELECT *, CASE WHEN {UNSUPPORTED} THEN 'null or unsupported record'
                  WHEN k IN (22, 23) THEN 'price does not fit decimal(38,18)'
+                 WHEN k = 33 THEN 'lsn is not a 64-bit integer'
                  WHEN k = 20 THEN 'assetId is missing'
                  WHEN k = 25 THEN 'eventTimeMs is missing' END AS reason,
          CASE WHEN k IN (21, 22, 23, 27, 28, 29, 31, 32) THEN NULL
@@ -93,7 +94,7 @@ FAULTY = P + f""", f AS (
               ELSE price END AS read_price,
          CASE WHEN event_type = 'signup' AND k < 5 THEN NULL WHEN k = 32 THEN 'd' ELSE op END AS read_op,
          CASE WHEN k = 31 OR (event_type = 'purchase' AND k BETWEEN 5 AND 9) THEN NULL
-              WHEN k = 30 THEN NULL ELSE lsn END AS source_lsn
+              WHEN k IN (30, 33) THEN NULL ELSE lsn END AS source_lsn
   FROM p)"""
 
 # --- reading text -----------------------------------------------------------
@@ -207,8 +208,9 @@ lz AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE k = 19 AND op = 'r'
 
 
 def row_sum(columns: list[str]) -> str:
-    joined = ", ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '~')" for c in columns)
-    return f"sum(CAST(CAST('0x' || substr(md5(concat_ws('|', {joined})), 1, 15) AS BIGINT) AS HUGEINT))"
+    texts = [f'CAST("{c}" AS VARCHAR)' for c in columns]
+    joined = " || ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts)
+    return f"sum(CAST(CAST('0x' || substr(md5({joined}), 1, 15) AS BIGINT) AS HUGEINT))"
 
 
 P_SUM = row_sum(["assetId", "lsn", *P_AMOUNTS])
@@ -327,6 +329,11 @@ SQL: dict[str, str] = {
                '2024-01-31 00:00:00' AS source_ts, NULL AS circulating_supply, 'price' AS kind FROM a
         UNION ALL SELECT asset_id, symbol, coin_name, currency, NULL, CAST(market_cap AS VARCHAR), NULL, NULL, event_time,
                '2024-01-31 00:00:00', CAST(supply AS VARCHAR), 'cap' FROM a""",
+    "api_page_rejects": f"""WITH {EV}, a AS (SELECT event_id // 10 AS page, k FROM ev), r AS (
+        SELECT DISTINCT page, 'page is not a JSON array' AS reason FROM a WHERE page % 10 IN (3, 5)
+        UNION ALL SELECT page, CASE k WHEN 77 THEN 'current_price is no decimal(38,18)' WHEN 12 THEN 'name is missing' END
+        FROM a WHERE page % 10 NOT IN (3, 5))
+        SELECT reason, count(*) AS n, CAST(sum(page) AS BIGINT) AS page_sum FROM r GROUP BY 1""",
     "bronze_scan": f"{P_BRONZE} WHERE p.ingestion_date >= DATE '2024-01-24'",
     "lz_file_inventory": f"""WITH {EV} SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date,
         '19' AS hour, TRUE AS held, TRUE AS filled FROM ev""",
@@ -335,7 +342,7 @@ SQL: dict[str, str] = {
     "bronze_prices": P_BRONZE,
     "bronze_caps": C_BRONZE,
     "cdc_validate": f"""WITH {FAULTY} SELECT reason AS reject_reason, count(*) AS n, count(read_price) AS priced,
-        count(*) FILTER (WHERE reason IS NOT NULL AND k <> 31) AS recorded FROM f GROUP BY 1""",
+        count(reason) AS recorded FROM f GROUP BY 1""",
     "dlq_split": f"""WITH {FAULTY}
         SELECT CASE WHEN k = 30 THEN 0 ELSE lsn END AS lsn, "assetId", CASE WHEN k <> 32 THEN symbol END AS symbol, read_op AS op,
                CAST(read_price AS VARCHAR) AS price, "eventTimeMs",
@@ -387,7 +394,7 @@ SQL: dict[str, str] = {
           SELECT 1 FROM lineitem t WHERE t.l_linestatus = 'F' AND t.l_orderkey = f.l_orderkey AND t.l_linenumber = f.l_linenumber)""",
     "lz_sink": f"WITH {P} SELECT {P_BARE}, {BATCHED} FROM p",
     "bronze_sink": f"WITH {C} SELECT {C_BARE}, {BATCHED} FROM c",
-    "kafka_sink": f"WITH {P} SELECT lsn, op, CAST(price AS VARCHAR) AS price FROM p",
+    "kafka_sink": f'WITH {P} SELECT {P_BARE}, NULL AS "updatedAtMs", {BATCHED} FROM p',
     "fan_out": f"""WITH {FAULTY}, good AS (
           SELECT count(*) AS n, CAST(sum(CASE WHEN k = 30 THEN 0 ELSE lsn END) AS BIGINT) AS lsn_sum FROM f WHERE reason IS NULL)
         SELECT 'landing' AS target, * FROM good UNION ALL SELECT 'bronze', * FROM good UNION ALL SELECT 'topic', * FROM good
@@ -425,7 +432,8 @@ SQL: dict[str, str] = {
     "count_if": """SELECT l_linenumber, count(*) FILTER (WHERE l_returnflag <> 'N') AS returned,
         count(*) FILTER (WHERE l_tax > 0.04) AS taxed FROM lineitem GROUP BY 1""",
     "table_checksum": f"""WITH l AS (SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS price FROM lineitem)
-        SELECT l_linestatus, count(*) AS "rows", CAST({row_sum(["l_orderkey", "l_linenumber", "l_returnflag", "price"])} AS VARCHAR) AS checksum
+        SELECT l_linestatus, count(*) AS "rows", CAST({row_sum(["l_orderkey", "l_linenumber", "l_returnflag", "price"])} AS VARCHAR) AS checksum,
+        TRUE AS copy_agrees, count(*) FILTER (WHERE l_linenumber = 1) = 0 AS drift_agrees
         FROM l GROUP BY 1""",
     "left_equi": f"WITH {LATEST} SELECT {MERGED_OUT} FROM merged",
     "cross_1x1": f"""WITH {P}, {C} SELECT * FROM (SELECT count(*) AS p_count, min(lsn) AS p_min_lsn, max(lsn) AS p_max_lsn FROM p)
@@ -443,7 +451,7 @@ SQL: dict[str, str] = {
     "top_k_assets": f"""WITH {LATEST} SELECT asset_id, CAST(market_cap AS VARCHAR) AS market_cap FROM lp
         ORDER BY lp.market_cap DESC NULLS LAST, asset_id LIMIT 10""",
     "counter_increase": f"WITH {INCREASE} SELECT {minute_text('minute')} AS ts, increase FROM increase",
-    "counter_rate": f"""WITH {OFFSETS} SELECT topic, {minute_text("minute // 60 * 60")} AS ts, round(sum(delta) / 3600.0, 6) AS per_second
+    "counter_rate": f"""WITH {OFFSETS} SELECT topic, {minute_text("minute")} AS ts, round(sum(delta) / 60.0, 6) AS per_second
         FROM grown WHERE regexp_full_match(topic, 'cdc\\.public\\..*') GROUP BY 1, 2""",
     "alert_hold": f"""WITH {EV}, slots AS (
         SELECT minute // 30 * 30 AS minute, count(*) FILTER (WHERE event_type = 'error') AS errors FROM ev GROUP BY 1), src AS (
@@ -473,7 +481,8 @@ SQL: dict[str, str] = {
     "pipeline_status": f"""WITH {HEALTH}, s AS (SELECT {STATUS} AS status FROM health)
         SELECT 'end' AS "at", CASE WHEN bool_or(status = 'stale') THEN 'STALE' WHEN bool_or(status = 'empty') THEN 'EMPTY'
                WHEN bool_or(status = 'delayed') THEN 'DELAYED' ELSE 'HEALTHY' END AS status FROM s
-        UNION ALL SELECT 'start', CASE WHEN count(ms) < count(*) THEN 'EMPTY' ELSE 'HEALTHY' END FROM newest""",
+        UNION ALL SELECT 'start', CASE WHEN count(ms) < count(*) THEN 'EMPTY' ELSE 'HEALTHY' END FROM newest
+        UNION ALL SELECT 'late', 'DELAYED' FROM events HAVING count(*) > 0""",
     "pipeline_lag_max": f"WITH {HEALTH} SELECT max(minutes_lag) AS minutes_lag FROM health",
     "sink_validation": f"WITH {DRIFT}, {C}, {VALIDATION} SELECT * FROM v",
     "sink_validation_partition": f"""WITH {DRIFT}, {C}
