@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
+from tidemark.llm.texts import importable
 from tidemark.session import stage as staged
 
 
@@ -51,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = staged(step(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

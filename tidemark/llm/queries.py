@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, metric_search, mixing, near_dedup, oracle, secrets, suffix_dedup, token_counts
-from tidemark.llm.texts import table
+from tidemark.llm.texts import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,17 +58,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.links(table(spark, sf_dir, "documents"))
 
 
+def _ready(query: Query) -> Query:
+    return lambda spark, sf_dir: query(importable(spark), sf_dir)
+
+
 REGISTRY: dict[str, Query] = {
-    "op1_suffix_dedup": op1_suffix_dedup,
-    "op2_metric_search": op2_metric_search,
-    "op3_secrets": op3_secrets,
-    "op4_chat_views": op4_chat_views,
-    "op5_exact_dedup": op5_exact_dedup,
-    "op6_token_counts": op6_token_counts,
-    "op7_byte_bpe": op7_byte_bpe,
-    "op8_language_id": op8_language_id,
-    "op9_mixing": op9_mixing,
-    "op10_near_dedup": op10_near_dedup,
+    "op1_suffix_dedup": _ready(op1_suffix_dedup),
+    "op2_metric_search": _ready(op2_metric_search),
+    "op3_secrets": _ready(op3_secrets),
+    "op4_chat_views": _ready(op4_chat_views),
+    "op5_exact_dedup": _ready(op5_exact_dedup),
+    "op6_token_counts": _ready(op6_token_counts),
+    "op7_byte_bpe": _ready(op7_byte_bpe),
+    "op8_language_id": _ready(op8_language_id),
+    "op9_mixing": _ready(op9_mixing),
+    "op10_near_dedup": _ready(op10_near_dedup),
 }
 SQL: dict[str, str] = {
     "op2_metric_search": oracle.OP2,

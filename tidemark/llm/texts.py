@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -20,6 +21,20 @@ WIDE_SPACE = re.compile(r"  |\s (?:\s|\Z)").search
 NOT_LATIN = re.compile(r"[^\t-\r -~À-ÖØ-öø-ſ]")
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let the session's Python workers import this package where it lies, beside what their path has.
+
+    On a cluster whose workers don't see this folder, ship the package as usual (--py-files).
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), ROOT])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
