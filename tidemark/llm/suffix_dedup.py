@@ -252,7 +252,8 @@ def group_spans(group: list[tuple[int, bytes, tuple]]) -> Iterator[tuple[int, in
     kinds: list[list] = []  # string, tag, prefix shared with a neighbour
     for shared, string, tag in group:
         if kinds and kinds[-1][0] == string and kinds[-1][1][0] == tag[0]:
-            yield tag[1], tag[2], tag[3], tag[3] + len(string)  # an equal piece stands earlier
+            if tag != kinds[-1][1]:  # else a repeated row
+                yield tag[1], tag[2], tag[3], tag[3] + len(string)  # an equal piece stands earlier
         else:
             if kinds:
                 kinds[-1][2] = max(kinds[-1][2], shared)
@@ -309,14 +310,15 @@ def sorted_runs(marked: DataFrame, parts: int, run_size: int = RUN) -> DataFrame
         pieces.sort()
         out: dict[int, list[tuple]] = {}
         spans: dict[int, list[tuple]] = {}
-        before = None
+        first: tuple = ()
         for part, *piece in pieces:
-            if before == (part, piece[0], piece[1]):
+            if first[:3] == (part, piece[0], piece[1]):
                 _, _, number, tie, place = piece
-                spans.setdefault(number % parts, []).append((number, tie, place, place + len(piece[0])))
+                if first[3:] != (number, tie, place):  # else a repeated row
+                    spans.setdefault(number % parts, []).append((number, tie, place, place + len(piece[0])))
             else:
                 out.setdefault(part, []).append(tuple(piece))
-                before = (part, piece[0], piece[1])
+                first = (part, *piece)
         rows = [(p, encode_run(x)) for p, x in out.items()] + [(p, encode_spans(x)) for p, x in spans.items()]
         arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, names=["part", "payload"])
