@@ -12,7 +12,7 @@ bins are added up over (source, bin) rows, so a hot source is never in one task.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; a null id hashes as the empty string; rows that repeat id, source
-and size are taken alike; sizes of 0 take nothing; an empty table gives none;
+and size are taken alike; documents without words are not taken; an empty table gives none;
 other columns, whatever their names, are carried through by ``mixed`` only.
 """
 
@@ -115,9 +115,9 @@ def mix(
     epochs = F.least(epochs, F.lit(max_epochs))
     rest = F.col("target") - epochs * F.col("source_size")
     # A document belongs to the fractional repetition if its middle word does.
-    extra = (F.col("size") > 0) & ((2 * before + F.sum("size").over(alike)).cast("double") <= 2 * rest)
+    extra = ((2 * before + F.sum("size").over(alike)).cast("double") <= 2 * rest)
     copies = epochs + F.when(extra, 1).otherwise(0)
-    done = placed.withColumn("copies", F.least(copies, F.lit(max_epochs)))
+    done = placed.withColumn("copies", F.when(F.col("size") > 0, F.least(copies, F.lit(max_epochs))).otherwise(0))
     return done.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
