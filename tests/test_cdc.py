@@ -1,5 +1,6 @@
 """Envelopes to bronze rows and dead letters."""
 
+import base64
 import json
 from datetime import datetime
 from decimal import Decimal
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import as_instant
 from tidemark.operators import cdc
 from tidemark.schemas import CAPS, PRICES, bronze_schema, envelope_schema
-from tidemark.sources.changes import envelope_from_json, snapshot_envelopes
+from tidemark.sources.changes import envelope_from_avro, envelope_from_json, snapshot_envelopes
 
 IMAGE = {
     "asset_id": "bitcoin", "symbol": "btc", "coin_name": "Bitcoin", "currency": "usd", "price": "123.45",
@@ -140,3 +141,32 @@ def test_a_snapshot_reads_like_live_events(spark):
     table = table.withColumns({"source_ts": F.col("event_time"), "created_at": F.col("event_time")})
     row = cdc.cdc_parse(snapshot_envelopes(table, PRICES, F.lit(7)), PRICES).first()
     assert (row.op, row.lsn, row.price, row.eventTimeMs) == ("r", 7, Decimal("1.5"), 1704164645600)
+
+
+def test_json_feeds_reject_what_no_number_can_be(spark):
+    """A bad lsn is a reject, and a number as time is microseconds."""
+    micros = {**IMAGE, "event_time": 1_704_164_645_123_456, "source_ts": -1_999, "created_at": "1704164645000000"}
+    events = [envelope(source={**SOURCE, "lsn": "abc"}), envelope(source={**SOURCE, "lsn": 2**63}), envelope(after=micros), envelope()]
+    lines = spark.createDataFrame([(json.dumps(e),) for e in events], "value string")
+    got = cdc.cdc_validate(envelope_from_json(lines, PRICES), PRICES).collect()
+    bad = "lsn is not a 64-bit integer"
+    assert [r.reject_reason for r in got] == [bad, bad, None, None]
+    assert (got[2].eventTimeMs, got[2].sourceTsMs, got[2].createdAtMs) == (1704164645123, -1, 1704164645000)
+    assert json.loads(got[0].record)["source"]["lsn"] == "abc" and got[3].lsn == 42
+
+
+def test_messages_are_decoded_by_the_schema_they_name(spark):
+    """The decoder stands in for Avro: the writer's schema is a prefix to take off."""
+
+    def decode(body, writer, reader):
+        text = F.decode(body, "UTF-8")
+        return F.when(F.startswith(text, F.lit(writer)), F.from_json(F.substring(text, len(writer) + 1, 10_000), envelope_schema(PRICES)))
+
+    event = json.dumps(envelope())
+    bodies = [(1, f"A{event}"), (2, f"BB{event}"), (3, f"A{event}"), (2, f"A{event}")]
+    frames = [b"\0" + n.to_bytes(4, "big") + text.encode() for n, text in bodies] + [b"\1\0\0\0\1" + event.encode(), b"\0"]
+    messages = spark.createDataFrame([(m,) for m in frames], "value binary")
+    read = envelope_from_avro(messages, {1: "A", 2: "BB"}, "reader", decode=decode)
+    got = cdc.cdc_validate(read, PRICES).collect()
+    assert [r.reject_reason for r in got] == [None, None, *[cdc.UNSUPPORTED] * 4]
+    assert [base64.b64decode(r.record) for r in got[2:]] == frames[2:]

@@ -114,3 +114,21 @@ def test_a_framed_body_reads_back(spark):
     df = spark.createDataFrame([(b"body",)], "b binary").select(frame(F.col("b"), 70000).alias("value"))
     [(magic, schema_id, body)] = df.select(*confluent_header(F.col("value"))).collect()
     assert (magic, schema_id, bytes(body)) == (0, 70000, b"body")
+
+
+def test_the_inventory_counts_empty_files(spark, folder):
+    path = f"{folder}/t"
+    dated(spark, date(2024, 1, 1), date(2024, 1, 2)).repartition(1).write.partitionBy("ingestion_date").parquet(path)
+    spark.range(0).write.parquet(f"{path}/ingestion_date=2024-01-03")
+    got = {r.ingestion_date: (r.objects, r.bytes > 0) for r in layout.file_inventory(spark, path, ["ingestion_date"]).collect()}
+    assert got == {f"2024-01-0{n}": (1, True) for n in (1, 2, 3)}
+
+
+def test_only_the_batch_s_part_of_the_target_is_read(spark, folder):
+    path = f"{folder}/t"
+    spark.range(100).withColumn("day", F.col("id") % 10).write.partitionBy("day").parquet(path)
+    batch = spark.createDataFrame([(3, 3), (203, 3), (4, 4)], "id long, day int")
+    added = ingest.anti_existing(batch, spark.read.parquet(path), ["id", "day"], within="day")
+    assert rows(added) == [(203, 3)]
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    assert "(day#" in plan.split("PartitionFilters:")[1].split("]")[0] and ">= 3" in plan

@@ -11,6 +11,7 @@ from tidemark.operators import cdc, state
 from tidemark.plans import activity, alerts, gold, silver
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import CAPS, PRICES, bronze_schema
+from tidemark.session import list_folders, release, shared_root
 from tidemark.sources import changes, landing
 from tidemark.streaming import app, incremental, pipeline, progress, sinks
 from test_cdc import CAP_IMAGE, IMAGE, SOURCE, envelope
@@ -98,6 +99,14 @@ def test_a_batch_that_failed_halfway_leaves_one_copy(spark, folder, monkeypatch)
     assert landing.bronze_scan(spark, targets.bronze, PRICES).count() == 20
 
 
+def test_nothing_staged_is_left(spark, folder):
+    run(spark, folder, "one", 1)
+    app_folder = f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    assert list_folders(spark, f"{app_folder}/batch-*") == []
+    release(spark)
+    assert list_folders(spark, app_folder) == []
+
+
 def test_writing_a_batch_twice_changes_nothing(spark, folder):
     lines = spark.createDataFrame([(json.dumps(e),) for e in EVENTS], "value string")
     at = F.lit("2024-01-02 00:00:00").cast("timestamp")
@@ -242,5 +251,17 @@ def test_the_job_and_the_warehouse_end_to_end(spark, folder):
     assert {r.table_name: r["rows"] for r in lake.row_counts().collect()}["bronze.market_prices"] == 20
     assert lake.file_inventory(PRICES).first().objects >= 1
     assert {r.job_name for r in lake.checkpoint_duration().collect()} == {"bronze-market_prices", "bronze-market_caps"}
+    live = Warehouse(spark, f"{folder}/lake", incremental=True)
+    app.main(["--models", "--root", f"{folder}/lake", "--available-now"])
+    for _ in range(2):  # merged, and once more with the replaced folders gone
+        assert rows(live.silver(PRICES)) == rows(lake.silver(PRICES))
+        assert rows(live.market_overview()) == rows(lake.market_overview())
+        assert rows(live.dim_asset().drop("updated_at")) == rows(lake.dim_asset().drop("updated_at"))
+        live.compact_models()
+    assert len(list_folders(spark, live.model("state_market_prices/batch_id=*"))) == 1
+    write_files(spark, f"{folder}/prices", [envelope(asset_id="new", source={**SOURCE, "lsn": 500})], 1)
+    app.main(["--feed", "market_prices", "--root", f"{folder}/lake", "--format", "json", "--location", f"{folder}/prices", "--available-now"])
+    app.main(["--models", "--root", f"{folder}/lake", "--available-now"])
+    assert rows(live.silver(PRICES)) == rows(lake.silver(PRICES)) and live.silver(PRICES).filter("asset_id = 'new'").count() == 1
     lake.record_checks()
     assert lake.alerts().filter("rule_uid = 'sink-validation-mismatch'").first().state == "normal"

@@ -6,13 +6,15 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.clock import as_instant
 from tidemark.operators.layout import bronze_layout, drop_expired
 from tidemark.plans import activity, alerts, freshness, gold, overview, reconcile, silver
-from tidemark.schemas import CAPS, FEEDS, PRICES, Feed
+from tidemark.schemas import CAPS, FEEDS, PRICES, Feed, bronze_schema
 from tidemark.session import stage
 from tidemark.sources.landing import bronze_scan, lz_file_inventory, lz_scan
-from tidemark.streaming import progress
+from tidemark.streaming import incremental, progress
 from tidemark.streaming.pipeline import Targets
 
 
@@ -20,11 +22,38 @@ class Warehouse:
     """Landing zone, bronze, silver, gold and reports of both feeds.
 
     Folders: ``lz/<feed>`` and ``bronze/<feed>`` hold what the streaming job
-    writes, ``gold/<table>`` what :meth:`build_gold` writes.
+    writes, ``gold/<table>`` what :meth:`build_gold` writes, ``models/<table>``
+    what the model streams keep up to date. With ``incremental`` silver and gold
+    are read from those; else they are computed from bronze.
     """
 
-    def __init__(self, spark: SparkSession, root: str, as_of: datetime | None = None):
-        self.spark, self.root, self.as_of = spark, root.rstrip("/"), as_of
+    def __init__(self, spark: SparkSession, root: str, as_of: datetime | None = None, incremental: bool = False):
+        self.spark, self.root, self.as_of, self.incremental = spark, root.rstrip("/"), as_of, incremental
+
+    def model(self, name: str) -> str:
+        return f"{self.root}/models/{name}"
+
+    def start_models(self, available_now: bool = False) -> list[StreamingQuery]:
+        """Keep silver state, facts and the dimension up to date from bronze as it is written."""
+        started = []
+        for name, feed in FEEDS.items():
+            rows = lambda f=feed: self.spark.readStream.schema(bronze_schema(f)).parquet(f"{self.root}/bronze/{f.name}")
+            check = lambda table: f"{self.root}/checkpoints/models/{table}"
+            state, facts = f"state_{name}", f"fct_{name}"
+            payload = silver.state_payload(feed)
+            started.append(incremental.latest_state_stream(rows(), payload, self.model(state), check(state), available_now=available_now))
+            started.append(incremental.fact_stream(rows(), feed, self.model(facts), check(facts), available_now))
+            if feed is PRICES:
+                started.append(incremental.dim_asset_stream(rows(), self.model("dim_asset"), check("dim_asset"), available_now))
+        return started
+
+    def compact_models(self) -> int:
+        """Merge the model tables' partial results; run it on a schedule beside the streams."""
+        merged = incremental.compact_dim_asset(self.spark, self.model("dim_asset"))
+        for name, feed in FEEDS.items():
+            merged += incremental.compact_facts(self.spark, self.model(f"fct_{name}"), feed)
+            merged += incremental.compact_silver(self.spark, self.model(f"state_{name}"), feed)
+        return merged
 
     def targets(self, feed: Feed, topic: dict[str, str] | None = None, dead_letters: dict[str, str] | None = None) -> Targets:
         """Where the streaming job of a feed should write."""
@@ -46,12 +75,20 @@ class Warehouse:
         bronze_layout(self.bronze(feed), target)
 
     def silver(self, feed: Feed) -> DataFrame:
+        if self.incremental:
+            shape = incremental.state_shape(self.spark, feed)
+            return silver.silver_view(incremental.read_state(self.spark, self.model(f"state_{feed.name}"), shape), feed)
         return silver.silver_prices(self.bronze(feed)) if feed is PRICES else silver.silver_caps(self.bronze(feed))
 
     def dim_asset(self) -> DataFrame:
+        if self.incremental:
+            rows = incremental.read_dim_asset(self.spark, self.model("dim_asset"))
+            return rows.withColumn("updated_at", as_instant(self.as_of))
         return gold.dim_asset(self.bronze(PRICES), self.as_of)
 
     def facts(self, feed: Feed) -> DataFrame:
+        if self.incremental:
+            return incremental.read_facts(self.spark, self.model(f"fct_{feed.name}"), feed)
         return gold.fact_table(gold.fact_rows(self.bronze(feed), feed), self.as_of)
 
     def build_gold(self) -> None:
@@ -61,7 +98,9 @@ class Warehouse:
             gold.write_facts(self.facts(feed), f"{self.root}/gold/fct_{feed.name}")
 
     def built_facts(self, feed: Feed) -> DataFrame:
-        """Facts as last written, by month."""
+        """Facts as last written, by month; of an incremental warehouse, as they are now."""
+        if self.incremental:
+            return self.facts(feed)
         return self.spark.read.schema(self.facts(feed).schema).parquet(f"{self.root}/gold/fct_{feed.name}")
 
     def market_overview(self, built: bool = False) -> DataFrame:

@@ -68,19 +68,28 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Delete what this application staged. Call it when its results are read."""
-    _delete(spark, f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}")
+    delete_folder(spark, f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(pattern)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that nothing reads any more."""
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        _delete(df.sparkSession, folder)
+        delete_folder(df.sparkSession, folder)
 
 
 def stage(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:

@@ -1,7 +1,8 @@
-"""The bronze job of one feed, for spark-submit.
+"""The bronze job of one feed, or the model streams of both, for spark-submit.
 
     spark-submit tidemark/streaming/app.py --feed market_prices --root s3a://lake \\
         --format kafka --location broker:9092 --topic cdc.public.market_prices
+    spark-submit tidemark/streaming/app.py --models --root s3a://lake
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ LISTENER_WAIT_MS = 60_000
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("--feed", choices=sorted(FEEDS), required=True)
+    what = parser.add_mutually_exclusive_group(required=True)
+    what.add_argument("--feed", choices=sorted(FEEDS), help="run this feed into bronze")
+    what.add_argument("--models", action="store_true", help="keep silver and gold up to date from bronze")
+    parser.add_argument("--compact-minutes", type=int, default=60, help="time between compactions of the models")
     parser.add_argument("--root", required=True, help="warehouse folder")
     parser.add_argument("--format", choices=["kafka", "json", "parquet"], default="kafka")
-    parser.add_argument("--location", required=True, help="brokers, or the folder of event files")
+    parser.add_argument("--location", help="brokers, or the folder of event files")
     parser.add_argument("--topic")
     parser.add_argument("--reader-schema", help="file with the Avro schema of the message values")
     parser.add_argument("--writer-schema", action="append", default=[], metavar="ID=FILE", help="a registered schema of the values, by its id")
@@ -35,11 +39,28 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out-topic", help="also publish bronze rows to this topic")
     parser.add_argument("--dead-letter-topic")
     parser.add_argument("--available-now", action="store_true", help="stop when caught up")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.feed and not args.location:
+        parser.error("--feed needs --location")
+    return args
+
+
+def run_models(args: argparse.Namespace) -> None:
+    """Follow bronze until stopped, or until caught up, and compact now and then."""
+    spark = build_session("models")
+    lake = Warehouse(spark, args.root, incremental=True)
+    running = lake.start_models(args.available_now)
+    while any(query.isActive for query in running):
+        if running[0].awaitTermination(args.compact_minutes * 60):
+            for query in running:
+                query.awaitTermination()
+        lake.compact_models()
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
+    if args.models:
+        return run_models(args)
     spark = build_session(f"bronze-{args.feed}")
     feed = FEEDS[args.feed]
     limit = "maxOffsetsPerTrigger" if args.format == "kafka" else "maxFilesPerTrigger"

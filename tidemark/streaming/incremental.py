@@ -7,16 +7,20 @@ in place, and compaction only bounds how much there is to merge.
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.state import STATE_KEYS, STATE_VERSION, partial_state, replacing_dedup, state_merge
-from tidemark.plans import gold
+from tidemark.plans import gold, silver
 from tidemark.schemas import PRICES, Feed, bronze_schema
+from tidemark.session import delete_folder, list_folders
 from tidemark.streaming.sinks import write_batch
 
 
@@ -114,3 +118,70 @@ def compact_state(
     """
     merged = read_state(spark, path, schema, keys, version)
     merged.withColumn("batch_id", F.lit("merged")).write.mode("overwrite").partitionBy("batch_id").parquet(target)
+
+
+def _replaced(path: str) -> str:
+    """Where a table keeps the lists of folders that a merged one stands for."""
+    return f"{path}.replaced"
+
+
+def drop_replaced(spark: SparkSession, path: str) -> int:
+    """Delete the folders that earlier compactions have merged, and return how many."""
+    try:
+        lists = spark.read.schema("value string").text(_replaced(path))
+        folders = [r.value for r in lists.collect()]  # one name per batch since the last compaction
+    except AnalysisException:
+        return 0
+    for folder in folders:
+        delete_folder(spark, folder)
+    delete_folder(spark, _replaced(path))
+    return len(folders)
+
+
+def compact(
+    spark: SparkSession, path: str, shape: T.StructType, merge: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
+) -> int:
+    """Merge a table's partial results in place, while batches go on arriving.
+
+    The merged rows are one more partial result, so readers get the same answer
+    at every moment. Folders they stand for are deleted by the next call, when
+    readers that listed them are done. Only partitions with more than one folder
+    are rewritten. Returns the number of folders merged.
+    """
+    drop_replaced(spark, path)
+    folders = list_folders(spark, "/".join([path, *(f"{c}=*" for c in partition_by), "batch_id=*"]))
+    several = Counter(f.rsplit("/", 1)[0] for f in folders)
+    chosen = [f for f in folders if several[f.rsplit("/", 1)[0]] > 1]
+    if not chosen:
+        return 0
+    parts = spark.read.schema(shape).option("basePath", path).parquet(*chosen).select(*shape.names)
+    name = f"merged-{uuid.uuid4().hex}"
+    merge(parts).withColumn("batch_id", F.lit(name)).write.mode("append").partitionBy(*partition_by, "batch_id").parquet(path)
+    spark.createDataFrame([(f,) for f in chosen], "value string").write.mode("append").text(_replaced(path))
+    return len(chosen)
+
+
+def fact_shape(spark: SparkSession, feed: Feed) -> T.StructType:
+    rows = gold.fact_rows(spark.createDataFrame([], bronze_schema(feed)), feed)
+    return rows.withColumn("event_month", gold.event_month(F.col("event_time_ms"))).schema
+
+
+def compact_facts(spark: SparkSession, path: str, feed: Feed) -> int:
+    merge = lambda parts: replacing_dedup(parts, gold.FACT_KEY, "lsn")
+    return compact(spark, path, fact_shape(spark, feed), merge, ["event_month"])
+
+
+def compact_dim_asset(spark: SparkSession, path: str) -> int:
+    shape = gold.dim_asset_rows(spark.createDataFrame([], bronze_schema(PRICES))).schema
+    return compact(spark, path, shape, lambda parts: replacing_dedup(parts, gold.DIM_KEY, "last_lsn"))
+
+
+def compact_silver(spark: SparkSession, path: str, feed: Feed) -> int:
+    shape = state_shape(spark, feed)
+    return compact(spark, path, shape, lambda parts: state_merge(parts, keys=STATE_KEYS, version=STATE_VERSION))
+
+
+def state_shape(spark: SparkSession, feed: Feed) -> T.StructType:
+    """The columns of a feed's state."""
+    empty = spark.createDataFrame([], bronze_schema(feed))
+    return empty.select(*STATE_KEYS, *STATE_VERSION, *silver.state_payload(feed)).schema
