@@ -50,9 +50,10 @@ LENGTH = 100
 GRAM = 32
 BUFFER = 1 << 20  # bytes hashed at once; longer texts in chunks of as many windows
 PLACE = np.uint64((1 << 21) - 1)
-RUN = 100_000  # pieces of one sorted run
+RUN = 250_000  # pieces of one sorted run
 HOT = 200_000
-PARTS = 4  # parts of the merge for each shuffle partition
+LEVEL = 6  # of compression
+PARTS = 2  # parts of the merge for each shuffle partition
 NO_ID = 2**63 - 1
 
 Anchors = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -160,7 +161,7 @@ def encode_run(pieces: list[tuple]) -> bytes:
         bytes(p[1] for p in pieces),
         *rest,
     ]
-    return b"R" + zstandard.ZstdCompressor(level=1).compress(b"".join(arrays))
+    return b"R" + zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(arrays))
 
 
 def decode_run(data: bytes) -> Iterator[tuple[int, bytes, tuple]]:
@@ -183,7 +184,7 @@ def decode_run(data: bytes) -> Iterator[tuple[int, bytes, tuple]]:
 
 
 def encode_spans(spans: list[tuple]) -> bytes:
-    return b"S" + zstandard.ZstdCompressor(level=1).compress(np.array(spans, np.int64).T.tobytes())
+    return b"S" + zstandard.ZstdCompressor(level=LEVEL).compress(np.array(spans, np.int64).T.tobytes())
 
 
 def decode_spans(data: bytes) -> np.ndarray:
