@@ -44,7 +44,7 @@ LEAST_VALUE = 8
 SAMPLE_DOCS = 600  # documents with base spans, and as many without, that the CRF learns from
 OTHERS = 3  # other stretches with digits taken from a document, about
 WINDOW = 12  # tokens on either side of a secret in a training sequence
-SEED = 11
+SEED, SHARES = 11, 1 << 20
 
 TOKEN = re.compile(r"\w+(?:[+/.-]+\w+)*|[^\w\s]")
 DIGIT, DIGITS = re.compile(r"\d"), re.compile(r"\d+")
@@ -268,12 +268,23 @@ def sequences(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def likely_of(text_col: str):
+    """Whether a text may have base spans; decided in the JVM."""
+    return F.coalesce(F.col(text_col).rlike(LIKELY), F.lit(False))
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SecretTagger | None:
     """Train on a bounded sample: SAMPLE_DOCS documents with base spans and as many without, lowest hash of id first."""
     text = F.col(text_col)
-    likely = F.coalesce(text.rlike(LIKELY), F.lit(False))
-    rows = docs.where(text.isNotNull()).select(text.alias("text"), likely.alias("likely"), F.xxhash64(F.col(id_col), F.lit(SEED)).alias("key"))
-    sample = [r["text"] for side in (True, False) for r in rows.where(F.col("likely") == side).orderBy("key", F.xxhash64("text")).limit(SAMPLE_DOCS).collect()]
+    share = F.pmod(F.xxhash64(F.col(id_col), text, F.lit(SEED)), F.lit(SHARES))
+    rows = docs.where(text.isNotNull()).select(text.alias("text"), share.alias("share"))
+    sizes = {r["likely"]: r["n"] for r in rows.groupBy(likely_of("text").alias("likely")).agg(F.count("*").alias("n")).collect()}
+    sample: list[str] = []
+    for side, n in sorted(sizes.items(), reverse=True):
+        # Only about three times as many rows as are wanted are sorted, however many tasks there are.
+        few = rows.where(F.col("share") < -(-3 * SAMPLE_DOCS * SHARES // n)).where(likely_of("text") == side)
+        chosen = few.orderBy("share", F.xxhash64("text"), "text").limit(SAMPLE_DOCS)
+        sample += [r["text"] for r in chosen.collect()]
     found = sequences(sample)
     if not any(y.any() for _, y in found):
         return None
