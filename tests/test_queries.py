@@ -26,5 +26,10 @@ def test_query(spark, duck, name):
     assert ok, note
 
 
+def test_days_come_in_order(spark):
+    got = [(r.day, r.src) for r in entry.queries()["order_by"](spark, SF).collect()]
+    assert got == sorted(got) and len({src for _, src in got}) == 2
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 15

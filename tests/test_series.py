@@ -131,3 +131,24 @@ def test_the_four_rules(spark):
     states = alerts.alerts(health_history=health, validation_history=checks, topic_offsets=dlq, consumer_offsets=lag)
     firing = {r.rule_uid: r.n for r in states.groupBy("rule_uid").agg(F.count_if(F.col("state") == "firing").alias("n")).collect()}
     assert firing == {"pipeline-lag-stale": 7, "sink-validation-mismatch": 2, "dlq-records": 1, "consumer-lag": 2}
+
+
+def test_running_totals_over_chunks(spark):
+    """A series that ends in the first chunk, one that spans many, and a null."""
+    data = [("a", at(m), None if m % 7 == 0 else m) for m in range(0, 5000, 13)] + [("b", at(m), 1) for m in range(3)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v int").repartition(3)
+    got = series.running_total(series.chunked(df, "ts", 3600), ["k"], "ts", {"total": F.col("v")})
+    sums, want = {}, []
+    for k, ts, v in sorted(data, key=lambda r: (r[0], r[1])):
+        sums[k] = sums.get(k, 0) + (v or 0)
+        want.append((k, sums[k]))
+    assert [tuple(r) for r in got.orderBy("k", "ts").select("k", "total").collect()] == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange SinglePartition" not in plan
+
+
+def test_increase_reads_its_samples_once(spark, folder):
+    samples = spark.createDataFrame([("t", 0, at(m), m) for m in range(30)], "topic string, partition int, ts timestamp, current_offset int")
+    samples.write.parquet(f"{folder}/samples")
+    plan = series.counter_increase(spark.read.parquet(f"{folder}/samples"), "t")._jdf.queryExecution().executedPlan().toString()
+    assert f"{folder}/samples" not in plan

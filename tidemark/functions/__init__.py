@@ -1,49 +1 @@
-from tidemark.functions.clock import (
-    as_instant,
-    epoch_to_local_time,
-    event_month,
-    ingest_stamp,
-    local_date,
-    local_event_date,
-    minutes_between,
-)
-from tidemark.functions.digest import portable_hash, row_hash
-from tidemark.functions.payload import (
-    decimal_or_null,
-    decimal_parts,
-    decimal_reading,
-    decimal_unfit,
-    iso_to_millis,
-    judge_decimal,
-    long_or_null,
-    long_unfit,
-    micros_to_millis,
-    text_or_null,
-    ts_to_millis,
-)
-from tidemark.functions.wire import confluent_header, frame
-
-__all__ = [
-    "as_instant",
-    "confluent_header",
-    "decimal_or_null",
-    "decimal_parts",
-    "decimal_reading",
-    "decimal_unfit",
-    "epoch_to_local_time",
-    "event_month",
-    "frame",
-    "ingest_stamp",
-    "iso_to_millis",
-    "judge_decimal",
-    "local_date",
-    "local_event_date",
-    "long_or_null",
-    "long_unfit",
-    "micros_to_millis",
-    "minutes_between",
-    "portable_hash",
-    "row_hash",
-    "text_or_null",
-    "ts_to_millis",
-]
+"""Column rules: payload text, clocks, hashes, message headers."""

@@ -262,7 +262,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages with faults: some cut off, some an error object, and bad prices and names by the event's ``k``."""
     body = F.regexp_replace("body", r'"current_price":[0-9.]+,"market_cap":77000', '"current_price":"n/a","market_cap":77000')
-    body = F.regexp_replace(body, r'"name":"Coin \\\\"12\\\\"",', "")
+    body = F.regexp_replace(body, r'"name":"Coin \\"12\\"",', "")
     kind = F.pmod(F.col("page"), F.lit(10))
     body = F.when(kind == 3, F.expr("substring(body, 1, length(body) - 5)")).when(kind == 5, '{"error":"rate limit"}').otherwise(body)
     return api_pages(spark, sf_dir).select("page", body.alias("body"))

@@ -459,8 +459,8 @@ SQL: dict[str, str] = {
         FROM slots CROSS JOIN (VALUES {RULES}) AS r(rule_uid, hold)), {held("src", 30)}""",
     "union_all": f"""WITH {P}, {C} SELECT CAST(ingestion_date AS VARCHAR) AS day, count(*) AS n, 'market_prices' AS src FROM p GROUP BY 1
         UNION ALL SELECT CAST(ingestion_date AS VARCHAR), count(*), 'market_caps' FROM c GROUP BY 1""",
-    "order_by": f"""WITH {P} SELECT CAST(ingestion_date AS VARCHAR) AS day, count(*) AS n, 'market_prices' AS src
-        FROM p GROUP BY 1 ORDER BY 1""",
+    "order_by": f"""WITH {P}, {C} SELECT CAST(ingestion_date AS VARCHAR) AS day, count(*) AS n, 'market_prices' AS src FROM p GROUP BY 1
+        UNION ALL SELECT CAST(ingestion_date AS VARCHAR), count(*), 'market_caps' FROM c GROUP BY 1 ORDER BY 1, 3""",
     "dim_asset": f"""WITH {P} SELECT "assetId" AS asset_id, symbol, "coinName" AS coin_name, "coinImage" AS coin_image, currency,
         "eventTimeMs" AS last_event_time_ms, {when('"eventTimeMs"')} AS last_event_time, lsn AS last_lsn, op AS last_op
         FROM (SELECT *, row_number() OVER (PARTITION BY "assetId" ORDER BY lsn DESC) AS pos FROM p WHERE op <> 'd') WHERE pos = 1""",

@@ -714,14 +714,19 @@ def _daily(spark, sf_dir, feed: Feed) -> DataFrame:
     return rows.groupBy(F.col("ingestion_date").alias("day")).agg(F.count("*").alias("n")).withColumn("src", F.lit(feed.name))
 
 
+def union_days(spark, sf_dir) -> DataFrame:
+    return _daily(spark, sf_dir, PRICES).unionByName(_daily(spark, sf_dir, CAPS))
+
+
 @query
 def union_all(spark, sf_dir):
-    return plain(_daily(spark, sf_dir, PRICES).unionByName(_daily(spark, sf_dir, CAPS)))
+    return plain(union_days(spark, sf_dir))
 
 
 @query
 def order_by(spark, sf_dir):
-    return plain(_daily(spark, sf_dir, PRICES).orderBy("day"))
+    """Both feeds' days in order."""
+    return plain(union_days(spark, sf_dir).orderBy("day", "src"))
 
 
 # --- composite results ------------------------------------------------------
