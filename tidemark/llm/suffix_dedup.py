@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.hashing import Substrings, spread
+from tidemark.session import stage
 
 LENGTH = 100
 GRAM = 32
@@ -52,6 +53,7 @@ BUFFER = 1 << 20  # bytes hashed at once; longer texts in chunks of as many wind
 PLACE = np.uint64((1 << 21) - 1)
 RUN = 250_000  # pieces of one sorted run
 HOT = 200_000
+OFTEN = 10_000  # frequent anchor strings that a task keeps in memory, at most
 LEVEL = 6  # of compression
 PARTS = 2  # parts of the merge for each shuffle partition
 NO_ID = 2**63 - 1
@@ -365,9 +367,19 @@ def repeated_spans(rows: DataFrame, hot: int = HOT, run_size: int = RUN) -> Data
     spark = rows.sparkSession
     parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     anchors = anchor_rows(rows)
-    counts = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    counts = stage(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    # The most frequent strings, at most OFTEN of them by their share of all repeats, are looked up in
+    # a broadcast table; their anchors then join nothing and are spread by a salt.
+    repeats = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = counts.where(F.col("n") * OFTEN > repeats).select(F.col("gram").alias("known"), F.col("n").alias("n_often"))
+    marked = anchors.join(F.broadcast(often), F.col("gram") == F.col("known"), "left").drop("known")
+    marked = marked.withColumn("salt", F.when(F.col("n_often").isNull(), 0).otherwise(1 + F.pmod("id", F.lit(1024))))
+    # A remainder, not a constant, so that the salt stays a key of the join.
+    rare = counts.select(F.col("gram").alias("of"), F.pmod("n", F.lit(1)).alias("of_salt"), "n")
+    joined = marked.join(rare, (F.col("gram") == F.col("of")) & (F.col("salt") == F.col("of_salt")), "left")
+    joined = joined.withColumn("n", F.coalesce("n_often", "n")).where("n is not null")
     code = (2 * F.col("number") + (F.col("n") > hot).cast("int")).alias("code")
-    wanted = anchors.join(counts, "gram").select("id", code).groupBy("id").agg(F.collect_list("code").alias("numbers"))
+    wanted = joined.select("id", code).groupBy("id").agg(F.collect_list("code").alias("numbers"))
     runs = sorted_runs(rows.join(wanted, "id"), parts, run_size)
     return runs.groupBy("part").applyInPandas(merge_part, "id long, tie long, start long, end long")
 
