@@ -36,7 +36,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.hashing import buffers, numbers, spread
@@ -285,9 +285,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     depths = matched_depths()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = stage(sketches(rows, depths), "sketches")
+    # Staged with a number of its own, by which one row of a group can be told from alike ones.
+    found = stage(sketches(rows, depths).withColumn("row", F.monotonically_increasing_id()), "sketches")
     # Labels follow from the class, so any row's will do.
-    classes = found.groupBy("class").agg(F.count("*").alias("n_docs"), F.min("id").alias("min_id"), F.first("labels", ignorenulls=True).alias("labels"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))["row"].alias("min_row")
+    classes = found.groupBy("class").agg(
+        F.count("*").alias("n_docs"), F.min("id").alias("min_id"), first, F.first("labels", ignorenulls=True).alias("labels")
+    )
     classes = stage(classes, "classes")
     nodes = classes.select("class", F.posexplode("labels").alias("tree", "label"))
     buckets = nodes.groupBy("tree", "label").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).where("n > 1")
@@ -311,23 +315,20 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counted = compared.groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(compared, "class", "to").withColumnsRenamed({"node": "class"})
 
-    grouped = classes.select("class", "n_docs", "min_id").join(roots, "class", "left").join(counted, "class", "left")
+    grouped = classes.select("class", "n_docs", "min_id", "min_row").join(roots, "class", "left").join(counted, "class", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "class"))
-    groups = grouped.groupBy("root").agg(F.min("min_id").alias("class_id"), F.sum("n_docs").alias("group_size"))
-    by_class = grouped.join(groups, "root").select("class", "class_id", "group_size", "n_docs", F.coalesce("links", F.lit(0)).alias("links"))
-    joined = found.select("id", "class").join(by_class, "class")
-    winner = F.col("id").eqNullSafe(F.col("class_id"))
-    spread_rows = F.when(winner, F.lit(0)).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)))
-    repeats = Window.partitionBy("id", "spread").orderBy("class")
+    kept = F.min(F.struct(F.col("min_id").isNull().alias("none"), "min_id", "class", "min_row"))["min_row"].alias("kept_row")
+    groups = grouped.groupBy("root").agg(F.min("min_id").alias("class_id"), F.sum("n_docs").alias("group_size"), kept)
+    by_class = grouped.join(groups, "root").select("class", "class_id", "group_size", "kept_row", "n_docs", F.coalesce("links", F.lit(0)).alias("links"))
+    joined = found.select("id", "class", "row").join(by_class, "class")
     kind = docs.schema[id_col].dataType
-    first = joined.withColumns({"winner": winner, "spread": spread_rows}).withColumn("nth", F.row_number().over(repeats))
-    return first.select(
+    return joined.select(
         F.col("id").cast(kind).alias(id_col),
         F.col("class_id").cast(kind).alias("class_id"),
         (F.col("links") + F.col("n_docs") - 1).alias("n_links"),
         (F.col("n_docs") - 1).alias("n_copies"),
         "group_size",
-        (F.col("winner") & (F.col("nth") == 1)).alias("kept"),
+        (F.col("row") == F.col("kept_row")).alias("kept"),
         F.hex("class").alias("class"),
     )
 
@@ -335,19 +336,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each group of linked documents the row marked kept, with all its columns."""
     kept = links(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"), F.col("class").alias("__class"))
-    found = docs.join(kept, docs[id_col].eqNullSafe(kept["__id"]))
-    # Where an id names several rows, the kept class tells them apart; alike rows are taken once.
-    several = Window.partitionBy(id_col)
-    marked = found.withColumn("__rows", F.count("*").over(several))
-    single = marked.where("__rows = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = marked.where("__rows > 1")
+    kept = stage(kept, "kept")
+    # Null ids and ids of several rows are told apart by the text's class; alike rows are taken once.
+    used = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__rows"))
+    several = stage(used.where("__rows > 1").select("__id"), "several")
+    alone = kept.where("__id is not null").join(several, "__id", "left_anti")
+    single = docs.join(alone, docs[id_col] == alone["__id"], "left_semi")
 
     @F.pandas_udf("string")
     def class_of(texts: pd.Series) -> pd.Series:
         parts = [shingle_sets(part, WORDS) for part in buffers(((t or "").encode() for t in texts), BUFFER)]
         return pd.Series([digest_of(s).hex().upper() for part in parts for s in part], dtype="object")
 
-    same = repeated.where(class_of(F.col(text_col)) == F.col("__class"))
-    order = Window.partitionBy(id_col, "__class").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    one = same.withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
-    return single.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = docs.where(F.col(id_col).isNull()).unionByName(docs.join(several, docs[id_col] == several["__id"], "left_semi"))
+    texts = repeated.select(F.struct(*columns).alias("__row"), F.col(id_col).alias("__own"), class_of(F.col(text_col)).alias("__of"))
+    same = texts.join(kept, texts["__own"].eqNullSafe(kept["__id"]) & (texts["__of"] == kept["__class"]))
+    one = same.groupBy("__id", "__class").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row"))
+    return single.unionByName(one.select("__row.*"))
