@@ -14,7 +14,7 @@ from tidemark.session import stage as staged
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter, or whose languages are so many that none has a quarter of it, go."""
+    """Language ID: documents without a letter, in no learned language, or without a language that has a quarter of it, go."""
     return language_id.accepted(docs, least=0.25)
 
 

@@ -11,6 +11,13 @@ Its penalty is half the logarithm of the number of trigrams for each label more,
 times three, since a letter is part of three trigrams. The prediction is the
 label of the largest proportion, the score that proportion.
 
+``accepted`` also asks whether the learned labels fit the text at all. The fit is
+the selected set's log-likelihood per trigram above that of a background, all
+trigrams alike; a mixture gets back the entropy of its proportions, which is what
+not knowing a trigram's language costs it. The cut-off lies half way between the
+background and the least fit of held-out labelled texts, a thousandth of them
+apart. A text goes if it is below it by ``EVIDENCE`` in all: short ones seldom are.
+
 Defined results: ``und`` and score 0 if the text is null or has no letter, or if
 no label could be learned; rows without label are not learned from but are
 predicted; repeated rows each give a row; an empty table gives none; other
@@ -34,6 +41,8 @@ BUCKETS = 1 << 16
 MOST_LABELS = 1000  # more distinct labels than this are no languages; an error, not a cut
 FLOOR = 0.02  # the part of a model's mass that all trigrams share
 STEPS = 12
+APART = 0.001  # of the held-out texts, below the least fit that counts
+EVIDENCE = 3 * np.log(1000)  # in log-likelihood; a letter is part of three trigrams
 SLICE_CHARS = 1 << 19
 SPACE = 32
 
@@ -130,12 +139,17 @@ def fit(chance: np.ndarray, n: np.ndarray, starts: np.ndarray, open_labels: np.n
 
 def infer(texts: list[str], model: np.ndarray) -> np.ndarray:
     """Each text's proportions over the labels of the selected set; zeros if it has no letter."""
-    out = np.zeros((len(texts), model.shape[1]))
+    return measured(texts, model)[0]
+
+
+def measured(texts: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's proportions, its number of trigrams, and its fit; zeros if it has no letter."""
+    out, sizes_of, fits = np.zeros((len(texts), model.shape[1])), np.zeros(len(texts)), np.zeros(len(texts))
     if not model.shape[1]:
-        return out
+        return out, sizes_of, fits
     bucket, owner = trigrams(texts)
     if not len(bucket):
-        return out
+        return out, sizes_of, fits
     key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
     docs, starts = np.unique(key // BUCKETS, return_index=True)
     chance, n = model[key % BUCKETS].astype(np.float64), n.astype(np.float64)
@@ -157,8 +171,10 @@ def infer(texts: list[str], model: np.ndarray) -> np.ndarray:
         best[active], likely[active] = share, value
         if not len(active):
             break
-    out[docs] = best
-    return out
+    out[docs], sizes_of[docs] = best, np.add.reduceat(n, starts)
+    entropy = -(best * np.log(np.where(best > 0, best, 1))).sum(1)
+    fits[docs] = likely / sizes_of[docs] + np.log(BUCKETS) + entropy
+    return out, sizes_of, fits
 
 
 def predict(docs: DataFrame, labels: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,14 +220,33 @@ def held_out_predictions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return found.select(id_col, (fold(id_col) == 2).alias("held_out"), "lang_pred", "score", "languages")
 
 
+def cut_off(held_out: DataFrame, model: np.ndarray, text_col: str = "text") -> float:
+    """The fit that texts of the learned labels have, by held-out ones; without any, none is asked for."""
+    shared = held_out.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def fit_of(texts: pd.Series) -> pd.Series:
+        parts = [measured(part, shared.value) for part in slices((t or "" for t in texts), SLICE_CHARS)]
+        return pd.Series([f if n else None for _, sizes, fits in parts for n, f in zip(sizes, fits, strict=True)], dtype="float64")
+
+    least = held_out.select(fit_of(F.col(text_col)).alias("fit")).where("fit is not null and not isnan(fit)")
+    least = least.agg(F.percentile_approx("fit", APART, 100_000)).first()[0]
+    return -np.inf if least is None else least / 2 if least > 0 else least
+
+
 def accepted(docs: DataFrame, least: float = 0.25, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """The rows, with all their columns, whose text has one language with at least ``least`` of it."""
+    """The rows, with all their columns, whose text is in learned languages, one of them with at least ``least`` of it."""
     labels, model = learn(docs.where(fold(id_col) != 2), text_col, label_col)
+    cut = cut_off(docs.where((fold(id_col) == 2) & F.col(label_col).isNotNull()), model, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        parts = [infer(part, shared.value).max(1, initial=0) for part in slices((t or "" for t in texts), SLICE_CHARS)]
-        return pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+    @F.pandas_udf("boolean")
+    def stays(texts: pd.Series) -> pd.Series:
+        parts = []
+        for part in slices((t or "" for t in texts), SLICE_CHARS):
+            shares, sizes, fits = measured(part, shared.value)
+            # Equal proportions may miss their quarter by rounding.
+            parts.append((sizes > 0) & (shares.max(1, initial=0) >= least - 1e-9) & (sizes * np.maximum(cut - fits, 0) <= EVIDENCE))
+        return pd.Series(np.concatenate(parts) if parts else [], dtype="bool")
 
-    return docs.where(score(F.col(text_col)) >= least)
+    return docs.where(stays(F.col(text_col)))
