@@ -22,3 +22,9 @@ def test_texts_in_no_learned_language_go(spark):
     left = {r.doc_id for r in language_id.accepted(docs.unionByName(spark.createDataFrame(extra, SHAPE))).collect()}
     assert {n for n in left if n < 0} == {-100, -101}
     assert len(left) - 2 >= 0.999 * docs.count()
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    data = [(0, "some words", None), (1, "другие слова", None), (2, "12 34", "en"), (3, None, None), (4, "x", None)]
+    docs = spark.createDataFrame(data, SHAPE)
+    assert sorted(r.doc_id for r in language_id.accepted(docs).collect()) == [0, 1, 4]

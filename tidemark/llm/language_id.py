@@ -19,7 +19,8 @@ background and the least fit of held-out labelled texts, a thousandth of them
 apart. A text goes if it is below it by ``EVIDENCE`` in all: short ones seldom are.
 
 Defined results: ``und`` and score 0 if the text is null or has no letter, or if
-no label could be learned; rows without label are not learned from but are
+no label could be learned, in which case ``accepted`` keeps every text that has a
+letter; rows without label are not learned from but are
 predicted; repeated rows each give a row; an empty table gives none; other
 columns, whatever their names, are not read. A long text is counted in parts.
 """
@@ -143,13 +144,11 @@ def infer(texts: list[str], model: np.ndarray) -> np.ndarray:
 
 
 def measured(texts: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each text's proportions, its number of trigrams, and its fit; zeros if it has no letter."""
+    """Each text's proportions, its number of trigrams, and its fit; zeros if it has no letter (without labels, all but the number)."""
     out, sizes_of, fits = np.zeros((len(texts), model.shape[1])), np.zeros(len(texts)), np.zeros(len(texts))
-    if not model.shape[1]:
-        return out, sizes_of, fits
     bucket, owner = trigrams(texts)
-    if not len(bucket):
-        return out, sizes_of, fits
+    if not len(bucket) or not model.shape[1]:
+        return out, sizes_of + np.bincount(owner, minlength=len(texts)), fits
     key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
     docs, starts = np.unique(key // BUCKETS, return_index=True)
     chance, n = model[key % BUCKETS].astype(np.float64), n.astype(np.float64)
@@ -229,6 +228,8 @@ def cut_off(held_out: DataFrame, model: np.ndarray, text_col: str = "text") -> f
         parts = [measured(part, shared.value) for part in slices((t or "" for t in texts), SLICE_CHARS)]
         return pd.Series([f if n else None for _, sizes, fits in parts for n, f in zip(sizes, fits, strict=True)], dtype="float64")
 
+    if not model.shape[1]:
+        return -np.inf
     least = held_out.select(fit_of(F.col(text_col)).alias("fit")).where("fit is not null and not isnan(fit)")
     least = least.agg(F.percentile_approx("fit", APART, 100_000)).first()[0]
     return -np.inf if least is None else least / 2 if least > 0 else least
@@ -237,6 +238,8 @@ def cut_off(held_out: DataFrame, model: np.ndarray, text_col: str = "text") -> f
 def accepted(docs: DataFrame, least: float = 0.25, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
     """The rows, with all their columns, whose text is in learned languages, one of them with at least ``least`` of it."""
     labels, model = learn(docs.where(fold(id_col) != 2), text_col, label_col)
+    if not labels:  # nothing to hold a text against
+        least = 0.0
     cut = cut_off(docs.where((fold(id_col) == 2) & F.col(label_col).isNotNull()), model, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
