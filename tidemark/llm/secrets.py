@@ -5,16 +5,16 @@ tags tokens as begin, inside or outside of a secret. Its features are a token's
 shape, the shapes and words beside it, whether a word of the key kind or an
 assignment sign stands shortly before, and two of the whole file: how many tokens
 with digits it has for its length, and its length. It learns from a bounded
-sample of documents with base spans (the values are the secrets) and without, and
-is decoded by Viterbi. Tokens without a digit are taken to be outside: their
-weight for that tag is fixed.
+sample of documents with base spans (all tokens of the values are the secrets) and
+without, and is decoded by Viterbi. Base values mostly have digits and a key word
+before them, so each is also learned from as a twin of letters or letters and
+symbols only, with and without the key word; documents without base spans get such
+twins too.
 
-Tokens without digits, far from digits and key words, are *plain*. After
-training the least lead of ``outside`` over the other tags on any plain token is
-compared with the most that transitions could give back. If it is larger, every
-best path is outside there, so the chain may be cut at plain tokens, and only the
-stretches around other tokens are decoded: the same tags as over the whole text.
-If it isn't, whole texts are decoded. Either way every token gets its Viterbi tag.
+Every token's scores are added up. Where ``outside`` leads another tag by more than
+transitions to and from that tag could give back, no best path has that tag. Tokens
+that can only be outside cut the chain, and the stretches between them are decoded:
+the same tags as over the whole text.
 
 Defined results: a null text counts as empty and has no spans; offsets count code
 points, ends are exclusive; repeated rows each give a row; an empty table gives
@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,18 +43,15 @@ LIKELY = "(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{12
 LEAST_VALUE = 8
 
 SAMPLE_DOCS = 600  # documents with base spans, and as many without, that the CRF learns from
-OTHERS = 3  # other stretches with digits taken from a document, about
+OTHERS = 3  # other stretches with digits, and as many without, taken from a document, about
 WINDOW = 12  # tokens on either side of a secret in a training sequence
 SEED, SHARES = 11, 1 << 20
 
-TOKEN = re.compile(r"\w+(?:[+/.-]+\w+)*|[^\w\s]")
-DIGIT, DIGITS = re.compile(r"\d"), re.compile(r"\d+")
+TOKEN = re.compile(r"\w+(?:[+/.$!%^*~#-]+\w+)*|[^\w\s]")
+DIGIT = re.compile(r"\d")
 KEY_WORD = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
-PLAIN = 40.0  # the fixed weight of ``outside`` for tokens without digits
-KEY_PARTS = ("passw", "secret", "token", "api_key", "apikey")
 REACH = 3  # tokens back that a key word or assignment sign is seen from
-BESIDE = REACH + 3  # plain tokens decoded beside one that isn't, so that its features and theirs are whole
-MARGIN = 96  # characters looked through at a time for them
+KNOWN = 1 << 19  # tokens whose features a worker remembers
 
 SIGNS = "=:_-/+\"'.,;!?"
 OUT, BEGIN, INSIDE = range(3)
@@ -74,11 +72,6 @@ def base_spans(text: str) -> list[tuple[int, int, str, tuple[int, int]]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def key_words(text: str) -> Iterator[re.Match]:
-    low = text.lower()  # a quick test; where it fails the pattern can't match
-    return KEY_WORD.finditer(text) if any(part in low for part in KEY_PARTS) else iter(())
-
-
 def shape(token: str) -> int:
     """A token's characters and length, 0 to 63: punctuation, then words, then from 32 on what has digits."""
     if not token[0].isalnum() and len(token) == 1:
@@ -93,10 +86,7 @@ def shape(token: str) -> int:
 
 def word(token: str) -> int:
     """A word feature: letters in lower case, digits as 0, hashed."""
-    value = 0
-    for c in DIGIT.sub("0", token.lower())[:12]:
-        value = (value * 131 + ord(c)) & 0xFFFFFFFF
-    return value % WORDS
+    return crc32(DIGIT.sub("0", token.lower())[:12].encode("utf-8", "surrogatepass")) % WORDS
 
 
 def file_feature(text: str) -> int:
@@ -105,29 +95,42 @@ def file_feature(text: str) -> int:
     return dense * 4 + (len(text) > 500) + (len(text) > 2000) + (len(text) > 20000)
 
 
+class Known:
+    """Shape, word, whether a key word is in it and whether it is an assignment sign, for the tokens seen lately."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((KNOWN, 4), np.int32)
+
+    def __call__(self, tokens: list[str]) -> np.ndarray:
+        new = set(tokens).difference(self.place)
+        if len(self.place) + len(new) > len(self.rows):
+            new = set(tokens)
+            self.place, self.rows = {}, np.zeros((max(KNOWN, len(new)), 4), np.int32)
+        if new:
+            at = len(self.place)
+            self.rows[at : at + len(new)] = [(shape(t), word(t), KEY_WORD.search(t) is not None, t in ":=") for t in new]
+            self.place.update(zip(new, range(at, at + len(new))))
+        return self.rows[[self.place[t] for t in tokens]]
+
+
+known = Known()
+
+
+def columns(tokens: list[str]) -> list[np.ndarray]:
+    """For each feature group but the file's, the row of the weights that is on at each token."""
+    n = len(tokens)
+    shapes, words, key, sign = np.pad(known(tokens).T, ((0, 0), (REACH, REACH)))
+    beside = lambda x, k: x[REACH + k : REACH + k + n]
+    near = lambda x: beside(x, -1) | beside(x, -2) | beside(x, -3)
+    clue = 4 * near(key) + 2 * near(sign) + beside(key, 0)
+    groups = (beside(shapes, 0), beside(shapes, -1), beside(shapes, 1), beside(words, -1), beside(words, 1), clue)
+    return [start + group for start, group in zip(AT, groups)]
+
+
 def features(tokens: list[str], file: int) -> np.ndarray:
     """Rows of the weights that are on at each token."""
-    n = len(tokens)
-    shapes = np.array([shape(t) for t in tokens], np.int64)
-    words = np.array([word(t) for t in tokens], np.int64)
-    key = np.array([bool(KEY_WORD.search(t)) for t in tokens], bool)
-    sign = np.array([t in ":=" for t in tokens], bool)
-    padded = lambda x: np.concatenate((np.zeros(REACH, x.dtype), x, np.zeros(REACH, x.dtype)))
-    beside = lambda x, k: padded(x)[REACH + k : REACH + k + n]
-    near = lambda x: np.any([beside(x, -k) for k in range(1, REACH + 1)], axis=0)
-    clue = 4 * near(key) + 2 * near(sign) + key
-    return np.stack(
-        [
-            AT[0] + shapes,
-            AT[1] + beside(shapes, -1),
-            AT[2] + beside(shapes, 1),
-            AT[3] + beside(words, -1),
-            AT[4] + beside(words, 1),
-            AT[5] + clue,
-            np.full(n, AT[6] + file),
-        ],
-        1,
-    )
+    return np.stack([*columns(tokens), np.full(len(tokens), AT[6] + file)], 1)
 
 
 def train(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 100, rate: float = 0.2, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +142,6 @@ def train(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 100, rat
     for k, (x, y) in enumerate(sequences):
         feats[k, : len(y)], tags[k, : len(y)], mask[k, : len(y)] = x, y, True
     weights, moves = np.zeros((ROWS + 1, 3)), np.zeros((3, 3))
-    weights[:32, OUT] = PLAIN
     state = [np.zeros_like(p) for p in (weights, weights, moves, moves)]
     hot = np.eye(3)[tags] * mask[..., None]
     pairs = mask[:, 1:, None, None] * hot[:, :-1, :, None] * hot[:, 1:, None, :]
@@ -168,7 +170,7 @@ def train(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 100, rat
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             if p is weights:
-                m[:32] = m[ROWS] = 0  # fixed: tokens without digits, and padding
+                m[ROWS] = 0  # padding
             p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return weights[:ROWS], moves
 
@@ -188,61 +190,63 @@ def viterbi(score: np.ndarray, moves: np.ndarray) -> np.ndarray:
 
 
 class SecretTagger:
-    """A trained CRF, and whether its chain may be cut at plain tokens."""
+    """A trained CRF; ``cut``: whether the chain is cut at tokens proven to be outside."""
 
     def __init__(self, weights: np.ndarray, moves: np.ndarray):
-        self.weights, self.moves = weights, moves
-        lead = weights[:, :1] - weights[:, 1:]
-        groups = np.split(lead, AT[1:])
-        plain = [groups[0][:32], groups[1][:32], groups[2][:32], groups[3], groups[4], groups[5][:4:2], groups[6]]
-        least = sum(g.min(0) for g in plain).min()
-        self.cut = least > 2 * (moves.max() - moves.min())
-
-    def stretches(self, text: str) -> list[tuple[int, int]]:
-        """Parts of the text that hold all tokens that aren't plain, with enough plain tokens around them."""
+        self.weights, self.moves, self.cut = weights, moves, True
+        # The most that a tag in place of ``outside`` can win by the moves to it and from it.
+        won = [(moves[:, tag] - moves[:, OUT]).max() + (moves[tag] - moves[OUT]).max() for tag in (BEGIN, INSIDE)]
+        self.won = np.maximum(won, 0) + 1e-6
+
+    def tags(self, tokens: list[str], file: int) -> np.ndarray:
+        """The Viterbi tags of a whole text's tokens."""
+        score = np.tile(self.weights[AT[6] + file], (len(tokens), 1))
+        for group in columns(tokens):
+            score += self.weights[group]
         if not self.cut:
-            return [(0, len(text))]
-        marks = [m.span() for m in DIGITS.finditer(text)] + [m.span() for m in key_words(text)]
-        out: list[tuple[int, int]] = []
-        for a, b in sorted(marks):
-            if out and b <= out[-1][1] - MARGIN:
-                continue  # well within the last part
-            low, high = a, b
-            while low and len(TOKEN.findall(text, low, a)) < BESIDE:
-                low = max(0, low - MARGIN)
-            while high < len(text) and len(TOKEN.findall(text, b, high)) < BESIDE:
-                high = min(len(text), high + MARGIN)
-            while low and not text[low - 1].isspace():
-                low -= 1
-            while high < len(text) and not text[high].isspace():
-                high += 1
-            if out and low <= out[-1][1]:
-                out[-1] = (min(low, out[-1][0]), max(high, out[-1][1]))
-            else:
-                out.append((low, high))
-        return out
+            return viterbi(score, self.moves)
+        tags = np.full(len(tokens), OUT)
+        unsure = np.flatnonzero((score[:, :1] - score[:, 1:] <= self.won).any(1))
+        for run in np.split(unsure, np.flatnonzero(np.diff(unsure) > 1) + 1) if len(unsure) else ():
+            # With the tokens beside it, which are outside or the text's ends.
+            low, high = max(0, run[0] - 1), run[-1] + 2
+            tags[low:high] = viterbi(score[low:high], self.moves)
+        return tags
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """The spans tagged as secrets."""
-        file, found = file_feature(text), []
-        for a, b in self.stretches(text):
-            places = [m.span() for m in TOKEN.finditer(text, a, b)]
-            if not places:
-                continue
-            tokens = [text[x:y] for x, y in places]
-            tags = viterbi(self.weights[features(tokens, file)].sum(1), self.moves)
-            open_span = False
-            for (x, y), tag in zip(places, tags, strict=True):
-                if tag == INSIDE and open_span:
-                    found[-1] = (found[-1][0], y)
-                elif tag != OUT:
-                    found.append((x, y))
-                open_span = tag != OUT
+        tokens = TOKEN.findall(text)
+        if not tokens:
+            return []
+        tags, found = self.tags(tokens, file_feature(text)), []
+        if not tags.any():
+            return found
+        open_span = False
+        for m, tag in zip(TOKEN.finditer(text), tags.tolist(), strict=True):
+            if tag == INSIDE and open_span:
+                found[-1] = (found[-1][0], m.end())
+            elif tag != OUT:
+                found.append(m.span())
+            open_span = tag != OUT
         return found
 
 
+def twin(value: str, k: int, symbols: bool) -> str:
+    """Letters in place of a base value, of another length, in mixed or upper case; with ``symbols``, two of these within."""
+    draw = np.random.default_rng([k, crc32(value.encode("utf-8", "surrogatepass")), symbols])
+    mixed = draw.random() < 0.7  # upper-case words of prose are short
+    small = draw.random(32) < 0.5 * mixed
+    letters = [chr(c + (97 if low else 65)) for c, low in zip(draw.integers(0, 26, draw.integers(10 if mixed else 18, 32)), small)]
+    if symbols:
+        for at in draw.integers(2, len(letters) - 2, 2):
+            letters[at] = "$!%^*~#"[draw.integers(0, 7)]
+        if draw.random() < 0.5:
+            letters[-2] = str(draw.integers(0, 10))
+    return "".join(letters)
+
+
 def sequences(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Training sequences: the tokens around each base value, and around some other tokens with digits."""
+    """Training sequences: the tokens around each base value and its twins, and around some other tokens."""
     out = []
     for text in texts:
         values = sorted({value for *_, value in base_spans(text)})
@@ -251,20 +255,40 @@ def sequences(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         starts = np.array([a for a, _ in places], np.int64)
         if not places:
             continue
-        # Around each value, and around other tokens with digits, evenly taken from the text.
-        others = [span for span in places if DIGIT.search(text, *span) and all(span[1] <= u or span[0] >= v for u, v in values)]
-        for a, b in [*values, *others[:: 1 + len(others) // OTHERS]]:
+        tokens = [text[x:y] for x, y in places]
+        tags_of = np.zeros(len(places), np.int64)
+        for u, v in values:
+            for k in range(max(0, int(np.searchsorted(starts, u, side="right")) - 1), len(places)):
+                if places[k][0] >= v:
+                    break
+                if places[k][1] > u:
+                    tags_of[k] = BEGIN if k == 0 or places[k - 1][1] <= u else INSIDE
+        # Around each value, and around other tokens with and without digits, evenly taken from the text.
+        free = np.flatnonzero(tags_of == OUT)
+        digits = [k for k in free if DIGIT.search(tokens[k])]
+        plain = [k for k in free if tokens[k][0].isalnum() and not DIGIT.search(tokens[k])]
+        others = [places[k] for side in (digits, plain) for k in side[:: 1 + len(side) // OTHERS]]
+        for a, b in [*values, *others]:
             low = max(0, int(np.searchsorted(starts, a)) - WINDOW)
             high = min(len(places), int(np.searchsorted(starts, b)) + WINDOW, low + 4 * WINDOW)
-            tags = np.zeros(high - low, np.int64)
-            for k, (x, y) in enumerate(places[low:high]):
-                for u, v in values:
-                    if x < v and y > u and DIGIT.search(text, x, y):
-                        tags[k] = BEGIN if k == 0 or places[low + k - 1][1] <= u else INSIDE
             # Features see the neighbours outside the window too.
             around = slice(max(0, low - REACH), min(len(places), high + REACH))
-            rows = features([text[x:y] for x, y in places[around]], file)
-            out.append((rows[low - around.start :][: high - low], tags))
+            rows = features(tokens[around], file)
+            out.append((rows[low - around.start :][: high - low], tags_of[low:high]))
+        # Twins of the values, and in a text without values some in its middle, so that a file's digits don't decide.
+        spots = [(int(np.searchsorted(starts, a)), int(np.searchsorted(starts, b)), a, b) for a, b in values]
+        spots = spots or [(len(places) // 2,) * 2 + (0, 0)]
+        for at, after, a, b in spots:
+            low = max(0, at - WINDOW)
+            if tags_of[low:at].any() or tags_of[after : after + WINDOW].any():
+                continue  # only what is known to be no secret stands around a twin
+            before, behind = tokens[low:at], tokens[after : after + WINDOW]
+            bare = [t for t in before if t not in "=:\"'" and not KEY_WORD.search(t)]
+            for n, side in enumerate((before, bare) if values else (bare,)):
+                for symbols in (False, True):
+                    own = TOKEN.findall(twin(text[a:b] or text[:64], n, symbols))
+                    tags = [OUT] * len(side) + [BEGIN] + [INSIDE] * (len(own) - 1) + [OUT] * len(behind)
+                    out.append((features([*side, *own, *behind], file), np.array(tags)))
     return out
 
 
