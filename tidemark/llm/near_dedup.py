@@ -1,14 +1,15 @@
-"""Documents of similar word shingles, joined by a MinHash LSH forest.
+"""Documents of similar word shingles, joined by banded MinHash LSH.
 
 1. A document's set of five-word shingles has a digest. Equal sets are one class,
    counted by a plain aggregate, and only classes go on.
-2. Each of ``TREES`` tries holds the classes' signatures, paths of min-hashes. Two
-   sets of similarity s agree on a path's first d steps with probability s^d.
-   All tries start at full depth; one after another they are matched on a prefix
-   one step shorter, until sets at the threshold meet in some trie with the
-   target recall (``matched_depths``).
-3. The classes below one trie node are a bucket. Its smallest class is its pivot,
-   and the buckets of all tries with one pivot are a cell: near copies share
+2. Each of ``TREES`` bands is a path of min-hashes. Two sets of similarity s agree
+   on a path's d steps with probability s^d. The depths are fixed beforehand: from
+   ``DEPTH`` on one band after another loses a step, until sets at the threshold
+   meet in some band with the target recall (``matched_depths``). Only these steps
+   are computed, and hashed to one label a band. That is no LSH forest: there are
+   no sorted tries, and no prefix is shortened by what the data hold.
+3. The classes of one label are a bucket. Its smallest class is its pivot,
+   and the buckets of all bands with one pivot are a cell: near copies share
    their pivots, so a class is in few cells. A pair counts in the smallest cell
    that holds both, so no pair is counted twice and none has to be listed.
 4. A cell is cut into blocks by class, and one task compares two blocks with their
@@ -54,7 +55,7 @@ ROWS = 512  # rows of a block compared at once
 
 
 def matched_depths(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = DEPTH) -> list[int]:
-    """The prefix length each trie is matched on: shortened in turn until the recall is reached."""
+    """The number of min-hashes in each band: shortened in turn until the recall is reached."""
     depths = [depth] * trees
     missed = lambda: math.prod(1 - threshold**d for d in depths)
     while missed() > 1 - recall and max(depths) > 1:
@@ -67,7 +68,7 @@ def digest_of(shingles: np.ndarray) -> bytes:
 
 
 def signatures(sets: list[np.ndarray], depths: list[int]) -> np.ndarray:
-    """For each non-empty set, the label of its node at the matched depth of each trie."""
+    """For each non-empty set, the label of its path in each band."""
     joined = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
     factors, labels = numbers(sum(depths), 3) | np.uint64(1), np.empty((len(sets), len(depths)), np.uint64)
