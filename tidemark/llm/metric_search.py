@@ -217,7 +217,9 @@ def top_k(
     asked = whole_numbers(vectors.where(F.coalesce(is_query, F.lit(False))), id_col, vector_col, scale).distinct()
     asked = stage(asked, "search-queries")
     rows = stage(whole_numbers(vectors, id_col, vector_col, scale).distinct(), "search-vectors")
-    repeats = rows.groupBy("id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    # A query leaves out only the rows of its own id, whether or not they are queries too.
+    own_ids = rows.join(asked.select("id").distinct(), "id", "left_semi")
+    repeats = own_ids.groupBy("id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     most = k + int(repeats)  # of equal vectors and of each query's finds; its own rows are taken out last
     order = Window.partitionBy("vector").orderBy("id")
     alike = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
