@@ -16,7 +16,7 @@ def duck():
 
 def test_names():
     assert sorted(queries.REGISTRY, key=lambda n: int(n[2:].split("_")[0])) == list(queries.REGISTRY)
-    assert [int(n[2:].split("_")[0]) for n in queries.REGISTRY] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.REGISTRY] == list(range(1, 14))
     assert {*queries.REGISTRY, "pipeline"} <= set(entry.queries())
 
 

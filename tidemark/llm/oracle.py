@@ -82,3 +82,28 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS nr, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM documents
+), q AS (
+    SELECT item_id, text, term, count(*) AS repeats FROM (
+        SELECT item_id, text, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark)
+    ) GROUP BY ALL
+), p AS (SELECT nr, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+l AS (SELECT nr, sum(tf)::BIGINT AS n FROM p GROUP BY nr),
+c AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM l),
+m AS (SELECT nr, 100 - 25 + (25 * n * n_docs) // n_terms AS m FROM l, c),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+s AS (
+    SELECT item_id, text, nr, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (nr) GROUP BY ALL
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""

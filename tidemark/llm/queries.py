@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, metric_search, mixing, near_dedup, oracle, secrets, suffix_dedup, token_counts
+from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, main_text, metric_search, mixing, near_dedup, oracle, ranked_search, secrets, suffix_dedup, token_counts
 from tidemark.llm.texts import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,14 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.links(table(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def _ready(query: Query) -> Query:
     return lambda spark, sf_dir: query(importable(spark), sf_dir)
 
@@ -73,10 +81,13 @@ REGISTRY: dict[str, Query] = {
     "op8_language_id": _ready(op8_language_id),
     "op9_mixing": _ready(op9_mixing),
     "op10_near_dedup": _ready(op10_near_dedup),
+    "op11_main_text": _ready(op11_main_text),
+    "op12_ranked_search": _ready(op12_ranked_search),
 }
 SQL: dict[str, str] = {
     "op2_metric_search": oracle.OP2,
     "op4_chat_views": oracle.OP4,
     "op5_exact_dedup": oracle.OP5,
     "op9_mixing": oracle.OP9,
+    "op12_ranked_search": oracle.OP12,
 }
