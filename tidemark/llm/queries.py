@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat_views, exact_dedup, language_id, main_text, metric_search, mixing, near_dedup, oracle, ranked_search, secrets, suffix_dedup, token_counts
+from tidemark.llm import byte_bpe, chat_repair, chat_views, exact_dedup, language_id, main_text, metric_search, mixing, near_dedup, oracle, ranked_search, secrets, suffix_dedup, token_counts
 from tidemark.llm.texts import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.report(table(spark, sf_dir, "conversations"))
+
+
 def _ready(query: Query) -> Query:
     return lambda spark, sf_dir: query(importable(spark), sf_dir)
 
@@ -83,6 +87,7 @@ REGISTRY: dict[str, Query] = {
     "op10_near_dedup": _ready(op10_near_dedup),
     "op11_main_text": _ready(op11_main_text),
     "op12_ranked_search": _ready(op12_ranked_search),
+    "op13_chat_repair": _ready(op13_chat_repair),
 }
 SQL: dict[str, str] = {
     "op2_metric_search": oracle.OP2,
