@@ -9,11 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import as_instant, local_date
+from tidemark.session import Files
 
 # Fixed value: months that bronze is kept.
 KEEP_MONTHS = 12
 
 
+def sorted_days(rows: DataFrame, partition: str = "ingestion_date", sort: Sequence[str] = ("assetId", "lsn")) -> DataFrame:
+    """Rows dealt out and sorted by (day, asset, version), so a hot day or asset is split over files."""
+    return rows.repartitionByRange(partition, *sort).sortWithinPartitions(partition, *sort)
+
+
 def bronze_layout(
     rows: DataFrame,
     path: str,
@@ -28,8 +34,7 @@ def bronze_layout(
     covers a narrow key range that Parquet's statistics can skip.
     """
     (
-        rows.repartitionByRange(partition, *sort)
-        .sortWithinPartitions(partition, *sort)
+        sorted_days(rows, partition, sort)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -57,23 +62,22 @@ def expired_partitions(
 
 
 def drop_expired(
-    rows: DataFrame, path: str, as_of: Column | datetime | None, day: str = "ingestion_date", months: int = KEEP_MONTHS
+    spark: SparkSession | DataFrame, path: str, as_of: Column | datetime | None, day: str = "ingestion_date", months: int = KEEP_MONTHS
 ) -> list[str]:
     """Delete the expired day directories under ``path`` and return them.
 
-    Only directory names reach the driver: one per day past its time.
+    Directories are listed, and no row is read: only their names reach the driver.
+    A table may stand for its session.
     """
-    spark = rows.sparkSession
-    names = [
-        f"{path}/{day}={r[0].isoformat()}"
-        for r in expired_partitions(rows, as_of, day, months).select(day).collect()
-    ]
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    spark = spark.sparkSession if isinstance(spark, DataFrame) else spark
+    files = Files(spark)
+    listed = [(name.rsplit("=", 1)[1],) for name in files.glob(f"{path}/{day}=*")]
+    days = spark.createDataFrame(listed, "day string")
+    past = days.filter(expired(F.try_to_date("day"), as_of, months)).collect()
+    names = sorted(f"{path}/{day}={r.day}" for r in past)
     for name in names:
-        target = hadoop.Path(name)
-        target.getFileSystem(conf).delete(target, True)
-    return sorted(names)
+        files.delete(name)
+    return names
 
 
 def file_inventory(spark: SparkSession, path: str, by: Sequence[str] = (), pattern: str = "*.parquet") -> DataFrame:

@@ -222,3 +222,52 @@ def alert_hold(
         .select(*evaluations.columns, since.alias("since"))
         .withColumn("state", state)
     )
+
+
+# What carries over from the evaluations of a series so far.
+HELD = "last timestamp, over boolean, began timestamp"
+
+
+def continue_hold(
+    evaluations: DataFrame,
+    held: DataFrame,
+    keys: Sequence[str] = ("rule_uid",),
+    ts: str = "ts",
+    every_minutes: int = 1,
+    **names: str,
+) -> DataFrame:
+    """``alert_hold`` of new evaluations, going on from what is ``held`` of the earlier ones.
+
+    ``held`` has one row per series: its last evaluation, whether that was over its
+    threshold, and when the run of breaches it ends began. Nothing older is read.
+    Evaluations at or before the last one were settled then and are left out.
+    """
+    known = evaluations.join(held, list(keys), "left").where(F.col("last").isNull() | (F.col(ts) > F.col("last")))
+    fresh = stage(known.select(*evaluations.columns), "fresh-evaluations")
+    minute = lambda c: F.floor(_seconds(c) / F.lit(60)).cast("bigint")
+    follows = F.col("over") & (minute("_opens") - minute("last") <= every_minutes)
+    before = (
+        fresh.groupBy(*keys)
+        .agg(F.min(ts).alias("_opens"))
+        .join(held, list(keys))
+        .select(*keys, "_opens", F.when(follows, F.col("began")).alias("_from"))
+    )
+    hold = names.get("hold_minutes", "hold_minutes")
+    states = alert_hold(fresh, keys, ts, every_minutes=every_minutes, **names).join(before, list(keys), "left")
+    # only the first run of the new evaluations can go on an earlier one
+    since = F.when(F.col("since") == F.col("_opens"), F.coalesce("_from", "since")).otherwise(F.col("since"))
+    over = _seconds(ts) - _seconds("since") >= F.col(hold) * 60
+    state = F.when(F.col("since").isNull(), "normal").when(over, "firing").otherwise("pending")
+    return states.withColumn("since", since).withColumn("state", state).drop("_opens", "_from")
+
+
+def hold_so_far(states: DataFrame, held: DataFrame, keys: Sequence[str] = ("rule_uid",), ts: str = "ts") -> DataFrame:
+    """What is held once these states are settled too."""
+    new = states.groupBy(*keys).agg(
+        F.max(ts).alias("last"),
+        F.max_by(F.col("since").isNotNull(), F.col(ts)).alias("over"),
+        F.max_by("since", F.col(ts)).alias("began"),
+    )
+    both = new.unionByName(held.select(*new.columns))
+    newest = F.max_by(F.struct("last", "over", "began"), F.col("last")).alias("h")
+    return both.groupBy(*keys).agg(newest).select(*keys, "h.*")

@@ -30,13 +30,18 @@ def bronze_insert_rate(
     return reduce(DataFrame.unionByName, parts).select("t", "rows", "src")
 
 
-def row_counts(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def row_counts(tables: dict[str, tuple[DataFrame, Sequence[str]] | DataFrame]) -> DataFrame:
     """Rows per table. A table given with key columns is counted by distinct key,
-    which is its row count once versions are replaced."""
+    which is its row count once versions are replaced. One given by the entries of
+    its log is not read: their counts are added up."""
     parts = []
-    for name, (rows, key) in tables.items():
-        counted = rows.select(*key).distinct() if key else rows
-        parts.append(counted.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows"))
+    for name, table in tables.items():
+        if isinstance(table, DataFrame):
+            total = table.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+        else:
+            rows, key = table
+            total = (rows.select(*key).distinct() if key else rows).agg(F.count("*").alias("rows"))
+        parts.append(total.select(F.lit(name).alias("table_name"), "rows"))
     return reduce(DataFrame.unionByName, parts)
 
 

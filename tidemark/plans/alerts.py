@@ -46,10 +46,15 @@ def rule_evaluations(
     validation_history: DataFrame | None = None,
     topic_offsets: DataFrame | None = None,
     consumer_offsets: DataFrame | None = None,
+    dead_letters: DataFrame | None = None,
     dlq_pattern: str = DLQ_PATTERN,
     group_pattern: str = GROUP_PATTERN,
 ) -> DataFrame:
-    """One evaluation per rule and check time, for the histories given."""
+    """One evaluation per rule and check time, for the histories given.
+
+    ``topic_offsets`` holds the counters of the dead-letter topics, ``dead_letters`` their
+    increase where a job has it already.
+    """
     parts = []
     if health_history is not None:
         lag = health_history.groupBy("checked_at").agg(F.max("minutes_lag").alias("v"))
@@ -61,6 +66,8 @@ def rule_evaluations(
         parts.append(evaluations(failed, MISMATCH, "v", "checked_at"))
     if topic_offsets is not None:
         parts.append(evaluations(counter_increase(topic_offsets, dlq_pattern, 10), DEAD_LETTERS, "increase"))
+    if dead_letters is not None:
+        parts.append(evaluations(dead_letters, DEAD_LETTERS, "increase"))
     if consumer_offsets is not None:
         parts.append(evaluations(consumer_lag(consumer_offsets, group_pattern), CONSUMER_LAG, "lag"))
     return reduce(DataFrame.unionByName, parts)

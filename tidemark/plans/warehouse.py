@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import tables
 from tidemark.functions.clock import as_instant
-from tidemark.operators.layout import bronze_layout, drop_expired
+from tidemark.operators.layout import KEEP_MONTHS, drop_expired
 from tidemark.plans import activity, alerts, freshness, gold, overview, reconcile, silver
-from tidemark.schemas import CAPS, FEEDS, PRICES, Feed, bronze_schema
-from tidemark.session import stage
-from tidemark.sources.landing import bronze_scan, lz_file_inventory, lz_scan
-from tidemark.streaming import incremental, progress
+from tidemark.schemas import CAPS, FEEDS, PRICES, Feed, bronze_schema, landing_schema
+from tidemark.session import Files, stage
+from tidemark.sources.landing import bronze_scan, landing_path, lz_file_inventory, lz_scan
+from tidemark.streaming import alerting, incremental, newest, progress
 from tidemark.streaming.pipeline import Targets
+from tidemark.streaming.sinks import write_batch
 
 
 class Warehouse:
@@ -33,18 +36,24 @@ class Warehouse:
     def model(self, name: str) -> str:
         return f"{self.root}/models/{name}"
 
-    def start_models(self, available_now: bool = False) -> list[StreamingQuery]:
+    def checkpoint(self, table: str) -> str:
+        return f"{self.root}/checkpoints/models/{table}"
+
+    def start_models(self, available_now: bool = False, files_per_batch: int | None = None) -> list[StreamingQuery]:
         """Keep silver state, facts and the dimension up to date from bronze as it is written."""
-        started = []
+        started, check = [], self.checkpoint
+        limit = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
         for name, feed in FEEDS.items():
-            rows = lambda f=feed: self.spark.readStream.schema(bronze_schema(f)).parquet(f"{self.root}/bronze/{f.name}")
-            check = lambda table: f"{self.root}/checkpoints/models/{table}"
+            # a stream over a folder needs it to be there
+            Files(self.spark).make_folder(self.bronze_path(feed))
+            rows = lambda f=feed: self.spark.readStream.schema(bronze_schema(f)).options(**limit).parquet(self.bronze_path(f))
             state, facts = f"state_{name}", f"fct_{name}"
             payload = silver.state_payload(feed)
-            started.append(incremental.latest_state_stream(rows(), payload, self.model(state), check(state), available_now=available_now))
-            started.append(incremental.fact_stream(rows(), feed, self.model(facts), check(facts), available_now))
+            job = lambda table: {"available_now": available_now, "name": f"model-{table}"}
+            started.append(incremental.latest_state_stream(rows(), payload, self.model(state), check(state), **job(state)))
+            started.append(incremental.fact_stream(rows(), feed, self.model(facts), check(facts), **job(facts)))
             if feed is PRICES:
-                started.append(incremental.dim_asset_stream(rows(), self.model("dim_asset"), check("dim_asset"), available_now))
+                started.append(incremental.dim_asset_stream(rows(), self.model("dim_asset"), check("dim_asset"), **job("dim_asset")))
         return started
 
     def compact_models(self) -> int:
@@ -53,13 +62,14 @@ class Warehouse:
         for name, feed in FEEDS.items():
             merged += incremental.compact_facts(self.spark, self.model(f"fct_{name}"), feed)
             merged += incremental.compact_silver(self.spark, self.model(f"state_{name}"), feed)
+            newest.fold(self.spark, self.model(f"fct_{name}"))
         return merged
 
     def targets(self, feed: Feed, topic: dict[str, str] | None = None, dead_letters: dict[str, str] | None = None) -> Targets:
         """Where the streaming job of a feed should write."""
         return Targets(
             landing=f"{self.root}/lz",
-            bronze=f"{self.root}/bronze/{feed.name}",
+            bronze=self.bronze_path(feed),
             topic=topic or {},
             dead_letters=dead_letters or {"path": f"{self.root}/dlq/{feed.name}"},
         )
@@ -67,12 +77,53 @@ class Warehouse:
     def landing(self, feed: Feed) -> DataFrame:
         return lz_scan(self.spark, f"{self.root}/lz", feed)
 
-    def bronze(self, feed: Feed, days: int | None = None) -> DataFrame:
-        return bronze_scan(self.spark, f"{self.root}/bronze/{feed.name}", feed, self.as_of, days)
+    def bronze_path(self, feed: Feed) -> str:
+        return f"{self.root}/bronze/{feed.name}"
+
+    def landing_path(self, feed: Feed) -> str:
+        return landing_path(f"{self.root}/lz", feed)
 
-    def compact_bronze(self, feed: Feed, target: str) -> None:
-        """Rewrite bronze into few, sorted files under another folder."""
-        bronze_layout(self.bronze(feed), target)
+    def bronze(self, feed: Feed, days: int | None = None) -> DataFrame:
+        return bronze_scan(self.spark, self.bronze_path(feed), feed, self.as_of, days)
+
+    def logs(self, feed: Feed) -> tuple[DataFrame, DataFrame] | None:
+        """Log entries of both copies, if both keep a log."""
+        paths = (self.bronze_path(feed), self.landing_path(feed))
+        if not all(tables.Log(self.spark, path).exists() for path in paths):
+            return None
+        return tuple(tables.entries(self.spark, path) for path in paths)
+
+    def compact_bronze(self, feed: Feed, most_files: int = 1) -> int:
+        """Rewrite the days that are spread over many files, in place, beside readers and running streams."""
+        path = self.bronze_path(feed)
+        tables.recover(self.spark, path)
+        return tables.compact_days(self.spark, path, feed, bronze_schema(feed), most_files)
+
+    def followers(self, feed: Feed) -> list[str]:
+        """Checkpoints of the model streams that read a feed's bronze files, once they run."""
+        names = [f"state_{feed.name}", f"fct_{feed.name}", *(["dim_asset"] if feed is PRICES else [])]
+        return [self.checkpoint(n) for n in names] if Files(self.spark).exists(self.checkpoint("")) else []
+
+    def tidy(self, most_files: int = 16) -> None:
+        """What a maintenance job does now and then: compact, roll the logs, delete what nothing needs any more."""
+        for feed in FEEDS.values():
+            bronze = self.bronze_path(feed)
+            if tables.Log(self.spark, bronze).exists():
+                self.compact_bronze(feed, most_files)
+                tables.vacuum(self.spark, bronze, self.followers(feed))
+                tables.roll(self.spark, bronze)
+            if tables.Log(self.spark, self.landing_path(feed)).exists():
+                tables.roll(self.spark, self.landing_path(feed))
+        now = self.as_of or datetime.now(timezone.utc)
+        progress.roll_reports(self.spark, f"{self.monitoring}/progress", now.date())
+        alerting.merge_days(self.spark, f"{self.monitoring}/alerts")
+
+    def audit(self, feed: Feed, days: int | None = None) -> DataFrame:
+        """Files of either copy that are not as its log says, by reading them all; for a schedule of days, not minutes."""
+        found = []
+        for copy, path, schema in (("bronze", self.bronze_path(feed), bronze_schema(feed)), ("landing", self.landing_path(feed), landing_schema(feed))):
+            found.append(tables.audit(self.spark, path, feed, schema, self.as_of, days).withColumn("copy", F.lit(copy)))
+        return found[0].unionByName(found[1])
 
     def silver(self, feed: Feed) -> DataFrame:
         if self.incremental:
@@ -95,7 +146,12 @@ class Warehouse:
         """Write the dimension and both fact tables."""
         self.dim_asset().write.mode("overwrite").parquet(f"{self.root}/gold/dim_asset")
         for feed in FEEDS.values():
-            gold.write_facts(self.facts(feed), f"{self.root}/gold/fct_{feed.name}")
+            path = self.facts_path(feed)
+            gold.write_facts(self.facts(feed), path)
+            newest.note(self.spark, path, "built", Files(self.spark).glob(f"{path}/event_month=*"))
+
+    def facts_path(self, feed: Feed) -> str:
+        return self.model(f"fct_{feed.name}") if self.incremental else f"{self.root}/gold/fct_{feed.name}"
 
     def built_facts(self, feed: Feed) -> DataFrame:
         """Facts as last written, by month; of an incremental warehouse, as they are now."""
@@ -109,63 +165,113 @@ class Warehouse:
         return overview.market_overview(facts(PRICES), facts(CAPS))
 
     def pipeline_health(self) -> DataFrame:
-        """Of the facts as last built."""
-        rows = {name: self.built_facts(feed) for name, feed in FEEDS.items()}
+        """Of the facts as last built, by the newest events noted as they were written; no fact is read."""
+        rows = {}
+        for name, feed in FEEDS.items():
+            noted = newest.exists(self.spark, self.facts_path(feed))
+            rows[name] = newest.read(self.spark, self.facts_path(feed)) if noted else self.built_facts(feed)
         return freshness.pipeline_health(rows, self.as_of)
 
+    def _validation(self, check) -> DataFrame:
+        """A reconciliation from the logs of both copies, or from their rows where one has no log."""
+        reports = []
+        for feed in FEEDS.values():
+            logs = self.logs(feed)
+            if logs:
+                reports.append(check(*logs, feed, self.as_of, summary=reconcile.logged_summary))
+            else:
+                reports.append(check(self.bronze(feed), self.landing(feed), feed, self.as_of))
+        return reduce(DataFrame.unionByName, reports)
+
     def sink_validation(self) -> DataFrame:
-        return reduce(
-            DataFrame.unionByName,
-            [reconcile.sink_validation(self.bronze(f), self.landing(f), f, self.as_of) for f in FEEDS.values()],
-        )
+        return self._validation(reconcile.sink_validation)
 
     def sink_validation_partition(self) -> DataFrame:
-        return reduce(
-            DataFrame.unionByName,
-            [reconcile.sink_validation_partition(self.bronze(f), self.landing(f), f, self.as_of) for f in FEEDS.values()],
-        )
+        return self._validation(reconcile.sink_validation_partition)
 
     @property
     def monitoring(self) -> str:
         return f"{self.root}/monitoring"
 
-    def record_checks(self) -> None:
-        """Append what the freshness and reconciliation reports say now; run it each minute."""
-        for name, report in (("health", self.pipeline_health()), ("validation", self.sink_validation())):
-            report.coalesce(1).write.mode("append").parquet(f"{self.monitoring}/{name}")
-
-    def progress(self) -> DataFrame:
-        """Every progress report of the streaming jobs, as lines of JSON."""
-        return progress.reports(self.spark, f"{self.monitoring}/progress")
+    def record_checks(self, at: datetime | None = None) -> None:
+        """Write what the freshness and reconciliation reports say at a minute, and settle the alerts up to it.
 
-    def consumer_lag(self) -> DataFrame:
-        return activity.consumer_lag(progress.offset_rows(self.progress()))
-
-    def checkpoint_duration(self) -> DataFrame:
-        return activity.checkpoint_duration(progress.progress_rows(self.progress()))
+        Run it each minute. It reads logs, notes and reports of two days, no row of any copy or
+        fact and no older alert. A minute that is checked again replaces its rows.
+        """
+        at = at or self.as_of or datetime.now(timezone.utc)
+        at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+        minute = int(at.timestamp()) // 60
+        lake = Warehouse(self.spark, self.root, at, self.incremental)
+        day = F.lit(at.date())
+        for name, report in (("health", lake.pipeline_health()), ("validation", lake.sink_validation())):
+            write_batch(report.coalesce(1).withColumn("day", day), f"{self.monitoring}/{name}", minute, ["day"])
+        mine = lambda name: self._history(name, at).where(F.floor(F.unix_seconds("checked_at") / 60) == minute)
+        lines = stage(self.progress(at - timedelta(days=1)), "progress")
+        found = alerts.rule_evaluations(
+            health_history=mine("health"),
+            validation_history=mine("validation"),
+            dead_letters=progress.dead_letter_increase(lines),
+            consumer_offsets=progress.offset_rows(lines),
+        )
+        # of the minute itself, what it has recorded; of the reports, minutes that are over
+        over = F.col("rule_uid").isin(alerts.STALE.uid, alerts.MISMATCH.uid) | (F.col("ts") < F.timestamp_seconds(F.lit(minute * 60)))
+        alerting.advance(stage(found.where(over), "evaluations"), f"{self.monitoring}/alerts", minute)
+
+    def _history(self, name: str, since: datetime | None = None) -> DataFrame:
+        """Recorded reports, of all days or from one on. None yet is no rows."""
+        shape = {
+            "health": "checked_at timestamp, table_name string, latest_event_time timestamp, minutes_lag bigint, pipeline_status string",
+            "validation": "checked_at timestamp, table_name string, validation_status string",
+        }[name]
+        path = f"{self.monitoring}/{name}"
+        if not Files(self.spark).exists(path):
+            return self.spark.createDataFrame([], shape)
+        rows = self.spark.read.schema(f"{shape}, day date").parquet(path)
+        chosen = rows if since is None else rows.where(F.col("day") >= F.lit(since.date()))
+        return chosen.drop("day")
+
+    def progress(self, since: datetime | None = None) -> DataFrame:
+        """Progress reports of the streaming jobs, as lines of JSON, of all kept days or from one on."""
+        return progress.reports(self.spark, f"{self.monitoring}/progress", since.date() if since else None)
+
+    def consumer_lag(self, since: datetime | None = None) -> DataFrame:
+        return activity.consumer_lag(progress.offset_rows(self.progress(since)))
+
+    def checkpoint_duration(self, since: datetime | None = None) -> DataFrame:
+        return activity.checkpoint_duration(progress.progress_rows(self.progress(since)))
 
     def alerts(self) -> DataFrame:
-        """State of the alert rules over all that has been recorded."""
-        history = {name: self.spark.read.parquet(f"{self.monitoring}/{name}") for name in ("health", "validation")}
+        """State of the alert rules at every evaluation settled so far."""
+        return alerting.states(self.spark, f"{self.monitoring}/alerts")
+
+    def alerts_again(self) -> DataFrame:
+        """The same worked out anew from all that has been recorded."""
         lines = stage(self.progress(), "progress")
         return alerts.alerts(
-            health_history=history["health"],
-            validation_history=history["validation"],
-            topic_offsets=progress.dead_letter_offsets(lines),
+            health_history=self._history("health"),
+            validation_history=self._history("validation"),
+            dead_letters=progress.dead_letter_increase(lines),
             consumer_offsets=progress.offset_rows(lines),
         )
 
     def drop_expired(self, feed: Feed) -> list[str]:
         """Delete the bronze days past their time."""
-        return drop_expired(self.bronze(feed), f"{self.root}/bronze/{feed.name}", self.as_of)
+        if tables.Log(self.spark, self.bronze_path(feed)).exists():
+            tables.drop_days(self.spark, self.bronze_path(feed), self.as_of, KEEP_MONTHS)
+        return drop_expired(self.spark, self.bronze_path(feed), self.as_of)
 
     def bronze_insert_rate(self, hours: int | None = 1) -> DataFrame:
         return activity.bronze_insert_rate({n: self.bronze(f) for n, f in FEEDS.items()}, self.as_of, hours)
 
     def row_counts(self) -> DataFrame:
-        tables = {f"bronze.{n}": (self.bronze(f), ()) for n, f in FEEDS.items()}
+        """Of bronze by its log, where there is one."""
+        bronze = {}
+        for name, feed in FEEDS.items():
+            logged = tables.Log(self.spark, self.bronze_path(feed)).exists()
+            bronze[f"bronze.{name}"] = tables.entries(self.spark, self.bronze_path(feed)) if logged else (self.bronze(feed), ())
         facts = {f"gold.fct_{n}": (self.built_facts(f), ()) for n, f in FEEDS.items()}
-        return activity.row_counts({**tables, **facts})
+        return activity.row_counts({**bronze, **facts})
 
     def file_inventory(self, feed: Feed) -> DataFrame:
         return lz_file_inventory(self.spark, f"{self.root}/lz", feed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,19 +72,85 @@ def release(spark: SparkSession) -> None:
     delete_folder(spark, f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}")
 
 
+# Files moved at the same time.
+MOVERS = 16
+
+
+class Files:
+    """File names and small files on whatever storage the paths name, by Hadoop's file systems."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        place = self._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self._conf)
+
+    def exists(self, path: str) -> bool:
+        place, system = self._at(path)
+        return system.exists(place)
+
+    def glob(self, pattern: str) -> list[str]:
+        """Paths that match a pattern, in order."""
+        place, system = self._at(pattern)
+        return sorted(status.getPath().toString() for status in system.globStatus(place) or [])
+
+    def read(self, path: str) -> str:
+        place, system = self._at(path)
+        source = system.open(place)
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+
+    def write(self, path: str, text: str) -> None:
+        """Write a small file, in place of one of the same name."""
+        place, system = self._at(path)
+        out = system.create(place, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def move(self, source: str, target: str) -> None:
+        """Move a file, unless an earlier try did so."""
+        place, system = self._at(source)
+        self._move(system, place, self._jvm.org.apache.hadoop.fs.Path(target))
+
+    def _move(self, system, place, goal) -> None:
+        if not system.exists(place):
+            if not system.exists(goal):
+                raise FileNotFoundError(f"neither {place} nor {goal} is there")
+        elif not system.rename(place, goal):
+            raise OSError(f"could not move {place} to {goal}")
+
+    def move_all(self, pairs: list[tuple[str, str]]) -> None:
+        """Move many files, several at a time: on object stores each is a copy by the store."""
+        for folder in sorted({target.rsplit("/", 1)[0] for _, target in pairs}):
+            self.make_folder(folder)
+        if pairs:
+            path, (_, system) = self._jvm.org.apache.hadoop.fs.Path, self._at(pairs[0][0])
+            with ThreadPoolExecutor(MOVERS) as pool:
+                list(pool.map(lambda pair: self._move(system, path(pair[0]), path(pair[1])), pairs))
+
+    def make_folder(self, path: str) -> None:
+        place, system = self._at(path)
+        system.mkdirs(place)
+
+    def delete(self, path: str) -> bool:
+        """Delete a file or a folder; whether it was there."""
+        place, system = self._at(path)
+        return system.delete(place, True)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    Files(spark).delete(path)
 
 
 def list_folders(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(pattern)
-    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
-    return sorted(status.getPath().toString() for status in found or [])
+    return Files(spark).glob(pattern)
 
 
 def drop_staged(df: DataFrame) -> None:

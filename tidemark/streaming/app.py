@@ -1,8 +1,9 @@
-"""The bronze job of one feed, or the model streams of both, for spark-submit.
+"""The bronze job of one feed, the model streams of both, or the checks of each minute, for spark-submit.
 
     spark-submit tidemark/streaming/app.py --feed market_prices --root s3a://lake \\
         --format kafka --location broker:9092 --topic cdc.public.market_prices
     spark-submit tidemark/streaming/app.py --models --root s3a://lake
+    spark-submit tidemark/streaming/app.py --checks --root s3a://lake
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -28,7 +30,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     what = parser.add_mutually_exclusive_group(required=True)
     what.add_argument("--feed", choices=sorted(FEEDS), help="run this feed into bronze")
     what.add_argument("--models", action="store_true", help="keep silver and gold up to date from bronze")
-    parser.add_argument("--compact-minutes", type=int, default=60, help="time between compactions of the models")
+    what.add_argument("--checks", action="store_true", help="record the reports and settle the alerts each minute")
+    parser.add_argument("--compact-minutes", type=int, default=60, help="time between compactions of the models, or of the tables by the checks")
+    parser.add_argument("--minutes", type=int, help="stop the checks after so many")
+    parser.add_argument("--built", action="store_true", help="check the facts as last built, not those of the model streams")
     parser.add_argument("--root", required=True, help="warehouse folder")
     parser.add_argument("--format", choices=["kafka", "json", "parquet"], default="kafka")
     parser.add_argument("--location", help="brokers, or the folder of event files")
@@ -49,7 +54,17 @@ def run_models(args: argparse.Namespace) -> None:
     """Follow bronze until stopped, or until caught up, and compact now and then."""
     spark = build_session("models")
     lake = Warehouse(spark, args.root, incremental=True)
-    running = lake.start_models(args.available_now)
+    log = ProgressLog(spark, f"{lake.monitoring}/progress")
+    spark.streams.addListener(log)
+    try:
+        follow_models(lake, args)
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(LISTENER_WAIT_MS)
+        spark.streams.removeListener(log)
+
+
+def follow_models(lake: Warehouse, args: argparse.Namespace) -> None:
+    running = lake.start_models(args.available_now, int(args.max_per_batch) if args.max_per_batch else None)
     while any(query.isActive for query in running):
         if running[0].awaitTermination(args.compact_minutes * 60):
             for query in running:
@@ -57,10 +72,29 @@ def run_models(args: argparse.Namespace) -> None:
         lake.compact_models()
 
 
+def run_checks(args: argparse.Namespace) -> None:
+    """Check at the beginning of each minute, and tidy the tables now and then.
+
+    A minute that takes longer than a minute is followed by the present one; what the
+    reports say of the minutes between is settled with it.
+    """
+    lake = Warehouse(build_session("checks"), args.root, incremental=not args.built)
+    done = 0
+    while args.minutes is None or done < args.minutes:
+        lake.record_checks()
+        done += 1
+        if done % args.compact_minutes == 0:
+            lake.tidy()
+        if done != args.minutes:
+            time.sleep(60 - time.time() % 60)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     if args.models:
         return run_models(args)
+    if args.checks:
+        return run_checks(args)
     spark = build_session(f"bronze-{args.feed}")
     feed = FEEDS[args.feed]
     limit = "maxOffsetsPerTrigger" if args.format == "kafka" else "maxFilesPerTrigger"

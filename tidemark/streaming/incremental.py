@@ -21,7 +21,8 @@ from tidemark.operators.state import STATE_KEYS, STATE_VERSION, partial_state, r
 from tidemark.plans import gold, silver
 from tidemark.schemas import PRICES, Feed, bronze_schema
 from tidemark.session import delete_folder, list_folders
-from tidemark.streaming.sinks import write_batch
+from tidemark.streaming import newest
+from tidemark.streaming.sinks import batch_name, write_batch
 
 
 def append_parts(
@@ -31,13 +32,22 @@ def append_parts(
     checkpoint: str,
     partition_by: Sequence[str] = (),
     available_now: bool = False,
+    after: Callable[[SparkSession, str], None] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Append what each micro-batch contributes to a table, under its batch id."""
+    """Append what each micro-batch contributes to a table, under its batch id.
+
+    ``after`` is called with the name of each batch that has been written.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         write_batch(part(batch), path, batch_id, partition_by)
+        if after:
+            after(batch.sparkSession, batch_name(batch, batch_id))
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    if name:
+        writer = writer.queryName(name)
     trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
     return writer.trigger(**trigger).start()
 
@@ -50,23 +60,26 @@ def latest_state_stream(
     keys: Sequence[str] = STATE_KEYS,
     version: Sequence[str] = STATE_VERSION,
     available_now: bool = False,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Keep each micro-batch's newest event per key as partial state."""
-    return append_parts(
-        events, lambda batch: partial_state(batch, payload, keys, version), path, checkpoint, available_now=available_now
-    )
+    part = lambda batch: partial_state(batch, payload, keys, version)
+    return append_parts(events, part, path, checkpoint, available_now=available_now, name=name)
 
 
 def fact_stream(
-    bronze: DataFrame, feed: Feed, path: str, checkpoint: str, available_now: bool = False
+    bronze: DataFrame, feed: Feed, path: str, checkpoint: str, available_now: bool = False, name: str | None = None
 ) -> StreamingQuery:
-    """Keep each micro-batch's facts, by event month."""
+    """Keep each micro-batch's facts, by event month, and their newest event."""
 
     def part(batch: DataFrame) -> DataFrame:
         facts = replacing_dedup(gold.fact_rows(batch, feed), gold.FACT_KEY, "lsn")
         return facts.withColumn("event_month", gold.event_month(F.col("event_time_ms")))
 
-    return append_parts(bronze, part, path, checkpoint, ["event_month"], available_now)
+    def note(spark: SparkSession, batch: str) -> None:
+        newest.note(spark, path, batch, list_folders(spark, f"{path}/event_month=*/batch_id={batch}"))
+
+    return append_parts(bronze, part, path, checkpoint, ["event_month"], available_now, note, name)
 
 
 def read_facts(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
@@ -75,7 +88,9 @@ def read_facts(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     return gold.fact_table(spark.read.schema(shape).parquet(path).select(*shape.names))
 
 
-def dim_asset_stream(prices: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def dim_asset_stream(
+    prices: DataFrame, path: str, checkpoint: str, available_now: bool = False, name: str | None = None
+) -> StreamingQuery:
     """Keep each micro-batch's newest attributes per asset."""
     return append_parts(
         prices,
@@ -83,6 +98,7 @@ def dim_asset_stream(prices: DataFrame, path: str, checkpoint: str, available_no
         path,
         checkpoint,
         available_now=available_now,
+        name=name,
     )
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.clock import as_instant
 from tidemark.operators.cdc import cdc_validate, dlq_split, stamp
@@ -47,19 +49,26 @@ def fan_out(checked: DataFrame, batch_id: int | str, feed: Feed, targets: Target
 
     The batch is parsed once into the shared folder, which every target reads; it
     is deleted when all are written. A rate limit on the source bounds its size.
+    The targets are written side by side; all end before the first failure is raised.
     """
     staged = stage(checked, "batch")
+    accepted, rejected = dlq_split(staged)
+    accepted = accepted.select(*feed.bronze_columns)
+    writes = []
+    if targets.landing:
+        writes.append(lambda: lz_sink(accepted, targets.landing, feed, batch_id))
+    if targets.bronze:
+        writes.append(lambda: bronze_sink(accepted, targets.bronze, feed, batch_id))
+    if targets.topic:
+        writes.append(lambda: kafka_sink(accepted, targets.topic, batch_id, targets.avro_schema, targets.schema_id))
+    if targets.dead_letters:
+        writes.append(lambda: dead_letter_sink(rejected, targets.dead_letters, batch_id))
     try:
-        accepted, rejected = dlq_split(staged)
-        accepted = accepted.select(*feed.bronze_columns)
-        if targets.landing:
-            lz_sink(accepted, targets.landing, feed, batch_id)
-        if targets.bronze:
-            bronze_sink(accepted, targets.bronze, batch_id)
-        if targets.topic:
-            kafka_sink(accepted, targets.topic, batch_id, targets.avro_schema, targets.schema_id)
-        if targets.dead_letters:
-            dead_letter_sink(rejected, targets.dead_letters, batch_id)
+        with ThreadPoolExecutor(max(1, len(writes))) as pool:
+            # threads take over the stream's id and job group
+            ended = [pool.submit(inheritable_thread_target(checked.sparkSession)(write)) for write in writes]
+        for write in ended:
+            write.result()
     finally:
         drop_staged(staged)
 

@@ -1,18 +1,24 @@
-"""Streaming progress, kept for good, as metric rows for the lag and checkpoint reports.
+"""Streaming progress, kept by day, as metric rows for the lag and checkpoint reports.
 
 A running query remembers its last hundred batches only. The listener here keeps
-every progress report as a small JSON file named by run and batch, written by
-Hadoop's file system, so no job runs for it and a repeated report replaces itself.
+every progress report as a small JSON file under its day, named by run and batch and
+written by Hadoop's file system, so no job runs for it and a repeated report replaces
+itself. Days that are over are rolled into one table each and dropped in time, so a
+report of the last hour opens the files of one or two days.
 """
 
 from __future__ import annotations
 
+import json
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.operators.cdc import INTAKE
 from tidemark.operators.series import chunked, running_total
+from tidemark.session import Files
 
 REPORT = """
     name string, id string, runId string, batchId bigint, timestamp string, durationMs map<string,bigint>,
@@ -21,21 +27,19 @@ REPORT = """
 """
 OFFSETS = "map<string,map<string,bigint>>"
 
+# Fixed value: days that reports are kept.
+KEEP_DAYS = 15
+
 
 class ProgressLog(StreamingQueryListener):
     """Writes each progress report of the session's queries under a folder."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.files, self.path = Files(spark), path.rstrip("/")
 
     def keep(self, run: str, batch: int, report: str) -> None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        target = hadoop.Path(f"{self.path}/{run}-{batch}.json")
-        out = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-        try:
-            out.write(bytearray(" ".join(report.split()).encode()))
-        finally:
-            out.close()
+        day = json.loads(report)["timestamp"][:10]
+        self.files.write(f"{self.path}/day={day}/{run}-{batch}.json", " ".join(report.split()))
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -51,9 +55,43 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
-def reports(spark: SparkSession, path: str) -> DataFrame:
-    """Kept reports as lines of JSON in ``value``."""
-    return spark.read.schema("value string").option("pathGlobFilter", "*.json").text(path)
+def _days(files: Files, path: str) -> dict[str, str]:
+    """Folder of each day that has reports: the rolled one, where there is one."""
+    found = {f.rsplit("day=", 1)[1]: f for f in files.glob(f"{path}/day=*")}
+    rolled = {f.rsplit("/", 2)[1].removeprefix("day="): f.rsplit("/", 1)[0] for f in files.glob(f"{path}.rolled/day=*/_SUCCESS")}
+    return found | rolled
+
+
+def reports(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """Kept reports as lines of JSON in ``value``, of all days or from one on. None yet is no rows."""
+    chosen = {day: f for day, f in _days(Files(spark), path).items() if since is None or day >= since.isoformat()}
+    rolled = [f for f in chosen.values() if ".rolled/" in f]
+    fresh = [f for f in chosen.values() if ".rolled/" not in f]
+    lines = spark.createDataFrame([], "value string")
+    if fresh:
+        lines = lines.unionByName(spark.read.schema("value string").option("pathGlobFilter", "*.json").text(fresh))
+    if rolled:
+        lines = lines.unionByName(spark.read.schema("value string").parquet(*rolled))
+    return lines
+
+
+def roll_reports(spark: SparkSession, path: str, today: date) -> list[str]:
+    """Roll the days before yesterday into a table each, and drop those past their time; returns the days rolled.
+
+    The small files of a day go when it is found rolled by the next call.
+    """
+    files, rolled = Files(spark), []
+    for day, folder in _days(files, path).items():
+        if day < (today - timedelta(days=KEEP_DAYS)).isoformat():
+            files.delete(f"{path}/day={day}")
+            files.delete(f"{path}.rolled/day={day}")
+        elif ".rolled/" in folder:
+            files.delete(f"{path}/day={day}")
+        elif day < (today - timedelta(days=1)).isoformat():
+            lines = spark.read.schema("value string").option("pathGlobFilter", "*.json").text(folder)
+            lines.coalesce(1).write.mode("overwrite").parquet(f"{path}.rolled/day={day}")
+            rolled.append(day)
+    return rolled
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -107,3 +145,17 @@ def dead_letter_offsets(lines: DataFrame) -> DataFrame:
     per_time = timed.groupBy("topic", "ts").agg(F.sum("rejected").alias("rejected"))
     total = running_total(chunked(per_time, "ts", 86400), ["topic"], "ts", {"current_offset": F.col("rejected")})
     return total.select("topic", F.lit(0).alias("partition"), "ts", "current_offset")
+
+
+def dead_letter_increase(lines: DataFrame, window_minutes: int = 10) -> DataFrame:
+    """Rejected rows of the trailing window at each minute up to the last with a batch, as ``ts`` and ``increase``.
+
+    What ``counter_increase`` says of the counter, but for its first sample, which here counts:
+    so the reports of the window's own minutes are enough.
+    """
+    minute = F.ceil(F.unix_seconds("ts") / F.lit(60)).cast("bigint")
+    counted = progress_rows(lines).where("rejected is not null").groupBy(minute.alias("minute")).agg(F.sum("rejected").alias("n"))
+    last = counted.agg(F.max("minute").alias("last"))
+    evaluated = F.explode(F.sequence(F.col("minute"), F.col("minute") + F.lit(window_minutes - 1))).alias("at")
+    spread = counted.select("n", evaluated).crossJoin(F.broadcast(last)).where("at <= last")  # one row
+    return spread.groupBy(F.timestamp_seconds(F.col("at") * 60).alias("ts")).agg(F.sum("n").alias("increase"))

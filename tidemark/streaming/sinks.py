@@ -1,9 +1,10 @@
 """Replay-safe batch writers for use inside ``foreachBatch``.
 
-Each write goes to directories named by the stream and the batch, and replaces
-only those, so a batch that runs again leaves one copy. The stream's id is kept
-in its checkpoint: a new checkpoint starts new directories, leaves the old ones
-alone and reads its source anew.
+Batches are named by the stream and their number. Landing and bronze are tables with
+a log of their files: a batch counts once it is committed there, and running it again
+changes nothing. Other targets write directories of the batch's name and replace only
+those. The stream's id is kept in its checkpoint: a new checkpoint starts new names,
+leaves what is there alone and reads its source anew.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tidemark.functions.wire import frame
 from tidemark.operators.cdc import dlq_format, row_to_json
 from tidemark.schemas import Feed
 from tidemark.sources.landing import landing_path
+from tidemark.tables import add_batch
 
 
 # Fixed value: where Spark keeps the id of the stream whose batch this thread runs.
@@ -41,15 +43,15 @@ def write_batch(rows: DataFrame, path: str, batch_id: int | str, partition_by: S
 
 
 def lz_sink(rows: DataFrame, base: str, feed: Feed, batch_id: int | str) -> None:
-    """Landing files under ``ingestion_date=yyyy-MM-dd/hour=HH``."""
+    """Landing files right under ``ingestion_date=yyyy-MM-dd/hour=HH``, for any reader of that layout."""
     landed = rows.withColumnRenamed("ingestion_hour", "hour")
-    write_batch(landed, landing_path(base, feed), batch_id, ["ingestion_date", "hour"])
+    add_batch(landed, landing_path(base, feed), batch_name(rows, batch_id), feed, ["ingestion_date", "hour"])
 
 
-def bronze_sink(rows: DataFrame, path: str, batch_id: int | str) -> None:
+def bronze_sink(rows: DataFrame, path: str, feed: Feed, batch_id: int | str) -> None:
     """Bronze table by day, sorted by (asset, version) within each file."""
     ordered = rows.sortWithinPartitions("ingestion_date", "assetId", "lsn")
-    write_batch(ordered, path, batch_id, ["ingestion_date"])
+    add_batch(ordered, path, batch_name(rows, batch_id), feed, ["ingestion_date"])
 
 
 def message_sink(messages: DataFrame, target: dict[str, str], batch_id: int | str) -> None:

@@ -229,6 +229,12 @@ FLAGS = """b.n AS bronze_count, l.n AS lz_count, b.n IS NOT DISTINCT FROM l.n AS
   b.h IS NOT DISTINCT FROM l.h AS checksum_match"""
 SAME = """b.n IS NOT DISTINCT FROM l.n AND b.lo IS NOT DISTINCT FROM l.lo AND b.hi IS NOT DISTINCT FROM l.hi
   AND b.h IS NOT DISTINCT FROM l.h"""
+# Prices as ingested every six hours, with one of them gone from landing; caps at the beginning of their month.
+SIX_HOURS = "lpad(CAST(CAST(ingestion_hour AS INTEGER) // 6 * 6 AS VARCHAR), 2, '0') AS ingestion_hour"
+SIX_HOURLY = DRIFT + f""", p6 AS (SELECT * REPLACE ({SIX_HOURS}) FROM p), lz6 AS (
+  SELECT * FROM (SELECT * REPLACE ({SIX_HOURS}) FROM lz) WHERE NOT (ingestion_date = DATE '2024-01-28' AND ingestion_hour = '06'))"""
+C_MONTHLY = C + """, cm AS (
+  SELECT * REPLACE (CAST(date_trunc('month', make_timestamp("eventTimeMs" * 1000)) AS DATE) AS ingestion_date, '07' AS ingestion_hour) FROM c)"""
 P_DAYS, C_DAYS = "ingestion_date >= DATE '2024-01-24'", "ingestion_date >= DATE '2001-07-26'"
 
 
@@ -407,6 +413,7 @@ SQL: dict[str, str] = {
     "retention": """SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day FROM lineitem
         WHERE NOT (CAST(l_shipdate AS DATE) + INTERVAL 12 MONTH <= DATE '2001-07-01')""",
     "bronze_layout": P_BRONZE,
+    "compact_days": f"WITH {C} SELECT {C_BARE}, {BATCHED} FROM c",
     "latest_state_prices": P_STATE,
     "latest_state_caps": C_STATE,
     "silver_prices": f"""WITH {P}, {latest("p", P_AMOUNTS)} SELECT "assetId" AS asset_id, symbol, "coinName" AS coin_name, currency,
@@ -478,6 +485,8 @@ SQL: dict[str, str] = {
         FROM merged CROSS JOIN totals""",
     "pipeline_health": f"""WITH {HEALTH} SELECT '2024-01-31 00:00:00' AS checked_at, table_name, {when("ms")} AS latest_event_time,
         minutes_lag, {STATUS} AS pipeline_status FROM health""",
+    "pipeline_health_noted": f"""WITH {HEALTH} SELECT '2024-01-31 00:00:00' AS checked_at, table_name, {when("ms")} AS latest_event_time,
+        minutes_lag, {STATUS} AS pipeline_status FROM health""",
     "pipeline_status": f"""WITH {HEALTH}, s AS (SELECT {STATUS} AS status FROM health)
         SELECT 'end' AS "at", CASE WHEN bool_or(status = 'stale') THEN 'STALE' WHEN bool_or(status = 'empty') THEN 'EMPTY'
                WHEN bool_or(status = 'delayed') THEN 'DELAYED' ELSE 'HEALTHY' END AS status FROM s
@@ -488,6 +497,12 @@ SQL: dict[str, str] = {
     "sink_validation_partition": f"""WITH {DRIFT}, {C}
         {partition_check("market_prices", "2024-01-31 00:00:00", side("p", P_SUM, PARTS), side("lz", P_SUM, PARTS))}
         UNION ALL {partition_check("market_caps", "2001-08-02 00:00:00", side("c", C_SUM, PARTS), side("c", C_SUM, PARTS))}""",
+    "sink_validation_logged": f"""WITH {SIX_HOURLY}, {C_MONTHLY}
+        {table_check("market_prices", "2024-01-31 00:00:00", side("p6", P_SUM, where=P_DAYS), side("lz6", P_SUM, where=P_DAYS))}
+        UNION ALL {table_check("market_caps", "2001-08-02 00:00:00", side("cm", C_SUM, where=C_DAYS), side("cm", C_SUM, where=C_DAYS))}""",
+    "sink_validation_partition_logged": f"""WITH {SIX_HOURLY}, {C_MONTHLY}
+        {partition_check("market_prices", "2024-01-31 00:00:00", side("p6", P_SUM, PARTS), side("lz6", P_SUM, PARTS))}
+        UNION ALL {partition_check("market_caps", "2001-08-02 00:00:00", side("cm", C_SUM, PARTS), side("cm", C_SUM, PARTS))}""",
     "validation_failures": f"WITH {DRIFT}, {C}, {VALIDATION} SELECT count(*) FILTER (WHERE validation_status <> 'HEALTHY') AS failures FROM v",
     "validation_panel": f"""WITH {DRIFT}, {C}, {VALIDATION}
         SELECT table_name, bronze_count, lz_count, row_count_match, checksum_match, validation_status FROM v""",
@@ -507,3 +522,4 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'dlq-records', minute, increase, 0.0, 0 FROM increase
         UNION ALL SELECT 'consumer-lag', minute, lag, 1000.0, 10 FROM lagged), {held("src", 1)}""",
 }
+SQL["alerts_carried"] = SQL["alerts"]

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import tables
 from tidemark.functions import clock, digest, payload, wire
 from tidemark.operators import cdc, ingest, layout, ranking, series, state, subjects
 from tidemark.plans import activity, alerts, freshness, gold, overview, reconcile, silver
 from tidemark.schemas import CAPS, PRICES, Feed, bronze_schema, envelope_schema
 from tidemark.session import configure, stage, work_dir
 from tidemark.sources import changes, landing
-from tidemark.streaming import incremental, pipeline, sinks
+from tidemark.streaming import alerting, incremental, newest, pipeline, sinks
 from workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -461,7 +462,7 @@ def lz_sink(spark, sf_dir):
 @query
 def bronze_sink(spark, sf_dir):
     path = work_dir(spark, "bronze")
-    _in_two_batches(feeds.bronze_caps(spark, sf_dir), lambda rows, n: sinks.bronze_sink(rows, path, n))
+    _in_two_batches(feeds.bronze_caps(spark, sf_dir), lambda rows, n: sinks.bronze_sink(rows, path, CAPS, n))
     return without(landing.bronze_scan(spark, path, CAPS), "updatedAtMs")
 
 
@@ -514,6 +515,21 @@ def constraint_check(spark, sf_dir):
 RETENTION_AS_OF = datetime(2001, 6, 30, 20)
 
 
+@query
+def compact_days(spark, sf_dir):
+    """Bronze written in two batches, compacted in place between them and after; what its log then counts."""
+    path = work_dir(spark, "bronze")
+
+    def write(rows, number):
+        sinks.bronze_sink(rows, path, CAPS, number)
+        tables.compact_days(spark, path, CAPS, bronze_schema(CAPS))
+        tables.roll(spark, path)
+        tables.vacuum(spark, path)
+
+    _in_two_batches(feeds.bronze_caps(spark, sf_dir), write)
+    return without(landing.bronze_scan(spark, path, CAPS), "updatedAtMs")
+
+
 @query
 def retention(spark, sf_dir):
     lines = _lines(spark, sf_dir).withColumn("day", F.to_date("l_shipdate"))
@@ -767,6 +783,20 @@ def pipeline_health(spark, sf_dir):
     return plain(_health(spark, sf_dir))
 
 
+@query
+def pipeline_health_noted(spark, sf_dir):
+    """Facts written by streams over bronze; their health by the newest events noted on the way."""
+    noted = {}
+    for feed, rows in ((PRICES, feeds.bronze_prices(spark, sf_dir)), (CAPS, feeds.bronze_caps(spark, sf_dir))):
+        base = work_dir(spark, "noted")
+        rows.write.parquet(f"{base}/bronze")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/bronze")
+        incremental.fact_stream(stream, feed, f"{base}/fct", f"{base}/checkpoint", available_now=True).awaitTermination()
+        newest.fold(spark, f"{base}/fct")
+        noted[feed.name] = newest.read(spark, f"{base}/fct")
+    return plain(freshness.pipeline_health(noted, feeds.PRICES_AS_OF))
+
+
 @query
 def pipeline_status(spark, sf_dir):
     """Worst status as of the end of the prices feed, long before it, and of prices alone 20 minutes after their last."""
@@ -808,6 +838,47 @@ def sink_validation_partition(spark, sf_dir):
     return plain(report.drop("bronze_checksum", "lz_checksum"))
 
 
+def _logged_copies(spark, sf_dir) -> list:
+    """Both feeds written as bronze and landing tables, in batches, one of them twice: entries of the logs.
+
+    Prices are ingested every six hours, and landing lacks one of them; caps once a month.
+    """
+    quarter_day = lambda rows: rows.withColumn("ingestion_hour", F.lpad((F.floor(F.col("ingestion_hour").cast("int") / 6) * 6).cast("string"), 2, "0"))
+    caps = restamped(feeds.bronze_caps(spark, sf_dir), F.date_trunc("month", event_clock()))
+    gone = (F.col("ingestion_date") == F.lit("2024-01-28").cast("date")) & (F.col("ingestion_hour") == "06")
+    drifted = quarter_day(feeds.landing_prices(spark, sf_dir)).filter(~gone)
+    copies = [
+        (PRICES, quarter_day(feeds.bronze_prices(spark, sf_dir)), drifted, feeds.PRICES_AS_OF),
+        (CAPS, caps, caps, feeds.CAPS_AS_OF),
+    ]
+    found = []
+    for feed, bronze_rows, landing_rows, as_of in copies:
+        base = work_dir(spark, "copies")
+        # dealt out by partition, as few files hold each hour then
+        dealt = lambda rows: rows.hint("rebalance", "ingestion_date", "ingestion_hour")
+        late = F.col("lsn") % 3 == 0
+        for batch, part in ((0, ~late), (1, late), (1, late)):
+            sinks.bronze_sink(dealt(bronze_rows.filter(part)), f"{base}/bronze", feed, batch)
+            sinks.lz_sink(dealt(landing_rows.filter(part)), f"{base}/lz", feed, batch)
+        found.append((tables.entries(spark, f"{base}/bronze"), tables.entries(spark, landing.landing_path(f"{base}/lz", feed)), feed, as_of))
+    return found
+
+
+@query
+def sink_validation_logged(spark, sf_dir):
+    """The comparison from the summaries in the two tables' logs."""
+    logged = {"summary": reconcile.logged_summary}
+    first, second = (reconcile.sink_validation(*copy, **logged) for copy in _logged_copies(spark, sf_dir))
+    return plain(first.unionByName(second).drop("bronze_checksum", "lz_checksum"))
+
+
+@query
+def sink_validation_partition_logged(spark, sf_dir):
+    logged = {"summary": reconcile.logged_summary, "days": None}
+    first, second = (reconcile.sink_validation_partition(*copy, **logged) for copy in _logged_copies(spark, sf_dir))
+    return plain(first.unionByName(second).drop("bronze_checksum", "lz_checksum"))
+
+
 @query
 def validation_failures(spark, sf_dir):
     return reconcile.validation_failures(_validation(spark, sf_dir))
@@ -852,16 +923,32 @@ def checkpoint_duration_max(spark, sf_dir):
     return activity.checkpoint_duration_max(feeds.checkpoints(spark, sf_dir))
 
 
+def _histories(spark, sf_dir) -> dict[str, DataFrame]:
+    checks = stage(feeds.check_history(spark, sf_dir), "checks")
+    return {
+        "health_history": checks,
+        "validation_history": checks,
+        "topic_offsets": feeds.topic_offsets(spark, sf_dir),
+        "consumer_offsets": feeds.consumer_offsets(spark, sf_dir),
+    }
+
+
 @query
 def alerts_all(spark, sf_dir):
-    checks = stage(feeds.check_history(spark, sf_dir), "checks")
-    states = alerts.alerts(
-        health_history=checks,
-        validation_history=checks,
-        topic_offsets=feeds.topic_offsets(spark, sf_dir),
-        consumer_offsets=feeds.consumer_offsets(spark, sf_dir),
-    )
+    states = alerts.alerts(**_histories(spark, sf_dir))
     return plain(states.select("ts", "rule_uid", "value", "since", "state"))
 
 
+@query
+def alerts_carried(spark, sf_dir):
+    """The same evaluations, settled ten days at a time by what is held of the days before."""
+    found = stage(alerts.rule_evaluations(**_histories(spark, sf_dir)), "evaluations")
+    step = F.floor(F.unix_seconds("ts") / (10 * 86400))
+    path = work_dir(spark, "alerts")
+    first, last = found.agg(F.min(step), F.max(step)).first()
+    for number in range(first, last + 1):
+        alerting.advance(found.where(step == number), path, number)
+    return plain(alerting.states(spark, path).select("ts", "rule_uid", "value", "since", "state"))
+
+
 REGISTRY["alerts"] = REGISTRY.pop("alerts_all")
