@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,16 +101,67 @@ def page_inserts(rows: DataFrame, target: DataFrame, rules: TableRules, created_
     return anti_existing(good, target, list(rules.key)), checked.filter("violation is not null")
 
 
+# Ranges of values that choose what of a target is read.
+MOST_RANGES = 64
+SLOTS = 1024
+
+
+def value_ranges(batch: DataFrame, column: str, most: int = MOST_RANGES) -> list[tuple]:
+    """At most ``most`` ranges that hold all values of a column, null ones left out, and leave out its widest gaps.
+
+    Its span is cut into slots, and of each slot with values the least and the greatest
+    reach the driver; neighbours are joined, across the smallest gaps first. So a late row
+    is a range of its own and does not widen the others. The column is a number, a date or
+    a time; a text is one range from least to greatest.
+    """
+    kind = batch.schema[column].dataType
+    value = F.col(column)
+    if isinstance(kind, T.DateType):
+        number = F.unix_date(value).cast("double")
+    elif isinstance(kind, T.TimestampType):
+        number = F.unix_micros(value).cast("double")
+    elif isinstance(kind, T.NumericType):
+        number = value.cast("double")
+    else:
+        number = F.lit(0.0)
+    kept = batch.where(value.isNotNull()).select(value.alias("v"), number.alias("x"))
+    least, greatest = kept.agg(F.min("x"), F.max("x")).first()
+    if least is None:
+        return []
+    width = (greatest - least) / SLOTS or 1.0
+    if not math.isfinite(width):
+        return [tuple(kept.agg(F.min("v"), F.max("v")).first())]
+    slot = F.least(F.floor((F.col("x") - least) / width), F.lit(SLOTS - 1))
+    found = kept.groupBy(slot.alias("slot")).agg(F.min("v").alias("a"), F.max("v").alias("b"), F.min("x").alias("xa"), F.max("x").alias("xb"))
+    slots = sorted(found.collect(), key=lambda r: r.xa)
+    gaps = sorted((after.xa - before.xb for before, after in zip(slots, slots[1:])), reverse=True)
+    # gaps within a slot's width are none
+    open_gap = max(gaps[most - 1] if len(gaps) >= most else 0.0, width)
+    ranges = [[slots[0].a, slots[0].b]]
+    for before, after in zip(slots, slots[1:]):
+        if after.xa - before.xb > open_gap:
+            ranges.append([after.a, after.b])
+        else:
+            ranges[-1][1] = after.b
+    return [tuple(r) for r in ranges]
+
+
+def within_ranges(target: DataFrame, column: str, ranges: Sequence[tuple]) -> DataFrame:
+    """The target's rows in any of the ranges: prunes partitions, files and row groups."""
+    chosen = [F.col(column).between(F.lit(a), F.lit(b)) for a, b in ranges]
+    return target.filter(reduce(operator.or_, chosen) if chosen else F.lit(False))
+
+
 def anti_existing(batch: DataFrame, target: DataFrame, keys: Sequence[str], within: str | None = None) -> DataFrame:
     """Batch rows whose key is not in the target. Only the target's keys are read.
 
     ``within`` names a key column, such as the time or day the target is laid out
-    by: only the target's part between the batch's least and greatest value of it
-    is read. Two values reach the driver.
+    by: the target is read only where that column is near the batch's values of it.
+    The batch is read three times then, so give one that is stored. A null in it
+    matches nothing, as in any join.
     """
     if within is not None:
-        least, most = batch.agg(F.min(within), F.max(within)).first()
-        target = target.filter(F.col(within).between(F.lit(least), F.lit(most)))
+        target = within_ranges(target, within, value_ranges(batch, within))
     return batch.join(target.select(*keys), list(keys), "left_anti")
 
 
@@ -115,7 +169,8 @@ def insert_ignore(
     batch: DataFrame, target: DataFrame, keys: Sequence[str], arrival: Sequence[str], within: str | None = None
 ) -> DataFrame:
     """Rows a batch adds when existing keys are left alone: the first write wins."""
-    return anti_existing(first_by(batch, keys, arrival), target, keys, within)
+    first = first_by(batch, keys, arrival)
+    return anti_existing(stage(first, "arriving") if within is not None else first, target, keys, within)
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import as_instant
+from tidemark.functions.clock import as_instant, local_date
 from tidemark.operators.series import whole
 
 # Fixed value: the consumer groups that count, whose names the streaming job's queries share.
@@ -19,12 +19,19 @@ GROUP_PATTERN = "(flink-)?bronze-.*"
 def bronze_insert_rate(
     tables: dict[str, DataFrame], as_of: Column | datetime | None = None, hours: int | None = 1
 ) -> DataFrame:
-    """Rows per event minute and table over the last hours."""
+    """Rows per event minute and table over the last hours.
+
+    A row is ingested after its event, so days before the first hour are not read
+    of a table laid out by ingestion day.
+    """
     since = F.unix_seconds(as_instant(as_of)) - (hours or 0) * 3600
+    first_day = local_date(F.timestamp_seconds(since))
     second = F.floor(F.col("eventTimeMs") / 1000)
     parts = []
     for name, rows in tables.items():
         recent = rows if hours is None else rows.filter(F.col("eventTimeMs") >= since * 1000)
+        if hours is not None and "ingestion_date" in rows.columns:
+            recent = recent.filter(F.col("ingestion_date") >= first_day)
         minute = F.timestamp_seconds(F.floor(second / 60) * 60).alias("t")
         parts.append(recent.groupBy(minute).agg(F.count("*").alias("rows")).withColumn("src", F.lit(name)))
     return reduce(DataFrame.unionByName, parts).select("t", "rows", "src")

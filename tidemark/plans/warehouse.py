@@ -56,12 +56,15 @@ class Warehouse:
                 started.append(incremental.dim_asset_stream(rows(), self.model("dim_asset"), check("dim_asset"), **job("dim_asset")))
         return started
 
-    def compact_models(self) -> int:
-        """Merge the model tables' partial results; run it on a schedule beside the streams."""
-        merged = incremental.compact_dim_asset(self.spark, self.model("dim_asset"))
+    def compact_models(self, **limits: int) -> int:
+        """Merge the model tables' partial results; run it on a schedule beside the streams.
+
+        ``limits`` are those of :func:`incremental.compact`.
+        """
+        merged = incremental.compact_dim_asset(self.spark, self.model("dim_asset"), **limits)
         for name, feed in FEEDS.items():
-            merged += incremental.compact_facts(self.spark, self.model(f"fct_{name}"), feed)
-            merged += incremental.compact_silver(self.spark, self.model(f"state_{name}"), feed)
+            merged += incremental.compact_facts(self.spark, self.model(f"fct_{name}"), feed, **limits)
+            merged += incremental.compact_silver(self.spark, self.model(f"state_{name}"), feed, **limits)
             newest.fold(self.spark, self.model(f"fct_{name}"))
         return merged
 
@@ -265,12 +268,16 @@ class Warehouse:
         return activity.bronze_insert_rate({n: self.bronze(f) for n, f in FEEDS.items()}, self.as_of, hours)
 
     def row_counts(self) -> DataFrame:
-        """Of bronze by its log, where there is one."""
+        """Of bronze by its log and of streamed facts by the keys their batches added, where those are kept."""
         bronze = {}
         for name, feed in FEEDS.items():
             logged = tables.Log(self.spark, self.bronze_path(feed)).exists()
             bronze[f"bronze.{name}"] = tables.entries(self.spark, self.bronze_path(feed)) if logged else (self.bronze(feed), ())
-        facts = {f"gold.fct_{n}": (self.built_facts(f), ()) for n, f in FEEDS.items()}
+        facts = {}
+        for name, feed in FEEDS.items():
+            noted = newest.added(self.spark, self.facts_path(feed)) if self.incremental and newest.exists(self.spark, self.facts_path(feed)) else None
+            counted = self.spark.createDataFrame([(noted,)], "rows bigint") if noted is not None else (self.built_facts(feed), ())
+            facts[f"gold.fct_{name}"] = counted
         return activity.row_counts({**bronze, **facts})
 
     def file_inventory(self, feed: Feed) -> DataFrame:

@@ -95,6 +95,16 @@ class Files:
         place, system = self._at(pattern)
         return sorted(status.getPath().toString() for status in system.globStatus(place) or [])
 
+    def size(self, path: str) -> int:
+        """Bytes of a file, or of all files under a folder."""
+        place, system = self._at(path)
+        return system.getContentSummary(place).getLength()
+
+    def modified(self, path: str) -> int:
+        """When a file was last written, in milliseconds."""
+        place, system = self._at(path)
+        return system.getFileStatus(place).getModificationTime()
+
     def read(self, path: str) -> str:
         place, system = self._at(path)
         source = system.open(place)

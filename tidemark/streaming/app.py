@@ -32,6 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     what.add_argument("--models", action="store_true", help="keep silver and gold up to date from bronze")
     what.add_argument("--checks", action="store_true", help="record the reports and settle the alerts each minute")
     parser.add_argument("--compact-minutes", type=int, default=60, help="time between compactions of the models, or of the tables by the checks")
+    parser.add_argument("--compact-parts", type=int, default=4, help="parts of a size that a model table gathers before they are merged")
     parser.add_argument("--minutes", type=int, help="stop the checks after so many")
     parser.add_argument("--built", action="store_true", help="check the facts as last built, not those of the model streams")
     parser.add_argument("--root", required=True, help="warehouse folder")
@@ -69,7 +70,7 @@ def follow_models(lake: Warehouse, args: argparse.Namespace) -> None:
         if running[0].awaitTermination(args.compact_minutes * 60):
             for query in running:
                 query.awaitTermination()
-        lake.compact_models()
+        lake.compact_models(fanout=args.compact_parts)
 
 
 def run_checks(args: argparse.Namespace) -> None:

@@ -8,7 +8,6 @@ in place, and compaction only bounds how much there is to merge.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.ingest import value_ranges, within_ranges
 from tidemark.operators.state import STATE_KEYS, STATE_VERSION, partial_state, replacing_dedup, state_merge
 from tidemark.plans import gold, silver
 from tidemark.schemas import PRICES, Feed, bronze_schema
-from tidemark.session import delete_folder, list_folders
+from tidemark.session import Files, delete_folder, list_folders
 from tidemark.streaming import newest
 from tidemark.streaming.sinks import batch_name, write_batch
 
@@ -77,11 +77,30 @@ def fact_stream(
         return facts.withColumn("event_month", gold.event_month(F.col("event_time_ms")))
 
     def note(spark: SparkSession, batch: str) -> None:
-        newest.note(spark, path, batch, list_folders(spark, f"{path}/event_month=*/batch_id={batch}"))
+        own = list_folders(spark, f"{path}/event_month=*/batch_id={batch}")
+        newest.note(spark, path, batch, own, new_keys(spark, path, feed, own))
 
     return append_parts(bronze, part, path, checkpoint, ["event_month"], available_now, note, name)
 
 
+def new_keys(spark: SparkSession, path: str, feed: Feed, own: Sequence[str]) -> int:
+    """How many keys the facts of a batch, under its own folders, add to those of all others.
+
+    Of the others only the key columns are read, in the batch's months and where their
+    times are near the batch's: one late fact does not widen that to all between.
+    """
+    if not own:
+        return 0
+    shape = fact_shape(spark, feed)
+    rows = lambda folders: spark.read.schema(shape).option("basePath", path).parquet(*folders).select("event_month", *gold.FACT_KEY)
+    batch, mine = rows(own), set(own)
+    others = [f for month in {o.rsplit("/", 1)[0] for o in own} for f in list_folders(spark, f"{month}/batch_id=*") if f not in mine]
+    if not others:
+        return batch.count()
+    known = within_ranges(rows(others), "event_time_ms", value_ranges(batch, "event_time_ms"))
+    return batch.join(known, list(gold.FACT_KEY), "left_anti").count()
+
+
 def read_facts(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """The fact table: the highest version over all batches."""
     shape = gold.fact_rows(spark.createDataFrame([], bronze_schema(feed)), feed).schema
@@ -154,20 +173,60 @@ def drop_replaced(spark: SparkSession, path: str) -> int:
     return len(folders)
 
 
+# Size up to which a part is of the first tier; each further tier holds parts up to ``fanout`` times as large.
+SMALL_PART = 1 << 20
+
+
+def tier(size: int, fanout: int) -> int:
+    """The tier of a part by its bytes."""
+    level, most = 0, SMALL_PART
+    while size > most:
+        level, most = level + 1, most * fanout
+    return level
+
+
+def merges(parts: dict[str, int], fanout: int, most_bytes: int | None = None) -> list[str]:
+    """Which of a partition's parts, given with their bytes, to merge into one.
+
+    The lowest tier with at least ``fanout`` parts, and what is smaller than it. So a byte
+    is rewritten about once a tier, and a part of the greatest tier only when as many of
+    its size have come together. ``most_bytes`` leaves greater merges for another time.
+    """
+    by_tier: dict[int, list[str]] = {}
+    for name in sorted(parts):
+        by_tier.setdefault(tier(parts[name], fanout), []).append(name)
+    for level in sorted(by_tier):
+        if len(by_tier[level]) >= fanout:
+            chosen = [n for low in sorted(by_tier) if low <= level for n in by_tier[low]]
+            within = most_bytes is None or sum(parts[n] for n in chosen) <= most_bytes
+            return chosen if within else []
+    return []
+
+
 def compact(
-    spark: SparkSession, path: str, shape: T.StructType, merge: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    shape: T.StructType,
+    merge: Callable[[DataFrame], DataFrame],
+    partition_by: Sequence[str] = (),
+    fanout: int = 2,
+    most_bytes: int | None = None,
 ) -> int:
     """Merge a table's partial results in place, while batches go on arriving.
 
     The merged rows are one more partial result, so readers get the same answer
     at every moment. Folders they stand for are deleted by the next call, when
-    readers that listed them are done. Only partitions with more than one folder
-    are rewritten. Returns the number of folders merged.
+    readers that listed them are done. In each partition the parts of one tier of
+    size are merged, if there are ``fanout`` of them: what a table of any size
+    rewrites per batch grows with the logarithm of its size, and a reader merges
+    fewer than ``fanout`` parts per tier. Returns the number of folders merged.
     """
     drop_replaced(spark, path)
-    folders = list_folders(spark, "/".join([path, *(f"{c}=*" for c in partition_by), "batch_id=*"]))
-    several = Counter(f.rsplit("/", 1)[0] for f in folders)
-    chosen = [f for f in folders if several[f.rsplit("/", 1)[0]] > 1]
+    files = Files(spark)
+    held: dict[str, dict[str, int]] = {}
+    for folder in files.glob("/".join([path, *(f"{c}=*" for c in partition_by), "batch_id=*"])):
+        held.setdefault(folder.rsplit("/", 1)[0], {})[folder] = files.size(folder)
+    chosen = [folder for parts in held.values() for folder in merges(parts, fanout, most_bytes)]
     if not chosen:
         return 0
     parts = spark.read.schema(shape).option("basePath", path).parquet(*chosen).select(*shape.names)
@@ -182,19 +241,19 @@ def fact_shape(spark: SparkSession, feed: Feed) -> T.StructType:
     return rows.withColumn("event_month", gold.event_month(F.col("event_time_ms"))).schema
 
 
-def compact_facts(spark: SparkSession, path: str, feed: Feed) -> int:
+def compact_facts(spark: SparkSession, path: str, feed: Feed, **limits: int) -> int:
     merge = lambda parts: replacing_dedup(parts, gold.FACT_KEY, "lsn")
-    return compact(spark, path, fact_shape(spark, feed), merge, ["event_month"])
+    return compact(spark, path, fact_shape(spark, feed), merge, ["event_month"], **limits)
 
 
-def compact_dim_asset(spark: SparkSession, path: str) -> int:
+def compact_dim_asset(spark: SparkSession, path: str, **limits: int) -> int:
     shape = gold.dim_asset_rows(spark.createDataFrame([], bronze_schema(PRICES))).schema
-    return compact(spark, path, shape, lambda parts: replacing_dedup(parts, gold.DIM_KEY, "last_lsn"))
+    return compact(spark, path, shape, lambda parts: replacing_dedup(parts, gold.DIM_KEY, "last_lsn"), **limits)
 
 
-def compact_silver(spark: SparkSession, path: str, feed: Feed) -> int:
+def compact_silver(spark: SparkSession, path: str, feed: Feed, **limits: int) -> int:
     shape = state_shape(spark, feed)
-    return compact(spark, path, shape, lambda parts: state_merge(parts, keys=STATE_KEYS, version=STATE_VERSION))
+    return compact(spark, path, shape, lambda parts: state_merge(parts, keys=STATE_KEYS, version=STATE_VERSION), **limits)
 
 
 def state_shape(spark: SparkSession, feed: Feed) -> T.StructType:

@@ -103,20 +103,24 @@ def offset_rows(lines: DataFrame) -> DataFrame:
     """Latest and read offsets per topic partition of queries that read a broker.
 
     The query's name stands for the consumer group. Other sources report offsets
-    of another shape and are left out.
+    of another shape and are left out. A partition that has not been read yet counts
+    from the first offset that any report starts it at, or from 0 if none does.
     """
     offsets = lambda text: F.from_json(text, OFFSETS, {"mode": "PERMISSIVE"})
     source = _parsed(lines).select("ts", "name", F.explode("sources").alias("s"))
+    begun = source.select("name", F.explode(offsets(F.col("s.startOffset"))).alias("topic", "starts"))
+    begun = begun.select("name", "topic", F.explode("starts").alias("partition", "start"))
+    first = begun.groupBy("name", "topic", "partition").agg(F.min("start").alias("first_offset"))
     both = source.select("ts", "name", offsets(F.col("s.endOffset")).alias("read"), offsets(F.col("s.latestOffset")).alias("latest"))
     topics = both.select("ts", "name", "read", F.explode("latest").alias("topic", "ends"))
     parts = topics.select("ts", "name", "topic", F.col("read")[F.col("topic")].alias("known"), F.explode("ends").alias("partition", "end_offset"))
-    return parts.select(
+    return parts.join(first, ["name", "topic", "partition"], "left").select(
         "ts",
         F.col("name").alias("consumergroup"),
         "topic",
         F.col("partition").cast("int").alias("partition"),
         "end_offset",
-        F.coalesce(F.col("known")[F.col("partition")], F.lit(0)).cast("bigint").alias("committed_offset"),
+        F.coalesce(F.col("known")[F.col("partition")], "first_offset", F.lit(0)).cast("bigint").alias("committed_offset"),
     ).where("end_offset is not null")
 
 
