@@ -12,8 +12,8 @@
    and the buckets of all bands with one pivot are a cell: near copies share
    their pivots, so a class is in few cells. A pair counts in the smallest cell
    that holds both, so no pair is counted twice and none has to be listed.
-4. A cell is cut into blocks by class, and one task compares two blocks with their
-   whole sets: intersections are products of 0/1 matrices over common shingles,
+4. A cell is cut into blocks by class, of bounded numbers of classes and of shingles in
+   their sets, and one task compares two blocks with their whole sets: intersections are products of 0/1 matrices over common shingles,
    plus the members of rare ones. It returns a row per class: its links, and the
    smallest class it is connected to.
 5. These rows are the edges of the groups, joined by star contractions.
@@ -49,7 +49,9 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 TREES = 20
 DEPTH = 8
-BLOCK = 4096  # classes of one side of a comparison
+# Bounds of one side of a comparison, on average: its classes, and the shingles in all their sets.
+BLOCK = 4096
+BLOCK_SHINGLES = 500_000
 BUFFER = 1 << 20
 ROWS = 512  # rows of a block compared at once
 
@@ -291,16 +293,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     # Labels follow from the class, so any row's will do.
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))["row"].alias("min_row")
     classes = found.groupBy("class").agg(
-        F.count("*").alias("n_docs"), F.min("id").alias("min_id"), first, F.first("labels", ignorenulls=True).alias("labels")
+        F.count("*").alias("n_docs"),
+        F.min("id").alias("min_id"),
+        first,
+        F.first("labels", ignorenulls=True).alias("labels"),
+        F.first("n_shingles").alias("n_shingles"),
     )
     classes = stage(classes, "classes")
-    nodes = classes.select("class", F.posexplode("labels").alias("tree", "label"))
+    nodes = classes.select("class", "n_shingles", F.posexplode("labels").alias("tree", "label"))
     buckets = nodes.groupBy("tree", "label").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    pivots = nodes.join(buckets, ["tree", "label"]).groupBy("class").agg(F.sort_array(F.collect_set("pivot")).alias("pivots"))
+    pivots = nodes.join(buckets, ["tree", "label"]).groupBy("class")
+    pivots = pivots.agg(F.sort_array(F.collect_set("pivot")).alias("pivots"), F.first("n_shingles").alias("n_shingles"))
     pivots = stage(pivots, "pivots")
-    members = pivots.select("class", "pivots", F.explode("pivots").alias("pivot"))
+    members = pivots.select("class", "pivots", "n_shingles", F.explode("pivots").alias("pivot"))
     # The pivot itself may be known by other cells only; every cell holds its pivot since buckets do.
-    blocks = members.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    enough = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
+    blocks = members.groupBy("pivot").agg(enough.cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = members.join(blocks, "pivot").withColumn("side", own).withColumn("other", other)
