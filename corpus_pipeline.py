@@ -13,8 +13,19 @@ from tidemark.llm.texts import importable
 from tidemark.session import stage as staged
 
 
+# Rows and bytes of the batches that Python gets: each worker holds a batch or two beside its tables.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the workers of a stage small; a long run's executors have a full heap beside them."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without a letter, in no learned language, or without a language that has a quarter of it, go."""
+    small_batches(spark)
     return language_id.accepted(docs, least=0.25)
 
 
@@ -25,6 +36,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each group of linked documents one stays."""
+    small_batches(spark)
     return near_dedup.keep_one(docs)
 
 
@@ -35,6 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: a row of digests and counts for each document of the mix."""
+    small_batches(spark)
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
