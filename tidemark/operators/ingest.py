@@ -88,17 +88,22 @@ def api_page_explode(
     return prices, caps, rejected
 
 
-def page_inserts(rows: DataFrame, target: DataFrame, rules: TableRules, created_at: Column) -> tuple[DataFrame, DataFrame]:
+def page_inserts(
+    rows: DataFrame, target: DataFrame, rules: TableRules, created_at: Column, within: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """What rows of pages add to their table, and the rows its constraints refuse, with the violation.
 
     Of rows that repeat a key the first by source time is inserted, as the table
     would ignore the later ones; keys that the table holds already add nothing.
+    ``within`` names the key column that chooses what of the table is read.
     """
     made = rows.withColumn("created_at", created_at)
     first = first_by(made, list(rules.key), ["source_ts"])
     checked = constraint_check(first, rules)
     good = checked.filter("violation is null").drop("violation")
-    return anti_existing(good, target, list(rules.key)), checked.filter("violation is not null")
+    if within is not None:
+        good = stage(good, "page-inserts")
+    return anti_existing(good, target, list(rules.key), within), checked.filter("violation is not null")
 
 
 # Ranges of values that choose what of a target is read.

@@ -16,7 +16,7 @@ from tidemark.plans import activity, alerts, freshness, gold, overview, reconcil
 from tidemark.schemas import CAPS, FEEDS, PRICES, Feed, bronze_schema, landing_schema
 from tidemark.session import Files, stage
 from tidemark.sources.landing import bronze_scan, landing_path, lz_file_inventory, lz_scan
-from tidemark.streaming import alerting, incremental, newest, progress
+from tidemark.streaming import alerting, incremental, newest, pages, progress
 from tidemark.streaming.pipeline import Targets
 from tidemark.streaming.sinks import write_batch
 
@@ -68,6 +68,14 @@ class Warehouse:
             newest.fold(self.spark, self.model(f"fct_{name}"))
         return merged
 
+    def start_pages(self, location: str, available_now: bool = False, files_per_batch: int | None = None) -> StreamingQuery:
+        """Bring page files of the remote API into the source tables as they arrive."""
+        found = pages.page_files(self.spark, location, files_per_batch)
+        return pages.page_stream(found, f"{self.root}/source", self.checkpoint("pages"), available_now)
+
+    def source_table(self, feed: Feed) -> DataFrame:
+        return pages.source_table(self.spark, f"{self.root}/source", feed.name)
+
     def targets(self, feed: Feed, topic: dict[str, str] | None = None, dead_letters: dict[str, str] | None = None) -> Targets:
         """Where the streaming job of a feed should write."""
         return Targets(

@@ -1,9 +1,10 @@
-"""The bronze job of one feed, the model streams of both, or the checks of each minute, for spark-submit.
+"""The bronze job of one feed, the model streams of both, the checks of each minute, or the pages, for spark-submit.
 
     spark-submit tidemark/streaming/app.py --feed market_prices --root s3a://lake \\
         --format kafka --location broker:9092 --topic cdc.public.market_prices
     spark-submit tidemark/streaming/app.py --models --root s3a://lake
     spark-submit tidemark/streaming/app.py --checks --root s3a://lake
+    spark-submit tidemark/streaming/app.py --pages --root s3a://lake --location s3a://pages
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import argparse
 import os
 import sys
 import time
+from contextlib import contextmanager
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -30,6 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     what = parser.add_mutually_exclusive_group(required=True)
     what.add_argument("--feed", choices=sorted(FEEDS), help="run this feed into bronze")
     what.add_argument("--models", action="store_true", help="keep silver and gold up to date from bronze")
+    what.add_argument("--pages", action="store_true", help="bring page files of the remote API into the source tables")
     what.add_argument("--checks", action="store_true", help="record the reports and settle the alerts each minute")
     parser.add_argument("--compact-minutes", type=int, default=60, help="time between compactions of the models, or of the tables by the checks")
     parser.add_argument("--compact-parts", type=int, default=4, help="parts of a size that a model table gathers before they are merged")
@@ -46,21 +49,28 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--dead-letter-topic")
     parser.add_argument("--available-now", action="store_true", help="stop when caught up")
     args = parser.parse_args(argv)
-    if args.feed and not args.location:
-        parser.error("--feed needs --location")
+    if (args.feed or args.pages) and not args.location:
+        parser.error("--feed and --pages need --location")
     return args
 
 
 def run_models(args: argparse.Namespace) -> None:
     """Follow bronze until stopped, or until caught up, and compact now and then."""
-    spark = build_session("models")
-    lake = Warehouse(spark, args.root, incremental=True)
+    lake = Warehouse(build_session("models"), args.root, incremental=True)
+    with logged(lake):
+        follow_models(lake, args)
+
+
+@contextmanager
+def logged(lake: Warehouse):
+    """Keep the progress reports of the queries that run meanwhile."""
+    spark = lake.spark
     log = ProgressLog(spark, f"{lake.monitoring}/progress")
     spark.streams.addListener(log)
     try:
-        follow_models(lake, args)
-    finally:
+        yield
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(LISTENER_WAIT_MS)
+    finally:
         spark.streams.removeListener(log)
 
 
@@ -96,6 +106,11 @@ def main(argv: list[str] | None = None) -> None:
         return run_models(args)
     if args.checks:
         return run_checks(args)
+    if args.pages:
+        lake = Warehouse(build_session("pages"), args.root)
+        with logged(lake):
+            lake.start_pages(args.location, args.available_now, int(args.max_per_batch) if args.max_per_batch else None).awaitTermination()
+        return None
     spark = build_session(f"bronze-{args.feed}")
     feed = FEEDS[args.feed]
     limit = "maxOffsetsPerTrigger" if args.format == "kafka" else "maxFilesPerTrigger"
@@ -116,13 +131,8 @@ def main(argv: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, args.root)
     targets = warehouse.targets(feed, broker(args.out_topic), broker(args.dead_letter_topic))
     checkpoint = f"{warehouse.root}/checkpoints/{feed.name}"
-    log = ProgressLog(spark, f"{warehouse.monitoring}/progress")
-    spark.streams.addListener(log)
-    try:
+    with logged(warehouse):
         start_bronze(changes, feed, targets, checkpoint, args.available_now).awaitTermination()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(LISTENER_WAIT_MS)
-    finally:
-        spark.streams.removeListener(log)
 
 
 if __name__ == "__main__":
