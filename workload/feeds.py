@@ -336,7 +336,9 @@ def consumer_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(group.alias("consumergroup"), F.col("event_type").alias("topic"), minute_of("at").alias("minute"))
         .agg(F.count("*").alias("n"), F.count_if(F.col("value") < 40).alias("read"))
     )
-    every = per_minute.select(*key).distinct().crossJoin(minute_grid(spark, sf_dir))
+    span = events(spark, sf_dir).agg(F.min(minute_of("at")).alias("a"), F.max(minute_of("at")).alias("b"))
+    series = per_minute.select(*key).distinct().crossJoin(F.broadcast(span))  # one row
+    every = series.select(*key, F.explode(F.sequence("a", "b")).alias("minute"))
     timed = every.join(per_minute, [*key, "minute"], "left").withColumn("ts", F.timestamp_seconds(F.col("minute") * 60))
     sums = {"end_offset": F.col("n"), "committed_offset": F.col("read")}
     running = running_total(chunked(timed, "ts", 86400), key, "minute", sums)
