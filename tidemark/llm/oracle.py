@@ -107,3 +107,71 @@ s AS (
 )
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
 """
+
+# The repair goes from each conversation's last row to its first, with cost, audit and lines for each of the four grammar states.
+OP13 = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i))
+), named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+    FROM conversations
+), kinds AS (
+    SELECT named.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[CAST(xor(c, b) % 256 AS INTEGER) + 1])), 4294967295) % 20 AS kind
+    FROM named, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last, left(role, 1) AS initial
+    FROM damaged
+), turns AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN pos > min(pos) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+            WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+        row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) AS nth
+    FROM placed
+), best AS (
+    SELECT conv_id, 0::BIGINT AS nth, [{'c': 0, 'a': '', 'l': []::VARCHAR[]}, {'c': 10, 'a': 'II', 'l': ['user:', 'assistant:']},
+        {'c': 5, 'a': 'I', 'l': ['assistant:']}, {'c': 0, 'a': '', 'l': []::VARCHAR[]}] AS f
+    FROM (SELECT DISTINCT conv_id FROM turns)
+    UNION ALL
+    SELECT conv_id, nth, [
+        list_sort([g[1], {'c': 5 + h[3].c, 'a': 'I' || h[3].a, 'l': list_prepend('user:', h[3].l)}])[1],
+        list_sort([g[2], {'c': 5 + h[3].c, 'a': 'I' || h[3].a, 'l': list_prepend('user:', h[3].l)}])[1], h[3], h[4]]
+    FROM (
+        SELECT *, [g[1], g[2], list_sort([g[3], {'c': 5 + g[4].c, 'a': 'I' || g[4].a, 'l': list_prepend('assistant:', g[4].l)}])[1],
+            list_sort([g[4], {'c': 5 + g[3].c, 'a': 'I' || g[3].a, 'l': list_prepend('user:', g[3].l)}])[1]] AS h
+        FROM (
+            SELECT conv_id, nth, list_transform([1, 2, 3, 4], lambda s: list_sort(list_filter([
+                {'c': 2 + f[s].c, 'a': 'D' || f[s].a, 'l': f[s].l},
+                CASE WHEN fault IN ('none', 'truncated') THEN {'c': 1 + e + f[CASE WHEN s = 3 THEN 4 ELSE 3 END].c,
+                    'a': 'R' || f[CASE WHEN s = 3 THEN 4 ELSE 3 END].a,
+                    'l': list_prepend(CASE WHEN s = 3 THEN 'assistant:' ELSE 'user:' END || text, f[CASE WHEN s = 3 THEN 4 ELSE 3 END].l)} END,
+                CASE WHEN fault IN ('none', 'truncated') AND initial = CASE WHEN s = 3 THEN 'a' ELSE 'u' END
+                    THEN {'c': e + f[CASE WHEN s = 3 THEN 4 ELSE 3 END].c, 'a': 'K' || f[CASE WHEN s = 3 THEN 4 ELSE 3 END].a,
+                    'l': list_prepend(role || ':' || text, f[CASE WHEN s = 3 THEN 4 ELSE 3 END].l)} END,
+                CASE WHEN fault IN ('none', 'truncated') AND initial = 's' AND s = 1
+                    THEN {'c': e + f[2].c, 'a': 'K' || f[2].a, 'l': list_prepend(role || ':' || text, f[2].l)} END
+            ], lambda o: o IS NOT NULL))[1]) AS g
+            FROM (
+                SELECT b.conv_id, t.nth, b.f, t.fault, t.role, t.text, t.initial, CASE WHEN t.fault = 'truncated' THEN 5 ELSE 0 END AS e
+                FROM best b JOIN turns t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND t.nth = b.nth + 1)))
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(nth) AS n
+    FROM turns GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+    coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(b.f[1].c, 0)::BIGINT AS cost,
+    coalesce(b.f[1].a, '') AS audit, sha256(coalesce(array_to_string(b.f[1].l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.nth = c.n
+"""

@@ -95,4 +95,5 @@ SQL: dict[str, str] = {
     "op5_exact_dedup": oracle.OP5,
     "op9_mixing": oracle.OP9,
     "op12_ranked_search": oracle.OP12,
+    "op13_chat_repair": oracle.OP13,
 }
