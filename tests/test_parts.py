@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidemark.operators import ingest
 from tidemark.plans import gold, silver
+from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import PRICES, bronze_schema
 from tidemark.session import list_folders
-from tidemark.streaming import incremental, newest
+from tidemark.streaming import incremental, newest, sinks
 from tidemark.streaming.incremental import merges, tier
 from test_tables import prices
 
@@ -66,6 +67,29 @@ def test_state_is_the_same_at_every_level(spark, folder):
     assert len(list_folders(spark, f"{folder}/state/batch_id=merged-*")) >= 1
 
 
+def test_models_that_begin_after_a_compaction(spark, folder):
+    """Bronze is compacted and cleaned before any model stream has run; more rows come, and more of that."""
+    lake, live = (Warehouse(spark, f"{folder}/lake", datetime(2024, 1, 9), incremental=i) for i in (False, True))
+    path = lake.bronze_path(PRICES)
+    for round_ in range(2):
+        for n in range(round_ * 3, round_ * 3 + 3):
+            sinks.bronze_sink(prices(spark, n * 10, n * 10 + 12, date(2024, 1, 2 + n)), path, PRICES, n)
+        for _ in range(3):
+            lake.tidy(most_files=1)
+        if round_ == 0:
+            assert list_folders(spark, f"{path}/*/*.parquet") == []
+        for query in live.start_models(available_now=True):
+            query.awaitTermination()
+        assert rows(live.silver(PRICES)) == rows(lake.silver(PRICES)) and live.silver(PRICES).count() == 5
+        assert rows(live.dim_asset().drop("updated_at")) == rows(lake.dim_asset().drop("updated_at"))
+        facts = lake.facts(PRICES).drop("loaded_at")
+        assert rows(live.facts(PRICES).drop("loaded_at")) == rows(facts)
+        counts = {r.table_name: r["rows"] for r in live.row_counts().collect()}
+        assert counts == {"bronze.market_prices": 36 * (round_ + 1) + 2 * round_, "gold.fct_market_prices": facts.count(), "bronze.market_caps": 0, "gold.fct_market_caps": 0}
+        # the streams read what came before it was compacted, so the next files stay until then
+        sinks.bronze_sink(prices(spark, 900, 902, date(2024, 1, 8)), path, PRICES, "again")
+
+
 # --- counts -----------------------------------------------------------------
 
 

@@ -195,6 +195,20 @@ def test_only_chosen_days_are_rewritten_and_sorted(spark, folder):
     assert landing.bronze_scan(spark, path, PRICES).count() == 120
 
 
+def test_a_large_sorted_day_is_left_alone(spark, folder):
+    path = f"{folder}/bronze"
+    add = lambda n, start, stop: sinks.bronze_sink(prices(spark, start, stop), path, PRICES, n)
+    add(0, 0, 100)
+    assert tables.compact_days(spark, path, PRICES, bronze_schema(PRICES)) == 3
+    add(1, 100, 110)
+    assert tables.compact_days(spark, path, PRICES, bronze_schema(PRICES)) == 3  # the new files only
+    add(2, 110, 140)
+    assert tables.compact_days(spark, path, PRICES, bronze_schema(PRICES), most_files=3) == 0
+    add(3, 140, 170)
+    replaced = tables.compact_days(spark, path, PRICES, bronze_schema(PRICES), most_files=3)
+    assert replaced > 6 and lsns(spark, path) == list(range(170))
+
+
 def test_a_rewrite_that_died_is_finished(spark, folder, monkeypatch):
     path = f"{folder}/bronze"
     for n in range(2):

@@ -40,22 +40,31 @@ class Warehouse:
         return f"{self.root}/checkpoints/models/{table}"
 
     def start_models(self, available_now: bool = False, files_per_batch: int | None = None) -> list[StreamingQuery]:
-        """Keep silver state, facts and the dimension up to date from bronze as it is written."""
-        started, check = [], self.checkpoint
+        """Keep silver state, facts and the dimension up to date from bronze as it is written.
+
+        A model that begins late takes in first what has been rewritten beside bronze's folder.
+        """
         limit = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
-        for name, feed in FEEDS.items():
-            # a stream over a folder needs it to be there
-            Files(self.spark).make_folder(self.bronze_path(feed))
-            rows = lambda f=feed: self.spark.readStream.schema(bronze_schema(f)).options(**limit).parquet(self.bronze_path(f))
-            state, facts = f"state_{name}", f"fct_{name}"
-            payload = silver.state_payload(feed)
-            job = lambda table: {"available_now": available_now, "name": f"model-{table}"}
-            started.append(incremental.latest_state_stream(rows(), payload, self.model(state), check(state), **job(state)))
-            started.append(incremental.fact_stream(rows(), feed, self.model(facts), check(facts), **job(facts)))
-            if feed is PRICES:
-                started.append(incremental.dim_asset_stream(rows(), self.model("dim_asset"), check("dim_asset"), **job("dim_asset")))
+        started, files = [], Files(self.spark)
+        for table, model in self.models().items():
+            feed, bronze = model.feed, self.bronze_path(model.feed)
+            files.make_folder(bronze)  # a stream over a folder needs it to be there
+            if tables.Log(self.spark, bronze).exists() and not files.exists(self.checkpoint(table)):
+                moved = lambda entries: entries.where("rewritten")
+                if not moved(tables.entries(self.spark, bronze)).isEmpty():
+                    model.begin(tables.read(self.spark, bronze, feed, bronze_schema(feed), moved), self.model(table))
+            rows = self.spark.readStream.schema(bronze_schema(feed)).options(**limit).parquet(bronze)
+            started.append(model.stream(rows, self.model(table), self.checkpoint(table), available_now, f"model-{table}"))
         return started
 
+    def models(self) -> dict[str, incremental.Model]:
+        """The tables kept up to date by streams."""
+        found = {"dim_asset": incremental.dim_asset_model()}
+        for name, feed in FEEDS.items():
+            found[f"state_{name}"] = incremental.state_model(feed)
+            found[f"fct_{name}"] = incremental.fact_model(feed, self.model(f"fct_{name}"))
+        return found
+
     def compact_models(self, **limits: int) -> int:
         """Merge the model tables' partial results; run it on a schedule beside the streams.
 
@@ -111,9 +120,9 @@ class Warehouse:
         return tables.compact_days(self.spark, path, feed, bronze_schema(feed), most_files)
 
     def followers(self, feed: Feed) -> list[str]:
-        """Checkpoints of the model streams that read a feed's bronze files, once they run."""
-        names = [f"state_{feed.name}", f"fct_{feed.name}", *(["dim_asset"] if feed is PRICES else [])]
-        return [self.checkpoint(n) for n in names] if Files(self.spark).exists(self.checkpoint("")) else []
+        """Checkpoints of the model streams that read a feed's bronze files, those that have begun."""
+        mine = [self.checkpoint(table) for table, model in self.models().items() if model.feed is feed]
+        return [path for path in mine if Files(self.spark).exists(path)]
 
     def tidy(self, most_files: int = 16) -> None:
         """What a maintenance job does now and then: compact, roll the logs, delete what nothing needs any more."""

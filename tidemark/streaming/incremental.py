@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,28 @@ def append_parts(
     return writer.trigger(**trigger).start()
 
 
+@dataclass(frozen=True)
+class Model:
+    """What each batch of bronze contributes to a table, and what is done once that is written."""
+
+    feed: Feed
+    part: Callable[[DataFrame], DataFrame]
+    partition_by: tuple[str, ...] = ()
+    after: Callable[[SparkSession, str], None] | None = None
+
+    def stream(self, bronze: DataFrame, path: str, checkpoint: str, available_now: bool = False, name: str | None = None) -> StreamingQuery:
+        return append_parts(bronze, self.part, path, checkpoint, self.partition_by, available_now, self.after, name)
+
+    def begin(self, bronze: DataFrame, path: str) -> None:
+        """Bring in what a stream over bronze's own folder will not find there: rows rewritten beside it."""
+        write_batch(self.part(bronze), path, BEGINNING, self.partition_by)
+        if self.after:
+            self.after(bronze.sparkSession, BEGINNING)
+
+
+BEGINNING = "beginning"
+
+
 def latest_state_stream(
     events: DataFrame,
     payload: Sequence[str],
@@ -60,17 +83,20 @@ def latest_state_stream(
     keys: Sequence[str] = STATE_KEYS,
     version: Sequence[str] = STATE_VERSION,
     available_now: bool = False,
-    name: str | None = None,
 ) -> StreamingQuery:
     """Keep each micro-batch's newest event per key as partial state."""
     part = lambda batch: partial_state(batch, payload, keys, version)
-    return append_parts(events, part, path, checkpoint, available_now=available_now, name=name)
+    return append_parts(events, part, path, checkpoint, available_now=available_now)
 
 
-def fact_stream(
-    bronze: DataFrame, feed: Feed, path: str, checkpoint: str, available_now: bool = False, name: str | None = None
-) -> StreamingQuery:
-    """Keep each micro-batch's facts, by event month, and their newest event."""
+def state_model(feed: Feed) -> Model:
+    """Each batch's newest event per asset."""
+    payload = silver.state_payload(feed)
+    return Model(feed, lambda batch: partial_state(batch, payload, STATE_KEYS, STATE_VERSION))
+
+
+def fact_model(feed: Feed, path: str) -> Model:
+    """Each batch's facts, by event month, their newest event and how many keys they add."""
 
     def part(batch: DataFrame) -> DataFrame:
         facts = replacing_dedup(gold.fact_rows(batch, feed), gold.FACT_KEY, "lsn")
@@ -80,7 +106,20 @@ def fact_stream(
         own = list_folders(spark, f"{path}/event_month=*/batch_id={batch}")
         newest.note(spark, path, batch, own, new_keys(spark, path, feed, own))
 
-    return append_parts(bronze, part, path, checkpoint, ["event_month"], available_now, note, name)
+    return Model(feed, part, ("event_month",), note)
+
+
+def dim_asset_model() -> Model:
+    """Each batch's newest attributes per asset."""
+    return Model(PRICES, lambda batch: replacing_dedup(gold.dim_asset_rows(batch), gold.DIM_KEY, "last_lsn"))
+
+
+def fact_stream(bronze: DataFrame, feed: Feed, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    return fact_model(feed, path).stream(bronze, path, checkpoint, available_now)
+
+
+def dim_asset_stream(prices: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    return dim_asset_model().stream(prices, path, checkpoint, available_now)
 
 
 def new_keys(spark: SparkSession, path: str, feed: Feed, own: Sequence[str]) -> int:
@@ -101,30 +140,22 @@ def new_keys(spark: SparkSession, path: str, feed: Feed, own: Sequence[str]) ->
     return batch.join(known, list(gold.FACT_KEY), "left_anti").count()
 
 
+def _parts(spark: SparkSession, path: str, shape: T.StructType) -> DataFrame:
+    """Partial results of all batches. None yet is no rows."""
+    if not Files(spark).exists(path):
+        return spark.createDataFrame([], shape)
+    return spark.read.schema(shape).parquet(path).select(*shape.names)
+
+
 def read_facts(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """The fact table: the highest version over all batches."""
     shape = gold.fact_rows(spark.createDataFrame([], bronze_schema(feed)), feed).schema
-    return gold.fact_table(spark.read.schema(shape).parquet(path).select(*shape.names))
-
-
-def dim_asset_stream(
-    prices: DataFrame, path: str, checkpoint: str, available_now: bool = False, name: str | None = None
-) -> StreamingQuery:
-    """Keep each micro-batch's newest attributes per asset."""
-    return append_parts(
-        prices,
-        lambda batch: replacing_dedup(gold.dim_asset_rows(batch), gold.DIM_KEY, "last_lsn"),
-        path,
-        checkpoint,
-        available_now=available_now,
-        name=name,
-    )
+    return gold.fact_table(_parts(spark, path, shape))
 
 
 def read_dim_asset(spark: SparkSession, path: str) -> DataFrame:
     shape = gold.dim_asset_rows(spark.createDataFrame([], bronze_schema(PRICES))).schema
-    parts = spark.read.schema(shape).parquet(path).select(*shape.names)
-    return replacing_dedup(parts, gold.DIM_KEY, "last_lsn")
+    return replacing_dedup(_parts(spark, path, shape), gold.DIM_KEY, "last_lsn")
 
 
 def read_state(
@@ -135,8 +166,7 @@ def read_state(
     version: Sequence[str] = STATE_VERSION,
 ) -> DataFrame:
     """The merged state, one row per key, deletes included."""
-    parts = spark.read.schema(schema).parquet(path)
-    return state_merge(parts.select(*schema.names), keys=keys, version=version)
+    return state_merge(_parts(spark, path, schema), keys=keys, version=version)
 
 
 def compact_state(

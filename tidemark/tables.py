@@ -49,6 +49,8 @@ ENTRY = f"""
     min_lsn bigint, max_lsn bigint, newest_ms bigint, checksum {CHECKSUM}
 """
 ADD, REMOVE = "add", "remove"
+# Sorted rows are sorted again with new ones up to so many times their number.
+AGAIN = 4
 SORTED = ".sorted"
 
 
@@ -192,18 +194,25 @@ def _removals(chosen: DataFrame, name: str) -> list[dict]:
 def compact_days(
     spark: SparkSession, path: str, feed: Feed, schema, most_files: int = 1, chosen: Callable[[DataFrame], DataFrame] = lambda e: e
 ) -> int:
-    """Rewrite days that are spread over more than ``most_files`` files, sorted by (asset, version).
+    """Rewrite days with more than ``most_files`` files of batches, sorted by (asset, version).
 
-    ``chosen`` may limit the entries further. Returns the number of files replaced. Files
-    that arrive meanwhile are left for the next call.
+    What a day has sorted before is taken in again only if it holds no more than ``AGAIN``
+    times the rows that came since, so a row is rewritten a number of times that grows with
+    the logarithm of its day. ``chosen`` may limit the entries further. Returns the number of
+    files replaced. Files that arrive meanwhile are left for the next call.
     """
     log = Log(spark, path)
     live = chosen(entries(spark, path))
-    spread = live.groupBy(DAY).agg(F.countDistinct("file", "rewritten").alias("files")).where(F.col("files") > most_files)
-    days = [r[0] for r in spread.select(DAY).collect()]
-    if not days:
+    fresh = ~F.col("rewritten")
+    days = live.groupBy(DAY).agg(
+        F.countDistinct(F.when(fresh, F.col("file"))).alias("files"),
+        F.sum(F.when(fresh, F.col("rows")).otherwise(0)).alias("new_rows"),
+        F.sum(F.when(fresh, 0).otherwise(F.col("rows"))).alias("sorted_rows"),
+    )
+    due = days.where(F.col("files") > most_files).select(DAY, (F.col("sorted_rows") <= AGAIN * F.col("new_rows")).alias("again"))
+    taken = live.join(F.broadcast(due), DAY).where(fresh | F.col("again")).drop("again")  # a row a day
+    if taken.isEmpty():
         return 0
-    taken = live.where(F.col(DAY).isin(days))
     name = f"sorted-{uuid.uuid4().hex}"
     removals = _removals(taken, name)
     listed = spark.createDataFrame([(r["file"], r["rewritten"]) for r in removals], "file string, rewritten boolean")
