@@ -54,9 +54,10 @@ def test_batches_add_what_the_tables_lack(spark, folder):
 
 def test_the_job_end_to_end(spark, folder):
     """Files through the command line, twice, and the table as a snapshot of the feed."""
-    for n, body in enumerate(PAGES):
-        spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(f"{folder}/in/{n}")
-        app.main(["--pages", "--root", f"{folder}/lake", "--location", f"{folder}/in/*", "--available-now", "--max-per-batch", "2"])
+    for n, bodies in enumerate((PAGES[:2], PAGES[2:])):
+        for k, body in enumerate(bodies):
+            spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(f"{folder}/in/{n}-{k}")
+        app.main(["--pages", "--root", f"{folder}/lake", "--location", f"{folder}/in/*", "--available-now", "--max-per-batch", "10"])
     lake = Warehouse(spark, f"{folder}/lake")
     assert keys(lake.source_table(PRICES)) == keys(lake.source_table(CAPS)) == [("a1", 1), ("a1", 2), ("a2", 1), ("a5", 1)]
     assert len(list_folders(spark, f"{folder}/lake/source/market_prices/event_day=*")) == 2
