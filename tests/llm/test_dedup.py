@@ -57,6 +57,19 @@ def test_repeated_and_null_ids(spark):
     assert rows(exact_dedup.keep_one(docs)) == rows(spark.createDataFrame([(5, "x"), (None, "y"), (-(2**63), "z")], docs.schema))
 
 
+def test_kept_rows_whatever_the_ids_and_names(spark):
+    shape = "doc_id long, text string, __length long, row string, kept_id long, own_text string, `a.b` long"
+    data = [(1, "x y", 99, "r", 5, "o", 1), (1, "xy ", 98, "r", 5, "o", 2), (2, "xy", 97, "r", 5, "o", 3), (None, "z", 1, "r", 5, "o", 4),
+            (None, "z  ", 2, "r", 5, "o", 5), (3, "w", 3, "r", 5, "o", 6), (3, "v", 4, "r", 5, "o", 7), (4, None, 5, "r", 5, "o", 8)]
+    docs = spark.createDataFrame(data, shape).repartition(3)
+    got = exact_dedup.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = sorted(r["a.b"] for r in got.collect())
+    assert kept in ([1, 5, 6, 7, 8], [2, 5, 6, 7, 8])
+    assert {tuple(r) for r in got.collect()} <= {*data}
+    assert kept == sorted(r["a.b"] for r in exact_dedup.keep_one(docs.repartition(2)).collect())
+
+
 def test_the_plan_has_no_python(spark):
     plan = exact_dedup.members(table(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -218,3 +218,29 @@ def test_one_source_takes_all(spark):
     docs = spark.createDataFrame([(n, "a b", "s") for n in range(10)], "doc_id long, text string, source string")
     got = mixing.mix(docs).collect()
     assert {r.target for r in got} == {30.0} and sum(r.taken for r in got) == 30
+
+
+@pytest.mark.parametrize("ids", [lambda n: None, lambda n: 7, lambda n: n % 3 or None])
+def test_targets_are_met_whatever_the_ids(spark, ids):
+    """Rows without id, with one id, and rows that repeat in all columns."""
+    data = [(ids(n), "one two three four five" if n % 2 else f"text {n} of five words", "a" if n % 4 else "b", n % 5) for n in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, __words long").repartition(3)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(data)
+    assert sorted((r.source, r.taken) for r in got) == sorted((r.source, r.taken) for r in mixing.mix(docs.repartition(5)).collect())
+    for source in "ab":
+        rows = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in rows) - rows[0].target) <= 2.5 and max(r.copies for r in rows) <= 2
+    left = mixing.mixed(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(map(tuple, mixing.mixed(docs.repartition(5)).collect()), key=str)
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in "ab"}
+    assert {r.source: r["n"] for r in left.groupBy("source").agg((5 * F.count("*")).alias("n")).collect()} == taken
+
+
+def test_alike_rows_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS", 7)
+    docs = spark.createDataFrame([(1, "a b", "s", n) for n in range(31)], "doc_id long, text string, source string, n long")
+    got = mixing.mix(docs, share_percent=120).collect()
+    assert sorted(r.copies for r in got) == [1] * 25 + [2] * 6  # 74.4 words: 37 rows of 2
+    assert mixing.mixed(docs, share_percent=120).count() == 37

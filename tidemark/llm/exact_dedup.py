@@ -103,11 +103,26 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of rows that repeat id and text, one."""
-    kept = members(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__digest"))
-    marked = docs.withColumns({"__digest_of": sha256_of(normalised(F.col(text_col))), "__length": F.length(F.coalesce(F.col(text_col), F.lit("")))})
-    same = marked[id_col].eqNullSafe(kept["__id"]) & (marked["__digest_of"] == kept["__digest"])
-    found = marked.join(kept, same, "left_semi")
-    order = Window.partitionBy(F.col(id_col), "__digest_of").orderBy(F.col("__length").desc(), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    first = found.withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
-    return first.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows that stay, with all their columns; of rows that repeat id and text, one.
+
+    Rows with an id of their own are found by it. Only rows without id, and those whose
+    id stands more than once, are hashed again and told apart by text and length.
+    """
+    kept = members(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id"), F.col("text_sha256").alias("kept_digest"))
+    kept = stage(kept, "kept")
+    used = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("kept_id")).agg(F.count("*").alias("n"))
+    several = stage(used.where("n > 1").select("kept_id"), "several")
+    # The input row is one column, so that no name of its columns matters.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("own_id"), F.col(text_col).alias("own_text"))
+    own = F.col("own_id") == F.col("kept_id")
+    alone = kept.where("kept_id IS NOT NULL").join(several, "kept_id", "left_anti").select("kept_id")
+    single = rows.join(alone, own, "left_semi").select("row")
+
+    repeated = rows.where("own_id IS NULL").unionByName(rows.join(several, own, "left_semi"))
+    digest = sha256_of(normalised(F.col("own_text")))
+    order = F.struct((-F.length(F.coalesce(F.col("own_text"), F.lit("")))).alias("less"), F.xxhash64("row").alias("hash"))
+    hashed = repeated.select("row", F.col("own_id"), digest.alias("digest"), order.alias("order"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    wanted = hashed.join(kept, same, "left_semi")
+    one = wanted.groupBy("own_id", "digest").agg(F.min_by("row", "order").alias("row"))
+    return single.unionByName(one.select("row")).select("row.*")

@@ -7,13 +7,17 @@ up one small row per source; only two sums come to the driver.
 
 A source's target is met by whole repetitions of all its documents and a
 fractional one: documents in a seeded order, up to the point nearest the target.
-The order is a hash of seed and id in 4,096 bins; each bin is summed by itself and
-bins are added up over (source, bin) rows, so a hot source is never in one task.
+The order is a hash of seed, id and text in 4,096 bins; each bin is summed by itself
+and bins are added up over (source, bin) rows, so a hot source is never in one task.
+Rows alike in id, text and source are counted before anything is moved, and stand in
+the order as one row with a count, so a row that repeats a million times is one too.
 
 Defined results: a null text has size 0; a null source is a source of its own,
-last in order; a null id hashes as the empty string; rows that repeat id, source
-and size are taken alike; documents without words are not taken; an empty table gives none;
-other columns, whatever their names, are carried through by ``mixed`` only.
+last in order; a null id hashes as the empty string; of rows alike in id, text and
+source as many are taken as come before the target, the same ones in each run, for
+``mixed`` by a hash of all columns; documents without words are not taken; an empty
+table gives none; other columns, whatever their names, are carried through by
+``mixed`` only.
 """
 
 from __future__ import annotations
@@ -28,25 +32,27 @@ from tidemark.session import stage
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 4096
 KEY_DIGITS = 15  # hexadecimal digits of the seeded key, 60 bits
+ROWS = 4096  # alike rows are written out in runs of so many
 
 
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded_key(seed: int, id_col: str) -> Column:
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, KEY_DIGITS), 16, 10).cast("long")
+def seeded_key(seed: int, doc_id: Column, text: Column) -> Column:
+    """A number of 60 bits that orders documents; the text's part tells rows of one id or of none apart."""
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(name), 1, KEY_DIGITS), 16, 10).cast("long")
 
 
-def source_targets(sized: DataFrame, weights: Sequence[int], share_percent: int, max_epochs: int) -> DataFrame:
-    """One row per source: source, source_size, weight and target.
+def source_targets(groups: DataFrame, weights: Sequence[int], share_percent: int, max_epochs: int) -> DataFrame:
+    """One row per source: source, source_size, weight and target. ``groups``: source, size and the number n of such rows.
 
     Sources are numbered by code point over ranges, so that many sources are no bottleneck either.
     """
-    spark = sized.sparkSession
+    spark = groups.sparkSession
     ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     ordered = totals.repartitionByRange(ranges, F.asc_nulls_last("source")).withColumn("range", F.spark_partition_id())
     ordered = stage(ordered, "mix-sources")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,6 +88,41 @@ def source_targets(sized: DataFrame, weights: Sequence[int], share_percent: int,
     return sources.withColumn("target", F.when(capped, cap).otherwise(part))
 
 
+def taken_rows(docs: DataFrame, weights: Sequence[int], share_percent: int, max_epochs: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """One row per group of rows alike in id, text and source.
+
+    Columns: source, bin, key, id, size, n (rows), source_size, target, epochs (copies that every row
+    gets) and extra (how many of the n rows get one more).
+    """
+    narrow = docs.select(
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        words(F.col(text_col)).alias("size"),
+        seeded_key(seed, F.col(id_col), F.col(text_col)).alias("key"),
+    )
+    binned = narrow.withColumn("bin", F.shiftright("key", 4 * KEY_DIGITS - (BINS.bit_length() - 1)).cast("int"))
+    groups = stage(binned.groupBy("source", "bin", "key", "id", "size").agg(F.count("*").alias("n")), "mix-groups")
+    targets = source_targets(groups, weights, share_percent, max_epochs)
+    bins = groups.groupBy("source", "bin").agg(F.sum(F.col("size") * F.col("n")).alias("bin_size"))
+    earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("before_bin", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0)))
+    bins = bins.join(targets.withColumnRenamed("source", "s"), bins["source"].eqNullSafe(F.col("s"))).drop("s", "bin_size", "weight")
+
+    placed = groups.alias("d").join(
+        bins.alias("b"), F.expr("d.source <=> b.source AND d.bin = b.bin")
+    ).select("d.*", "b.before_bin", "b.source_size", "b.target")
+    upto = Window.partitionBy("source", "bin").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("before_bin") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    placed = placed.withColumns({"before": before, "epochs": F.when(F.col("size") > 0, F.least(epochs, F.lit(max_epochs))).otherwise(0)})
+    # A row belongs to the fractional repetition if its middle word does.
+    rest = F.col("target") - F.col("epochs") * F.col("source_size")
+    room = 2 * rest - (2 * F.col("before") + F.col("size")).cast("double")
+    extra = F.floor(room / (2 * F.greatest("size", F.lit(1)))).cast("long") + 1
+    extra = F.when((F.col("size") > 0) & (F.col("epochs") < max_epochs), F.greatest(F.lit(0), F.least("n", extra))).otherwise(0)
+    return placed.withColumn("extra", extra.cast("long")).drop("before_bin", "before")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[int] = (3, 1, 2),
@@ -96,39 +137,51 @@ def mix(
 
     The i-th source in code-point order weighs ``weights[i % len(weights)]``.
     """
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
-    sized = stage(narrow.withColumn("key", seeded_key(seed, "id")), "mix-sizes")
-    sized = sized.withColumn("bin", F.shiftright("key", 4 * KEY_DIGITS - (BINS.bit_length() - 1)).cast("int"))
-    targets = source_targets(sized, weights, share_percent, max_epochs)
-    bins = sized.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
-    earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("before_bin", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0)))
-    bins = bins.join(targets.withColumnRenamed("source", "s"), bins["source"].eqNullSafe(F.col("s"))).drop("s", "bin_size", "weight")
-
-    placed = sized.alias("d").join(
-        bins.alias("b"), F.expr("d.source <=> b.source AND d.bin = b.bin")
-    ).select("d.*", "b.before_bin", "b.source_size", "b.target")
-    upto = Window.partitionBy("source", "bin").orderBy("key", "id", "size").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    alike = Window.partitionBy("source", "bin", "key", "id", "size")
-    before = F.col("before_bin") + F.sum("size").over(upto) - F.sum("size").over(alike)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    epochs = F.least(epochs, F.lit(max_epochs))
-    rest = F.col("target") - epochs * F.col("source_size")
-    # A document belongs to the fractional repetition if its middle word does.
-    extra = ((2 * before + F.sum("size").over(alike)).cast("double") <= 2 * rest)
-    copies = epochs + F.when(extra, 1).otherwise(0)
-    done = placed.withColumn("copies", F.when(F.col("size") > 0, F.least(copies, F.lit(max_epochs))).otherwise(0))
-    return done.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    groups = taken_rows(docs, weights, share_percent, max_epochs, seed, id_col, text_col, source_col)
+    parts = F.array(
+        F.struct((F.col("epochs") + 1).alias("copies"), F.col("extra").alias("rows")),
+        F.struct(F.col("epochs").alias("copies"), (F.col("n") - F.col("extra")).alias("rows")),
+    )
+    parts = groups.withColumn("part", F.explode(F.filter(parts, lambda p: p["rows"] > 0)))
+    # Alike rows stand again as often as they did, by runs, so that no array grows with their number.
+    runs = parts.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("part.rows") - 1, F.lit(ROWS).cast("long"))))
+    length = F.least(F.lit(ROWS).cast("long"), F.col("part.rows") - F.col("run")).cast("int")
+    rows = runs.withColumn("nth", F.explode(F.array_repeat(F.lit(True), length)))
+    copies = F.col("part.copies")
+    return rows.select(
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[int] = (3, 1, 2),
+    share_percent: int = 150,
+    max_epochs: int = 2,
+    seed: int = 17,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
     """The documents of the mix, each row as often as it is taken, with all its columns."""
-    plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    plan = plan.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
-    taken = plan.where("__copies > 0").distinct()
-    sized = docs.withColumn("__words", words(F.col(text_col)))
-    same = sized[id_col].eqNullSafe(taken["__id"]) & sized[source_col].eqNullSafe(taken["__source"]) & (sized["__words"] == taken["__size"])
-    repeated = sized.join(taken, same).withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*[docs[f"`{c}`"] for c in docs.columns])
+    groups = taken_rows(docs, weights, share_percent, max_epochs, seed, id_col, text_col, source_col)
+    groups = stage(groups.where("epochs + extra > 0").select("source", "key", "id", "n", "epochs", "extra"), "mix-taken")
+    # The input row is one column, so that no name of its columns matters.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).alias("own_id"),
+        F.col(source_col).alias("own_source"),
+        seeded_key(seed, F.col(id_col), F.col(text_col)).alias("own_key"),
+    )
+    same = (F.col("own_key") == F.col("key")) & F.col("own_id").eqNullSafe(F.col("id")) & F.col("own_source").eqNullSafe(F.col("source"))
+    alike = groups.where("extra = 0 OR extra = n")
+    copies = F.col("epochs") + F.when(F.col("extra") > 0, 1).otherwise(0)
+    taken = rows.join(alike, same).select("row", copies.alias("copies"))
+    # At most one group of a source is taken in part: the one its target falls into.
+    cut = groups.where("extra > 0 AND extra < n")
+    if not cut.isEmpty():
+        order = Window.partitionBy("source", "key", "id").orderBy("hash")
+        parted = rows.join(cut, same).withColumn("hash", F.xxhash64("row")).withColumn("nth", F.row_number().over(order))
+        copies = F.col("epochs") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)
+        taken = taken.unionByName(parted.select("row", copies.alias("copies")).where("copies > 0"))
+    return taken.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

@@ -15,7 +15,7 @@ SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(norm) AS text_sha256
 OP9 = r"""
 WITH d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-        ('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS key
+        ('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS key
     FROM documents
 ), s AS (
     SELECT source, sum(size)::BIGINT AS source_size,
@@ -38,7 +38,7 @@ WITH d AS (
 ), p AS (
     SELECT d.*, source_size, target,
         CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END AS epochs,
-        sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size) - size AS before
+        sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size::BIGINT AS size, source_size, target,
