@@ -169,10 +169,24 @@ def test_bounds_spare_scores():
         assert scored < 3000
 
 
-def test_large_components_are_refused(spark):
-    frame = spark.createDataFrame([(0, [1e9]), (50, [1.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="magnitude"):
-        metric_search.top_k(frame, F.col("vec_id") % 50 == 0).collect()
+@pytest.mark.parametrize("tree,chunk", [(4096, 2048), (20, 2)])
+def test_large_components_are_exact(spark, monkeypatch, tree, chunk):
+    monkeypatch.setattr(metric_search, "TREE", tree)
+    monkeypatch.setattr(metric_search, "CHUNK", chunk)
+    draw = np.random.default_rng(5)
+    data = [(n, [float(x) for x in draw.normal(size=4) * 10.0 ** draw.integers(-1, 9)]) for n in range(300)]
+    data += [(300, [70000.0, 0.0, 1.0]), (301, [1e15, 3.0]), (302, [-1e15, 0.25]), (350, [0.0, 0.0, 1.0]), (400, [1e30])]
+    whole = {n: [int(np.floor(256 * x)) for x in v] for n, v in data}
+    held = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+    want = {}
+    for q in (n for n in whole if n % 50 == 0):
+        scores = sorted((-held(sum(a * b for a, b in zip(whole[q], whole[n]))), n) for n in whole if n != q)
+        want[q] = [(n, -s) for s, n in scores[:5]]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in metric_search.top_k(frame, F.col("vec_id") % 50 == 0, k=5).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == want
 
 
 # --- mixing -------------------------------------------------------------------

@@ -17,7 +17,7 @@ skip, with room for rounding.
 
 Queries first search the trees of their own pivot, then those of other pivots
 that the bound found there cannot exclude. One task searches one tree for one
-chunk of queries.
+chunk of queries; a tree is copied only as often as its own queries fill chunks.
 
 Equal vectors stand once in a tree, with their ``k + repeats`` smallest ids: no
 query's result can hold more of them. Equal queries are searched once.
@@ -28,7 +28,8 @@ of equal scores the smaller id comes first, a null id last; a row is not a
 candidate of queries with its own id; rows that repeat an id and vector count
 once; queries with fewer candidates give fewer rows; an empty table gives none;
 other columns, whatever their names, are not read. Components beyond 2^24 in
-magnitude raise an error, since scores would leave 64 bits.
+magnitude are computed in Python's whole numbers; a score beyond 64 bits, which the
+result's type can't hold, stands as the nearest that it can.
 """
 
 from __future__ import annotations
@@ -48,12 +49,14 @@ TREE = 4096  # points of one tree, about
 MOST_PIVOTS = 1024
 LEAF, FANOUT = 128, 16
 CHUNK = 2048  # queries that one task searches a tree for, about
-LARGEST = 1 << 24
+LARGEST = 1 << 24  # up to here, scores of vectors of 32,768 components fit 64 bits
+WIDE = b"w"  # before vectors with a larger component, kept as doubles, which hold the floor of a double exactly
+LEAST, MOST = -(2**63), 2**63 - 1
 NO_ID = 2**63 - 1  # stands for a null id, after all others
 
 
 def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """id and vector as the bytes of 32-bit numbers floor(scale * x); vectors that take no part are left out."""
+    """id and vector as the bytes of whole numbers floor(scale * x); vectors that take no part are left out."""
     value = F.col(vector_col)
     bad = F.exists(value, lambda x: x.isNull() | F.isnan(x) | F.abs(x.cast("double")).isin(float("inf")))
     rows = vectors.where(value.isNotNull() & ~F.coalesce(bad, F.lit(True)))
@@ -65,29 +68,43 @@ def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int)
         for batch in batches:
             packed = []
             for v in batch.column(1):
-                whole = np.floor(scale * np.asarray(v.as_py(), np.float64))
+                whole = np.trim_zeros(np.floor(scale * np.asarray(v.as_py(), np.float64)), "b")  # trailing zeros change no score
                 if len(whole) and np.abs(whole).max() > LARGEST:
-                    raise ValueError(f"a component is beyond {LARGEST} in magnitude")
-                whole = np.trim_zeros(whole.astype("<i4"), "b")  # trailing zeros change no score
-                packed.append(whole.tobytes())
+                    packed.append(WIDE + (whole + 0.0).astype("<f8").tobytes())
+                else:
+                    packed.append(whole.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "vector"])
 
     return rows.mapInArrow(run, "id long, vector binary")
 
 
+def unpacked(vector: bytes) -> np.ndarray:
+    return np.frombuffer(vector, "<f8", offset=1) if vector.startswith(WIDE) and len(vector) % 4 == 1 else np.frombuffer(vector, "<i4")
+
+
 def matrix(vectors, dims: int) -> np.ndarray:
-    """Vectors as rows of one array, padded by zeros."""
-    out = np.zeros((len(vectors), dims), np.int64)
-    for k, v in enumerate(vectors):
-        row = np.frombuffer(v, "<i4")
-        out[k, : len(row)] = row
+    """Vectors as rows of one array, padded by zeros: 64-bit numbers, or Python's where a component is large."""
+    rows = [unpacked(v) for v in vectors]
+    wide = any(row.dtype.kind == "f" for row in rows)
+    out = np.zeros((len(rows), dims), object if wide else np.int64)
+    for k, row in enumerate(rows):
+        out[k, : len(row)] = [int(x) for x in row] if wide else row
     return out
 
 
+def inner_products(whole: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact scores, held within 64 bits."""
+    if whole.dtype != object and query.dtype != object:
+        return whole @ query
+    scores = whole.astype(object) @ query.astype(object)
+    return np.array([min(max(int(s), LEAST), MOST) for s in scores], np.int64)
+
+
 def points(whole: np.ndarray, radius2: float) -> np.ndarray:
     """Metric points of vectors: one more coordinate brings all to one norm."""
-    last = np.sqrt(np.maximum(0.0, radius2 - (whole.astype(np.float64) ** 2).sum(1)))
-    return np.concatenate((whole, last[:, None]), 1)
+    place = whole.astype(np.float64)
+    last = np.sqrt(np.maximum(0.0, radius2 - (place**2).sum(1)))
+    return np.concatenate((place, last[:, None]), 1)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -132,7 +149,7 @@ class MTree:
         """The k best (score, id) among ``best`` and the tree, best first, and the number of scores computed."""
         place, norm2 = np.append(query.astype(np.float64), 0.0), float((query.astype(np.float64) ** 2).sum())
         room = 1e-6 * np.sqrt(norm2 + radius2) + 1e-6
-        bound = lambda: np.sqrt(max(0.0, norm2 + radius2 - 2.0 * best[-1][0])) + room if len(best) >= k else np.inf
+        bound = lambda: np.sqrt(max(0.0, norm2 + radius2 - 2.0 * best[-1][0])) + room if len(best) >= k and best[-1][0] > LEAST else np.inf
         start = float(np.sqrt(((place - self.centre) ** 2).sum()))
         queue, limit, scored = [(max(0.0, start - self.radius), self.root, start)], bound(), 0
         while queue:
@@ -142,7 +159,7 @@ class MTree:
             page = self.pages[number]
             if page[0]:
                 rows = page[1][np.abs(page[2] - away) <= limit]
-                scores = self.whole[rows] @ query
+                scores = inner_products(self.whole[rows], query)
                 scored += len(rows)
                 if len(best) >= k:
                     good = scores >= best[-1][0]
@@ -173,7 +190,7 @@ def nearest_pivot(rows: DataFrame, pivots: np.ndarray, dims: int, radius2: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = matrix(batch.column("vector").to_pylist(), dims)
-            at = np.concatenate((whole, np.zeros((len(whole), 1))), 1) if query else points(whole, radius2)
+            at = np.concatenate((whole.astype(np.float64), np.zeros((len(whole), 1))), 1) if query else points(whole, radius2)
             away = distances(at, shared.value)
             pivot = away.argmin(1) if len(away) else np.empty(0, int)
             arrays = [pa.array(pivot, pa.int32()), pa.array(away[np.arange(len(away)), pivot], pa.float64())]
@@ -204,6 +221,12 @@ def search_trees(queries: DataFrame, trees: DataFrame, k: int, dims: int, radius
     return asked.cogroup(copies.groupBy("of_tree", "for_chunk")).applyInPandas(run, "vector binary, score long, id long")
 
 
+def in_chunks(queries: DataFrame) -> DataFrame:
+    """The queries of each pivot in chunks of about ``CHUNK``; no more of them than that pivot's queries fill."""
+    filled = queries.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))  # at most MOST_PIVOTS rows
+    return queries.join(F.broadcast(filled), "pivot").withColumn("chunk", F.pmod(F.xxhash64("vector"), F.col("chunks")).cast("int")).drop("chunks")
+
+
 def top(found: DataFrame, keys: list[str], k: int) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -227,11 +250,11 @@ def top_k(
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [np.frombuffer(v.as_py(), "<i4").astype(np.int64) for v in batch.column(0)]
-            sizes = [(len(v), int((v * v).sum())) for v in values]
-            yield pa.RecordBatch.from_arrays([pa.array([s[k] for s in sizes], pa.int64()) for k in (0, 1)], names=["dims", "norm2"])
+            values = [unpacked(v.as_py()).astype(np.float64) for v in batch.column(0)]
+            sizes = [len(v) for v in values], [float((v * v).sum()) for v in values]
+            yield pa.RecordBatch.from_arrays([pa.array(sizes[0], pa.int64()), pa.array(sizes[1], pa.float64())], names=["dims", "norm2"])
 
-    n, dims, norm2 = alike.select("vector").mapInArrow(norms, "dims long, norm2 long").agg(F.count("*"), F.max("dims"), F.max("norm2")).first()
+    n, dims, norm2 = alike.select("vector").mapInArrow(norms, "dims long, norm2 double").agg(F.count("*"), F.max("dims"), F.max("norm2")).first()
     dims, radius2 = int(dims or 0), float(norm2 or 0)
     # Pivots: a bounded sample of the points, of lowest hash; any choice gives the same results.
     wanted = min(MOST_PIVOTS, -(-n // TREE)) or 1
@@ -243,12 +266,11 @@ def top_k(
     parts = stage(parts, "search-pivots")  # at most MOST_PIVOTS rows
     number = F.concat_ws("-", "pivot", F.pmod(F.xxhash64("vector"), F.col("parts")))
     trees = stage(dealt.join(F.broadcast(parts), "pivot").select("vector", "ids", "pivot", number.alias("tree")), "search-trees")
-    names = parts.select("pivot", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.concat_ws("-", "pivot", x))).alias("tree"))
+    each_tree = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.concat_ws("-", "pivot", x)))
     # Of a query's own pivot and of the others alike: tree by tree, in chunks of queries.
-    chunk = F.pmod(F.xxhash64("vector"), F.lit(max(1, -(-asked.count() // CHUNK)))).cast("int")
-    distinct = nearest_pivot(asked.select("vector").distinct(), pivots, dims, radius2, query=True)
-    own = distinct.join(F.broadcast(parts.select("pivot", "radius")), "pivot").join(F.broadcast(names), "pivot")
-    own = own.select("vector", "tree", chunk.alias("chunk"), F.lit(None).cast("long").alias("known"))
+    distinct = stage(nearest_pivot(asked.select("vector").distinct(), pivots, dims, radius2, query=True), "search-asked")
+    own = in_chunks(distinct).join(F.broadcast(parts), "pivot")
+    own = own.select("vector", each_tree.alias("tree"), "chunk", F.lit(None).cast("long").alias("known"))
     first = stage(top(search_trees(own, trees.drop("pivot"), most, dims, radius2), ["vector"], most), "search-first")
 
     known = first.groupBy("vector").agg(F.min(F.when(F.col("rank") == most, F.col("score"))).alias("known"))
@@ -260,17 +282,17 @@ def top_k(
         for batch in batches:
             vectors, mine, least = (batch.column(c).to_pylist() for c in ("vector", "pivot", "known"))
             whole = matrix(vectors, dims)
-            away = distances(np.concatenate((whole, np.zeros((len(whole), 1))), 1), centres)
+            away = distances(np.concatenate((whole.astype(np.float64), np.zeros((len(whole), 1))), 1), centres)
             norm = (whole.astype(np.float64) ** 2).sum(1)
             out = []
             for r, (vector, pivot, score) in enumerate(zip(vectors, mine, least)):
-                limit = np.inf if score is None else np.sqrt(max(0.0, norm[r] + radius2 - 2.0 * score)) + 1e-6 * np.sqrt(norm[r] + radius2) + 1e-6
+                limit = np.inf if score is None or score == LEAST else np.sqrt(max(0.0, norm[r] + radius2 - 2.0 * score)) + 1e-6 * np.sqrt(norm[r] + radius2) + 1e-6
                 out += [(vector, p, score) for p, size in radius.items() if p != pivot and away[r, p] - size <= limit]
             arrays = [pa.array([x[c] for x in out], kind) for c, kind in enumerate((pa.binary(), pa.int32(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["vector", "pivot", "known"])
 
     rest = distinct.join(known, "vector", "left").select("vector", "pivot", "known").mapInArrow(other_pivots, "vector binary, pivot int, known long")
-    rest = rest.join(F.broadcast(names), "pivot").select("vector", "tree", chunk.alias("chunk"), "known")
+    rest = in_chunks(stage(rest, "search-rest")).join(F.broadcast(parts), "pivot").select("vector", each_tree.alias("tree"), "chunk", "known")
     second = search_trees(rest, trees.drop("pivot"), most, dims, radius2)
 
     every = top(first.select("vector", "score", "id").unionByName(second), ["vector"], most).drop("rank")
