@@ -76,6 +76,27 @@ def test_ids_are_the_library_s_and_decode_back(coder):
         assert ids == library.encode_ordinary(text) and coder.decode(ids) == text.encode()
 
 
+def test_written_ids_and_bytes_are_those_of_the_ids(coder, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHED_CHUNKS", 50)
+    texts = odd_texts(900, 5)
+    for start in range(0, len(texts), 40):
+        part = texts[start : start + 40]
+        for text, ids, (spelled, data) in zip(part, coder.encode_batch(part), coder.write_batch(part), strict=True):
+            assert spelled.decode().split() == list(map(str, ids)) and spelled.count(b" ") == len(ids)
+            assert data == text.encode()
+
+
+def test_a_full_cache_keeps_the_words_at_hand(monkeypatch):
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as source:
+        own = byte_bpe.ByteBpe(byte_bpe.read_ranks(source.read()), P.PATTERN)
+    monkeypatch.setattr(byte_bpe, "CACHED_CHUNKS", 4)
+    inner, asked = own.encode_words, []
+    monkeypatch.setattr(own, "encode_words", lambda words: asked.extend(words) or inner(words))
+    first, second = ([*own.encode_batch([text])][0] for text in ("one two three", "one two three four five, six"))
+    assert own.decode(first) == b"one two three" and own.decode(second) == b"one two three four five, six"
+    assert sorted(asked) == sorted(["one", " two", " three", " four", " five", ",", " six"])
+
+
 def test_encode_then_decode_as_tables(spark):
     docs = spark.createDataFrame([(1, "Grüße, 漢字!"), (2, None), (3, "")], "doc_id long, text string")
     ranks = P.path("byte_bpe_50k.tiktoken")

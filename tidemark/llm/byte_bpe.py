@@ -16,21 +16,22 @@ table; other columns of the input, whatever their names, are not read.
 from __future__ import annotations
 
 import base64
+import codecs
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import PRE_TOKEN, SharedFile, pre_tokenizer, slices, space_chunks
+from tidemark.llm.texts import NOT_LATIN, PRE_TOKEN, SharedFile, pre_tokenizer, slices, space_chunks
 from tidemark.llm.token_counts import byte_letters
 
 SLICE_CHARS = 1 << 20
-CACHED_CHUNKS = 200_000  # a bound on memory only: beyond it the cache starts anew
+CACHED_CHUNKS = 200_000  # a bound on memory only: beyond it only parts of the texts at hand stay
 
 
 def read_ranks(text: bytes) -> dict[bytes, int]:
@@ -84,43 +85,71 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str = PRE_TOKEN):
         letters = byte_letters()
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(ranks))
-        self.letters = str.maketrans({chr(b): c for c, b in letters.items()})
+        letter = {b: c for c, b in letters.items()}
+        self.letters = "".join(map(letter.__getitem__, range(256)))
         self.ranks = ranks
         pieces = (self.model.id_to_piece(i) for i in range(len(ranks)))
         self.bytes_of = [bytes(map(letters.__getitem__, piece)) for piece in pieces]
+        self.spelled = [b"%d " % i for i in range(len(ranks))]
         self.split = pre_tokenizer(pattern)
         self.own_pattern = pattern == PRE_TOKEN
         self.known: dict[str, tuple[int, ...]] = {}
+        self.written: dict[str, tuple[bytes, bytes]] = {}
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each pre-token. One that is a token as a whole has that token's id alone."""
         data = [w.encode() for w in words]
-        ids = self.model.encode([d.decode("latin-1").translate(self.letters) for d in data], out_type=int, num_threads=1)
-        whole = map(self.ranks.get, data)
-        return [x if rank is None else [rank] for x, rank in zip(ids, whole, strict=True)]
-
-    def chunks(self, text: str) -> list[str]:
-        return space_chunks(text, self.split) if self.own_pattern else self.split(text)
-
-    def learn(self, chunks: set[str]) -> None:
-        new = sorted(chunks)
-        if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.known.clear()
-        words = [self.split(c) for c in new]
-        ids = iter(self.encode_words([w for ws in words for w in ws]))
-        for chunk, ws in zip(new, words, strict=True):
-            self.known[chunk] = tuple(chain.from_iterable(next(ids) for _ in ws))
+        found = [[rank] if (rank := self.ranks.get(d)) is not None else None for d in data]
+        rest = [d for d, ids in zip(data, found, strict=True) if ids is None]
+        if rest:
+            # no byte of UTF-8 is 255
+            letters = codecs.charmap_decode(b"\xff".join(rest), "strict", self.letters)[0].split(self.letters[255])
+            made = iter(self.model.encode(letters, out_type=int, num_threads=1))
+            found = [next(made) if ids is None else ids for ids in found]
+        return found
+
+    def cut(self, texts: list[str], known: dict, form: Callable[[list[int]], tuple]) -> list[list[str]]:
+        """The texts in parts that no pre-token crosses; ``known`` holds the form of each part's ids.
+
+        Parts are the pre-tokens, or longer ones where those are slower to find.
+        """
+        words: set[str] = set()
+        chunks: set[str] = set()
+        parts = []
+        for text in texts:
+            if self.own_pattern and NOT_LATIN.search(text):
+                parts.append(space_chunks(text, self.split))
+                chunks.update(parts[-1])
+            else:
+                parts.append(self.split(text))
+                words.update(parts[-1])
+        new = sorted(words.difference(known))
+        longer = sorted(chunks.difference(known, words))
+        if len(known) + len(new) + len(longer) > CACHED_CHUNKS:
+            # what these texts hold stays
+            held = {part: known[part] for part in (words | chunks) & known.keys()}
+            known.clear()
+            known.update(held)
+        known.update(zip(new, map(form, self.encode_words(new)), strict=True))
+        inner = [self.split(c) for c in longer]
+        ids = iter(self.encode_words([w for ws in inner for w in ws]))
+        known.update((c, form(list(chain.from_iterable(islice(ids, len(ws)))))) for c, ws in zip(longer, inner, strict=True))
+        return parts
 
     def encode_batch(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text."""
-        cut = [self.chunks(t) for t in texts]
-        new = set(chain.from_iterable(cut)).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > CACHED_CHUNKS:
-                new = set(chain.from_iterable(cut))
-            self.learn(new)
-        for chunks in cut:
-            yield list(chain.from_iterable(map(self.known.__getitem__, chunks)))
+        for parts in self.cut(texts, self.known, tuple):
+            yield list(chain.from_iterable(map(self.known.__getitem__, parts)))
+
+    def write(self, ids: list[int]) -> tuple[bytes, bytes]:
+        """Ids as decimals, each with a space after it, and the bytes they decode to."""
+        return b"".join(map(self.spelled.__getitem__, ids)), self.decode(ids)
+
+    def write_batch(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """``write`` of the ids of each text, put together from that of its parts' ids."""
+        for parts in self.cut(texts, self.written, self.write):
+            found = [self.written[part] for part in parts]
+            yield b"".join([spelled for spelled, _ in found]), b"".join([data for _, data in found])
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_batch([text]))
@@ -141,8 +170,8 @@ def coder_of(shared: SharedFile, pattern: str) -> ByteBpe:
     return _CODERS[key]
 
 
-def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, columns: dict, row) -> DataFrame:
-    """``row(coder, ids)`` of every document, as columns of the Arrow types given."""
+def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, columns: dict, rows_of) -> DataFrame:
+    """``rows_of(coder, texts)``, a row for every document, as columns of the Arrow types given."""
     shared = SharedFile(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +179,7 @@ def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_co
         for batch in batches:
             done = 0
             for part in slices((t.as_py() or "" for t in batch.column(1)), SLICE_CHARS):
-                values = [row(coder, ids) for ids in coder.encode_batch(part)]
+                values = list(rows_of(coder, part))
                 arrays = [pa.array(x, kind) for x, (kind, _) in zip(zip(*values), columns.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(part)), *arrays], names=["id", *columns])
                 done += len(part)
@@ -164,7 +193,7 @@ def _mapped(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_co
 def encode(docs: DataFrame, ranks_path: str, pattern: str = PRE_TOKEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and ``ids``, the tokens of its whole text."""
     columns = {"ids": (pa.list_(pa.int32()), "array<int>")}
-    return _mapped(docs, ranks_path, pattern, id_col, text_col, columns, lambda coder, ids: (ids,))
+    return _mapped(docs, ranks_path, pattern, id_col, text_col, columns, lambda coder, texts: ((ids,) for ids in coder.encode_batch(texts)))
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -182,9 +211,9 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     return rows.mapInArrow(run, f"id {kind}, text binary").withColumnRenamed("id", id_col)
 
 
-def _digests(coder: ByteBpe, ids: list[int]) -> tuple[int, str, str]:
-    joined = " ".join(map(str, ids)).encode()
-    return len(ids), sha256(joined).hexdigest(), sha256(coder.decode(ids)).hexdigest()
+def _digests(coder: ByteBpe, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+    for spelled, data in coder.write_batch(texts):
+        yield spelled.count(b" "), sha256(spelled[:-1]).hexdigest(), sha256(data).hexdigest()
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str = PRE_TOKEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
