@@ -132,3 +132,23 @@ def test_only_the_batch_s_part_of_the_target_is_read(spark, folder):
     assert rows(added) == [(203, 3)]
     plan = added._jdf.queryExecution().executedPlan().toString()
     assert "(day#" in plan.split("PartitionFilters:")[1].split("]")[0] and ">= 3" in plan
+
+
+def test_pages_are_read_and_judged_once(spark):
+    """What goes on is the judgement as staged: neither side parses a page or an asset again."""
+    good = {"id": "a1", "symbol": "s", "name": "n", "image": "i", "last_updated": "2024-01-02T03:04:05Z", "current_price": 1.5}
+    bodies = [
+        json.dumps([good, None, {**good, "total_volume": "1e-30"}, {**good, "last_updated": "2024-01-02T03:04:05"}, 7]),
+        "[]", "[ ", None, "{}", json.dumps([{**good, "max_supply": "1E+3"}]),
+    ]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "page int, body string")
+    assets, rejects = ingest.api_assets(pages)
+    for side in (assets, rejects):
+        assert "from_json" not in side._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.page, r.a.current_price, r.a.max_supply) for r in assets.collect())
+    assert got == [(0, Decimal("1.5"), None), (5, Decimal("1.5"), Decimal(1000))]
+    gone = {(r.page, r.reason, r.body if r.page else None) for r in rejects.collect()}
+    assert rejects.count() == 7 and gone == {
+        (0, "id is missing", None), (0, "total_volume is no decimal(38,18)", None), (0, "last_updated is no time with offset", None),
+        (2, "page is not a JSON array", "[ "), (3, "page is not a JSON array", None), (4, "page is not a JSON array", "{}"),
+    }

@@ -104,7 +104,7 @@ def decimal_or_null(value: Column) -> Column:
     """Decimal text to decimal(38,18), never rounded; null where it cannot be."""
     text = value.cast("string")
     plain = text.rlike(PLAIN_DECIMAL)
-    return F.when(plain, text.try_cast("decimal(38,18)")).otherwise(decimal_reading(value)["number"])
+    return F.when(plain, text.try_cast("decimal(38,18)")).when(text.isNotNull(), decimal_reading(value)["number"])
 
 
 def decimal_unfit(value: Column) -> Column:

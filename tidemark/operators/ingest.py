@@ -33,24 +33,34 @@ def api_assets(pages: DataFrame, body: str = "body", page: str = "page") -> tupl
     rejected, with its own text, for the first required field it lacks, a time
     without offset, or a number that is none. Every asset of a readable page comes
     out on one side or the other.
+
+    Pages are read and judged once, and staged: a filter on the reason would otherwise
+    move below the parser and parse each asset again for every rule. Numbers are read
+    in a loop over them, as their rules written out for each make methods too large.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in API_ASSET])
     items = F.from_json(F.col(body), T.ArrayType(T.StringType()))
-    is_array = F.coalesce(F.col(body).rlike(r"^\s*\[") & F.col(body).rlike(r"\]\s*\z") & items.isNotNull(), F.lit(False))
-    marked = pages.select(F.col(page).alias("page"), F.col(body).alias("body"), is_array.alias("ok"), items.alias("items"))
-    lost = marked.filter(~F.col("ok")).select("page", F.lit("page is not a JSON array").alias("reason"), "body")
-    texts = marked.filter("ok").select("page", F.explode("items").alias("body"))
-    read = texts.withColumn("t", F.from_json("body", as_text))
-    faults = [F.when(F.coalesce(text_or_null(F.col(f"t.{c}")), F.lit("")) == "", F.lit(f"{c} is missing")) for c in ASSET_REQUIRED]
+    whole = F.coalesce(F.col("body").rlike(r"^\s*\[") & F.col("body").rlike(r"\]\s*\z") & F.col("items").isNotNull(), F.lit(False))
+    listed = F.transform("items", lambda item: F.struct(F.lit(True).alias("listed"), item.alias("body")))
+    alone = F.array(F.struct(F.lit(False).alias("listed"), F.col("body").alias("body")))
+    marked = pages.select(F.col(page).alias("page"), F.col(body).alias("body"), items.alias("items"))
+    # outer, as an inner one would have its pages parsed twice, to leave out empty ones first
+    texts = marked.select("page", F.explode_outer(F.when(whole, listed).otherwise(alone)).alias("text")).filter("text is not null")
+    fields = texts.select("page", "text.*").withColumn("t", F.when(F.col("listed"), F.from_json("body", as_text)))
+    read = fields.withColumn("numbers", F.transform(F.array(*[f"t.{c}" for c in ASSET_NUMBERS]), decimal_or_null))
+    number = {c: F.get("numbers", F.lit(n)) for n, c in enumerate(ASSET_NUMBERS)}
+    faults = [F.when(~F.col("listed"), F.lit("page is not a JSON array"))]
+    faults += [F.when(F.coalesce(text_or_null(F.col(f"t.{c}")), F.lit("")) == "", F.lit(f"{c} is missing")) for c in ASSET_REQUIRED]
     faults.append(F.when(iso_to_millis(F.col("t.last_updated")).isNull(), F.lit("last_updated is no time with offset")))
-    faults += [
-        F.when(F.col(f"t.{c}").isNotNull() & decimal_or_null(F.col(f"t.{c}")).isNull(), F.lit(f"{c} is no decimal(38,18)"))
-        for c in ASSET_NUMBERS
-    ]
-    judged = read.withColumn("reason", F.coalesce(*faults))
-    typed = F.struct(*[(decimal_or_null(F.col(f"t.{f.name}")) if f.name in ASSET_NUMBERS else F.col(f"t.{f.name}")).alias(f.name) for f in API_ASSET])
-    rejected = judged.filter("reason is not null").select("page", "reason", F.coalesce("body", F.lit("null")).alias("body"))
-    return judged.filter("reason is null").select("page", typed.alias("a")), lost.unionByName(rejected)
+    faults += [F.when(F.col(f"t.{c}").isNotNull() & number[c].isNull(), F.lit(f"{c} is no decimal(38,18)")) for c in ASSET_NUMBERS]
+    typed = F.struct(*[number.get(f.name, F.col(f"t.{f.name}")).alias(f.name) for f in API_ASSET])
+    own = F.when(F.col("listed"), F.coalesce("body", F.lit("null"))).otherwise(F.col("body"))
+    rejected = F.col("reason").isNotNull()
+    judged = read.withColumn("reason", F.coalesce(*faults)).select(
+        "page", "reason", F.when(~rejected, typed).alias("a"), F.when(rejected, own).alias("body")
+    )
+    held = stage(judged, "assets")
+    return held.filter(~rejected).select("page", "a"), held.filter(rejected).select("page", "reason", "body")
 
 
 def api_page_explode(
