@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import LOCAL_ZONE
 
+HOUR_MICROS = 3_600_000_000
+DAY_MICROS = 24 * HOUR_MICROS
+
 
 def as_instant(as_of: Column | datetime | None) -> Column:
     """The moment a report is for: a column, a datetime (naive means UTC), or now."""
@@ -51,10 +54,15 @@ def ingest_stamp(instant: Column | None = None, zone: str = LOCAL_ZONE) -> list[
     On a stream the default, the current time, is the micro-batch's own time: it
     is kept with the batch's offsets, so a replayed batch gets the same stamp.
     """
-    local = local_clock(F.current_timestamp() if instant is None else instant, zone)
+    # The wall clock as microseconds: taken apart by arithmetic, and the zone is looked up once, not for every row.
+    moment = F.current_timestamp() if instant is None else instant
+    local = F.unix_micros(F.from_utc_timestamp(moment, zone))
+    within = F.pmod(local, F.lit(DAY_MICROS))
+    day = F.call_function("div", local - within, F.lit(DAY_MICROS))
+    hour = F.call_function("div", within, F.lit(HOUR_MICROS))
     return [
-        local.cast("date").alias("ingestion_date"),
-        F.date_format(local, "HH").alias("ingestion_hour"),
+        F.date_from_unix_date(day.cast("int")).alias("ingestion_date"),
+        F.lpad(hour.cast("string"), 2, "0").alias("ingestion_hour"),
     ]
 
 

@@ -7,8 +7,10 @@ any engine can compare them exactly.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -851,17 +853,26 @@ def _logged_copies(spark, sf_dir) -> list:
         (PRICES, quarter_day(feeds.bronze_prices(spark, sf_dir)), drifted, feeds.PRICES_AS_OF),
         (CAPS, caps, caps, feeds.CAPS_AS_OF),
     ]
-    found = []
-    for feed, bronze_rows, landing_rows, as_of in copies:
-        base = work_dir(spark, "copies")
-        # dealt out by partition, as few files hold each hour then
-        dealt = lambda rows: rows.hint("rebalance", "ingestion_date", "ingestion_hour")
-        late = F.col("lsn") % 3 == 0
+    late = F.col("lsn") % 3 == 0
+
+    def write(sink, rows, path, feed):
         for batch, part in ((0, ~late), (1, late), (1, late)):
-            sinks.bronze_sink(dealt(bronze_rows.filter(part)), f"{base}/bronze", feed, batch)
-            sinks.lz_sink(dealt(landing_rows.filter(part)), f"{base}/lz", feed, batch)
-        found.append((tables.entries(spark, f"{base}/bronze"), tables.entries(spark, landing.landing_path(f"{base}/lz", feed)), feed, as_of))
-    return found
+            # dealt out by partition, as few files hold each hour then
+            sink(rows.filter(part).hint("rebalance", "ingestion_date", "ingestion_hour"), path, feed, batch)
+
+    bases = [work_dir(spark, "copies") for _ in copies]
+    # the four tables are written side by side, each batch after batch
+    with ThreadPoolExecutor(2 * len(copies)) as pool:
+        runs = []
+        for base, (feed, bronze_rows, landing_rows, _) in zip(bases, copies):
+            runs.append(pool.submit(inheritable_thread_target(spark)(write), sinks.bronze_sink, bronze_rows, f"{base}/bronze", feed))
+            runs.append(pool.submit(inheritable_thread_target(spark)(write), sinks.lz_sink, landing_rows, f"{base}/lz", feed))
+        for run in runs:
+            run.result()
+    return [
+        (tables.entries(spark, f"{base}/bronze"), tables.entries(spark, landing.landing_path(f"{base}/lz", feed)), feed, as_of)
+        for base, (feed, _, _, as_of) in zip(bases, copies)
+    ]
 
 
 @query
